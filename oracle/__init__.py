@@ -1,0 +1,9 @@
+"""Independent SQL for every registered query, run by another engine."""
+
+from oracle.quality import QUALITY
+from oracle.reports import REPORTS
+from oracle.tables import with_tables
+
+
+def oracle_sql() -> dict[str, str]:
+    return {key: with_tables(sql) for key, sql in {**REPORTS, **QUALITY}.items()}
