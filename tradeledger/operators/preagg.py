@@ -8,6 +8,7 @@ row per map task in the partial aggregation, and that is all the shuffle sees.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,8 @@ ROLLUPS = {
     "by_product": ("month_start", "distributor_id", "product_id"),
 }
 
+Period = tuple[date | Column, date | Column]
+
 _DERIVED = {
     "year": lambda day: F.year(day),
     "month": lambda day: F.month(day),
@@ -42,71 +45,69 @@ def shipments_by(
     star: Star,
     *keys: str,
     distinct: tuple[str, ...] = (),
-    rows: DataFrame | None = None,
+    period: Period | None = None,
 ) -> DataFrame:
     """Shipment sums, ``shipment_count`` and distinct counts at a grain.
 
     ``keys`` are shipment columns or ``year``, ``month``, ``month_start`` of
-    the week ending; without keys the result is one row. ``rows`` replaces
-    the star's shipments, for instance by a filtered part of them.
+    the week ending; without keys the result is one row. ``period`` limits the
+    week ending to a closed interval.
+
+    Each distinct count is taken from its own narrow scan: the pairs of grain
+    and counted id, deduplicated, come back as marker rows beside the shipment
+    rows, and one aggregation adds up both. Several ``count(distinct)`` in one
+    aggregation would instead copy every shipment once per count and carry all
+    sums through the shuffle that finds the distinct ids.
     """
-    if rows is None and star.has_rollups:
-        return _from_rollups(star, keys, distinct)
-    if rows is None:
-        wants_operator = "operator_id" in {*keys, *(DISTINCTS[d] for d in distinct)}
-        rows = star.shipments if wants_operator else star.lean_shipments
+    rows, day = _source(star, {*keys}, period)
+    counted = F.col("shipment_count") if "shipment_count" in rows.columns else F.lit(1)
+    stacked = rows.select(
+        *_key_columns(keys, day), *[F.col(c) for c in SUMS], counted.alias("shipment_count")
+    )
+    for name in distinct:
+        stacked = stacked.unionByName(
+            _marked(star, keys, name, period), allowMissingColumns=True
+        )
     measures = [F.sum(c).alias(c) for c in SUMS]
-    measures.append(F.count(F.lit(1)).alias("shipment_count"))
-    return _grouped(rows, "week_ending", keys, measures, distinct)
+    total = F.sum("shipment_count")
+    measures.append(F.coalesce(total, F.lit(0)).alias("shipment_count"))
+    measures += [F.count(name).alias(name) for name in distinct]
+    return stacked.groupBy(*keys).agg(*measures)
 
 
-def _grouped(
-    rows: DataFrame, day: str, keys: tuple[str, ...], measures: list[Column],
-    distinct: tuple[str, ...],
-) -> DataFrame:
-    key_columns = [_DERIVED[k](F.col(day)).alias(k) if k in _DERIVED else F.col(k) for k in keys]
-    measures = measures + [F.count_distinct(F.col(DISTINCTS[d])).alias(d) for d in distinct]
-    return rows.groupBy(*key_columns).agg(*measures)
+def _marked(star: Star, keys: tuple[str, ...], name: str, period: Period | None) -> DataFrame:
+    """One row per grain and distinct id, marked in the column ``name``."""
+    counted = DISTINCTS[name]
+    rows, day = _source(star, {*keys, counted}, period)
+    pairs = rows.select(*_key_columns(keys, day), F.col(counted).alias("__id"))
+    present = pairs.filter(F.col("__id").isNotNull()).distinct()
+    return present.select(*keys, F.lit(1).alias(name))
 
 
-def _from_rollups(star: Star, keys: tuple[str, ...], distinct: tuple[str, ...]) -> DataFrame:
-    """The same answer from the stored roll-ups.
+def _key_columns(keys: tuple[str, ...], day: str) -> list[Column]:
+    return [_DERIVED[k](F.col(day)).alias(k) if k in _DERIVED else F.col(k) for k in keys]
 
-    Sums add up from either roll-up. Operators can only be counted in the one
-    and products only in the other, so a report wanting both reads both.
+
+def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataFrame, str]:
+    """The smallest frame with the asked columns, and its day column.
+
+    A stored roll-up where there is one with these columns, unless a period
+    cuts through its months; else the shipment rows.
     """
-    by_product = "product_id" in keys
-    measures = [F.sum(c).alias(c) for c in (*SUMS, "shipment_count")]
-    if not keys:
-        measures = [
-            F.coalesce(m, F.lit(0)).alias("shipment_count") if n == "shipment_count" else m
-            for m, n in zip(measures, (*SUMS, "shipment_count"))
-        ]
-    if by_product and "active_operators" in distinct or "operator_id" in keys and (
-        by_product or "products_sold" in distinct
-    ):
-        # operator and product together are in no roll-up
-        return shipments_by(star, *keys, distinct=distinct, rows=star.shipments)
-    elsewhere = tuple(d for d in distinct if d == "products_sold" and not by_product)
-    here = tuple(d for d in distinct if d not in elsewhere)
-    main = star.rollup("by_product" if by_product else "by_operator")
-    result = _grouped(main, "month_start", keys, measures, here)
-    if not elsewhere:
-        return result
-    counted = _grouped(star.rollup("by_product"), "month_start", keys, [], elsewhere)
-    if not keys:
-        return merge_single_rows(result, counted)
-    renamed = counted.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = reduce(
-        lambda a, b: a & b, [result[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]
-    )
-    return result.join(renamed, on, "left").drop(*[f"__{k}" for k in keys])
+    if period is None:
+        for name, grain in ROLLUPS.items():
+            rollup = star.rollup(name)
+            if rollup is not None and columns <= {*grain, *_DERIVED}:
+                return rollup, "month_start"
+    with_operator = "operator_id" in columns
+    if period is not None:
+        return star.shipments_between(*period, operators=with_operator), "week_ending"
+    return (star.shipments if with_operator else star.lean_shipments), "week_ending"
 
 
 def rollup_shipments(star: Star, name: str) -> DataFrame:
     """One of the two roll-ups, computed from the shipment rows."""
-    rows = star.shipments if "operator_id" in ROLLUPS[name] else star.lean_shipments
-    return shipments_by(star, *ROLLUPS[name], rows=rows)
+    return shipments_by(star.without_rollups(), *ROLLUPS[name])
 
 
 def opps_by(star: Star, *keys: str | Column, where: Column | None = None) -> DataFrame:

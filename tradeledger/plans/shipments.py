@@ -15,6 +15,10 @@ from tradeledger.star import Star
 DEFAULT_YEAR = 2024
 
 
+def _whole_year(year: int | None) -> tuple[date, date] | None:
+    return None if year is None else dates.year_bounds(year)
+
+
 def _distributors(star: Star, distributor_type: str | None = None) -> DataFrame:
     rows = star.distributors
     if distributor_type is not None:
@@ -35,10 +39,8 @@ def _growth_by_distributor(
     Grouping is by id, so two distributors with one name stay apart. For a
     single year only that year and the one before it are read.
     """
-    rows = None
-    if year is not None and not star.has_rollups:
-        rows = star.shipments_between(*dates.year_bounds(year - 1, year), operators=False)
-    yearly = shipments_by(star, "distributor_id", "year", rows=rows)
+    period = None if year is None else dates.year_bounds(year - 1, year)
+    yearly = shipments_by(star, "distributor_id", "year", period=period)
     yearly = yearly.withColumn("prior", prior_year("net_sales", "distributor_id"))
     if year is not None:
         yearly = yearly.filter(F.col("year") == year)
@@ -153,9 +155,11 @@ def q04_active_operators(
         end = star.lean_shipments.agg(F.max("week_ending")).scalar()
     else:
         end = F.lit(as_of)
-    rows = star.shipments_between(dates.trailing_year_start(end), end)
     per_distributor = shipments_by(
-        star, "distributor_id", distinct=("active_operators", "products_sold"), rows=rows
+        star,
+        "distributor_id",
+        distinct=("active_operators", "products_sold"),
+        period=(dates.trailing_year_start(end), end),
     )
     return (
         per_distributor.join(_distributors(star, distributor_type), "distributor_id")
@@ -179,15 +183,14 @@ def vw_distributor_scorecard(
     region: str | None = None,
 ) -> DataFrame:
     """Distributor by year and month; one without shipments keeps a NULL period."""
-    rows = None
-    if year is not None and not star.has_rollups:
-        rows = star.shipments_between(*dates.year_bounds(year))
     sold = shipments_by(
-        star, "distributor_id", "year", "month",
-        distinct=("active_operators", "products_sold"), rows=rows,
+        star,
+        "distributor_id",
+        "year",
+        "month",
+        distinct=("active_operators", "products_sold"),
+        period=_whole_year(year),
     )
-    if year is not None:
-        sold = sold.filter(F.col("year") == year)
     return _distributor_frame(star, sold, distributor_type, region).select(
         "distributor_id",
         "distributor_name",
@@ -210,9 +213,11 @@ def scorecard_rows(
     distributor_type: str | None = None,
     region: str | None = None,
 ) -> DataFrame:
-    rows = None if year is None else star.shipments_between(*dates.year_bounds(year))
     sold = shipments_by(
-        star, "distributor_id", distinct=("active_operators", "products_sold"), rows=rows
+        star,
+        "distributor_id",
+        distinct=("active_operators", "products_sold"),
+        period=_whole_year(year),
     )
     return _distributor_frame(star, sold, distributor_type, region).select(
         "distributor_id",
@@ -263,10 +268,7 @@ def _counts(*names: str) -> list:
 # ---- months ---------------------------------------------------------------
 
 def _monthly(star: Star, *distinct: str, year: int | None = None) -> DataFrame:
-    rows = None
-    if year is not None:
-        rows = star.shipments_between(*dates.year_bounds(year))
-    monthly = shipments_by(star, "month_start", distinct=distinct, rows=rows)
+    monthly = shipments_by(star, "month_start", distinct=distinct, period=_whole_year(year))
     return monthly.withColumn("month", dates.month_label("month_start"))
 
 

@@ -20,8 +20,9 @@ def _members(rows: DataFrame, name: str) -> DataFrame:
 
 def _sales(star: Star, year: int | None = None) -> DataFrame:
     """Net sales by the territory of the operator that was shipped to."""
-    rows = None if year is None else star.shipments_between(*dates.year_bounds(year))
-    per_operator = shipments_by(star, "operator_id", rows=rows).select("operator_id", "net_sales")
+    period = None if year is None else dates.year_bounds(year)
+    sold = shipments_by(star, "operator_id", period=period)
+    per_operator = sold.select("operator_id", "net_sales")
     home = star.operators.select("operator_id", "territory_id")
     return (
         per_operator.join(home, "operator_id")

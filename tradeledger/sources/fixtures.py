@@ -135,7 +135,7 @@ class _Tables:
             category=F.col("p_type"),
             subcategory=F.col("p_size").cast("string"),
             standard_price=price,
-            cost=price * _cost_rate("p_partkey"),
+            cost=price * _cost_percent("p_partkey") * F.lit("0.01").cast("decimal(2,2)"),
         )
 
     def _rep_ids(self) -> DataFrame:
@@ -229,38 +229,57 @@ class _Tables:
         return self._shipments(rows, operator_id=F.col("o_custkey"))
 
     def _shipments(self, rows: DataFrame, operator_id: Column | None) -> DataFrame:
-        gross = F.col("l_extendedprice").cast("decimal(12,2)")
-        shipped = F.col("l_shipdate").cast("date")
-
-        def part_of_gross(rate: str) -> Column:
-            return (gross * F.col(rate).cast("decimal(4,2)")).cast(MONEY)
+        """Amounts are worked out in whole cents and become decimals at the end.
 
+        The stored prices and rates have two decimals, so the nearest integer
+        of a hundredfold is exactly the amount in cents or the rate in percent.
+        """
+        shipped = F.col("l_shipdate").cast("date")
+        cents = {
+            "gross_sales": _hundredfold("l_extendedprice"),
+            "discounts": _percent_of("gross_sales", _hundredfold("l_discount")),
+            "returns": F.when(
+                F.col("l_returnflag") == "R", _percent_of("gross_sales", _hundredfold("l_tax"))
+            ).otherwise(0),
+            "net_sales": kpis.net_sales(),
+            "cost_of_goods": _percent_of("gross_sales", _cost_percent("l_partkey")),
+        }
+        for name, value in cents.items():
+            rows = rows.withColumn(name, value)
         columns = {
+            "shipment_id": F.lit(None).cast("string"),
             "shipment_date": shipped,
             "week_ending": dates.week_ending(shipped),
             "distributor_id": F.col("l_suppkey"),
             "product_id": F.col("l_partkey"),
             "quantity": F.col("l_quantity").cast("int"),
-            "gross_sales": gross.cast(MONEY),
-            "discounts": part_of_gross("l_discount"),
-            "returns": F.when(F.col("l_returnflag") == "R", part_of_gross("l_tax")).otherwise(
-                F.lit(0).cast(MONEY)
-            ),
-            "cost_of_goods": (gross * _cost_rate("l_partkey")).cast(MONEY),
         }
         if operator_id is not None:
             columns["operator_id"] = operator_id
-        shaped = rows.select(*[value.alias(name) for name, value in columns.items()])
-        return shaped.withColumn("net_sales", kpis.net_sales().cast(MONEY)).withColumn(
-            "shipment_id", F.lit(None).cast("string")
+        return rows.select(
+            *[value.alias(name) for name, value in columns.items()],
+            *[_money(F.col(name)).alias(name) for name in cents],
         )
 
 
-def _cost_rate(key: str) -> Column:
-    """Cost as a share of price, from 0.55 to 0.75 by product."""
-    return ((55 + F.col(key) % 21).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(
-        "decimal(4,2)"
-    )
+def _hundredfold(column: str) -> Column:
+    return F.rint(F.col(column) * 100).cast("bigint")
+
+
+def _percent_of(amount: str, percent: Column) -> Column:
+    """A percentage of whole cents, halves rounded away from zero."""
+    product = F.col(amount) * percent
+    rounding = F.when(product < 0, -50).otherwise(50)
+    return F.call_function("div", product + rounding, F.lit(100))
+
+
+def _money(cents: Column) -> Column:
+    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
+
+def _cost_percent(key: str) -> Column:
+    """Cost as percent of price, from 55 to 75 by product."""
+    return 55 + F.col(key) % 21
 
 
 def _texts(values: tuple[str, ...]) -> Column:

@@ -83,14 +83,13 @@ class Star:
             self._opened[key] = self._rollup_loaders[name]()
         return self._opened[key]
 
-    @property
-    def has_rollups(self) -> bool:
-        return bool(self._rollup_loaders)
-
     def with_rollups(self, rollups: Mapping[str, Loader]) -> Star:
         """The same star, reading stored roll-ups where a report allows it."""
         return Star(self.spark, self._loaders, self._lean_loader, rollups, self._scan_hint)
 
+    def without_rollups(self) -> Star:
+        return self.with_rollups({}) if self._rollup_loaders else self
+
     def shipments_between(
         self, first: date | Column, last: date | Column, operators: bool = True
     ) -> DataFrame:
