@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.operators.preagg import ROLLUPS, merge_single_rows, rollup_shipments
@@ -41,11 +41,16 @@ def write_rollups(star: Star, path: str) -> None:
 def open_star(spark: SparkSession, path: str, rollups: bool = False) -> Star:
     """A star over a stored warehouse, optionally reading its roll-ups."""
     loaders = {
-        name: lambda n=name: spark.read.parquet(f"{path}/{n}").drop("year") if n == FACT
-        else spark.read.parquet(f"{path}/{n}")
-        for name in TABLES
+        name: lambda n=name: spark.read.parquet(f"{path}/{n}") for name in TABLES if name != FACT
     }
-    star = Star(spark, loaders)
+    by_year = lambda: spark.read.parquet(f"{path}/{FACT}")
+    loaders[FACT] = lambda: by_year().drop("year")
+
+    def near(first: Column, last: Column) -> DataFrame:
+        years = F.col("year").between(F.year(first), F.year(last))
+        return by_year().filter(years).drop("year")
+
+    star = Star(spark, loaders, shipments_near=near)
     return star.with_rollups(rollup_loaders(spark, path)) if rollups else star
 
 

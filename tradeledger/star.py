@@ -20,6 +20,9 @@ class Star:
     ``operator_id``. A source that has to join to find the operator supplies
     it, so a report which never looks at operators also never pays the join.
 
+    ``shipments_near`` is an optional way to open only the files that can hold
+    a range of weeks; it may return more rows than asked for.
+
     ``rollups`` holds the two stored monthly roll-ups (see
     ``operators.preagg``) when the star was opened over a warehouse that has
     them; reports then read those instead of the shipment rows.
@@ -31,7 +34,7 @@ class Star:
         loaders: Mapping[str, Loader],
         lean_shipments: Loader | None = None,
         rollups: Mapping[str, Loader] | None = None,
-        scan_hint: Callable[[Column, Column], Column] | None = None,
+        shipments_near: Callable[[Column, Column], DataFrame] | None = None,
     ):
         unknown = set(loaders) - set(TABLES)
         if unknown:
@@ -40,7 +43,7 @@ class Star:
         self._loaders = dict(loaders)
         self._lean_loader = lean_shipments
         self._rollup_loaders = dict(rollups or {})
-        self._scan_hint = scan_hint
+        self._shipments_near = shipments_near
         self._opened: dict[str, DataFrame] = {}
 
     @classmethod
@@ -85,7 +88,7 @@ class Star:
 
     def with_rollups(self, rollups: Mapping[str, Loader]) -> Star:
         """The same star, reading stored roll-ups where a report allows it."""
-        return Star(self.spark, self._loaders, self._lean_loader, rollups, self._scan_hint)
+        return Star(self.spark, self._loaders, self._lean_loader, rollups, self._shipments_near)
 
     def without_rollups(self) -> Star:
         return self.with_rollups({}) if self._rollup_loaders else self
@@ -95,16 +98,16 @@ class Star:
     ) -> DataFrame:
         """Shipments whose ``week_ending`` lies in ``[first, last]``.
 
-        The bounds are compared with the bare date column, so a warehouse
-        skips files and row groups by their statistics. A source where
-        ``week_ending`` is computed adds a bound on the stored date.
+        The bounds are compared with the bare date column, so that Parquet row
+        groups are skipped by their statistics; a source whose files are laid
+        out by date first narrows the files.
         """
         first, last = _as_column(first), _as_column(last)
-        rows = self.table("shipments") if operators else self.lean_shipments
-        within = F.col("week_ending").between(first, last)
-        if self._scan_hint is not None:
-            within = within & self._scan_hint(first, last)
-        return rows.filter(within)
+        if self._shipments_near is not None:
+            rows = self._shipments_near(first, last)
+        else:
+            rows = self.table("shipments") if operators else self.lean_shipments
+        return rows.filter(F.col("week_ending").between(first, last))
 
 
 def _as_column(value: date | Column) -> Column:
