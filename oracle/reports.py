@@ -621,3 +621,42 @@ _PRINTED = {
 }
 for _key, (_columns, _money, _percent) in _PRINTED.items():
     REPORTS[f"display_{_key}"] = _printed(REPORTS[_key], _columns, _money, _percent)
+
+# ---- sources and sinks ----------------------------------------------------
+
+# What goes through a file comes back unchanged, so the SQL reads the tables.
+
+
+def _table_counts(**keys: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT {k}) AS key_count FROM {t}"
+        for t, k in keys.items()
+    )
+
+
+REPORTS["read_master"] = _table_counts(
+    territories="territory_id", distributors="distributor_id", products="product_id",
+    sales_reps="rep_id", operators="operator_id",
+)
+REPORTS["read_crm"] = _table_counts(
+    sf_accounts="account_id", sf_opportunities="opportunity_id", sf_activities="activity_id"
+)
+REPORTS["read_shipments"] = f"""
+    SELECT CAST(YEAR(week_ending) AS INT) AS year, COUNT(*) AS shipment_count,
+           CAST(SUM(quantity) AS BIGINT) AS quantity, {dbl('SUM(gross_sales)')} AS gross_sales,
+           {dbl('SUM(net_sales)')} AS net_sales, COUNT(DISTINCT operator_id) AS active_operators
+    FROM shipments GROUP BY 1"""
+REPORTS["write_csv_by_year"] = REPORTS["read_shipments"]
+REPORTS["write_star"] = REPORTS["kpi_monthly_trends"]
+REPORTS["read_json_product"] = REPORTS["kpi_monthly_trends"]
+REPORTS["write_rollups"] = REPORTS["kpi_distributor_scorecards"]
+REPORTS["write_summary"] = REPORTS["an_monthly_trend"]
+# JSON has one integer type, so the small key comes back wide
+REPORTS["write_json"] = f"""
+    SELECT * REPLACE (CAST(territory_id AS BIGINT) AS territory_id)
+    FROM ({REPORTS['kpi_territory_heatmap']})"""
+REPORTS["write_kpi_card"] = REPORTS["kpi_executive_summary"]
+REPORTS["read_view"] = """
+    SELECT t.region, o.annual_revenue_tier, COUNT(*) AS operators
+    FROM operators o JOIN territories t ON t.territory_id = o.territory_id
+    GROUP BY t.region, o.annual_revenue_tier"""

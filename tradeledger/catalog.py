@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tradeledger.functions.display import with_display
 from tradeledger.operators import quality
-from tradeledger.plans import crm, dashboard, shipments, territory
+from tradeledger.plans import crm, dashboard, roundtrip, shipments, territory
 from tradeledger.sources import fixtures
 from tradeledger.sources.schemas import PRIMARY_KEYS
 from tradeledger.star import Star
@@ -150,6 +150,20 @@ QUALITY = {
     "dq_join_fanout": quality.dq_join_fanout,
 }
 
+SOURCES_AND_SINKS = {
+    "read_master": roundtrip.read_master,
+    "read_crm": roundtrip.read_crm,
+    "read_shipments": roundtrip.read_shipments,
+    "read_view": roundtrip.read_view,
+    "read_json_product": roundtrip.read_json_product,
+    "write_star": roundtrip.write_star,
+    "write_rollups": roundtrip.write_rollups,
+    "write_summary": roundtrip.write_summary,
+    "write_json": roundtrip.write_json,
+    "write_kpi_card": roundtrip.write_kpi_card,
+    "write_csv_by_year": roundtrip.write_csv_by_year,
+}
+
 
 def _printed(report: Report, money: tuple[str, ...], percent: tuple[str, ...]) -> Report:
     return lambda star: with_display(report(star), money, percent)
@@ -159,7 +173,7 @@ DISPLAY = {f"display_{key}": _printed(ANALYST[key], *PRINTED[key]) for key in AN
 
 REPORTS: dict[str, Report] = {
     **ANALYST, **VIEWS, **SUMMARIES, **PRODUCTS, **DOCUMENTED, **DASHBOARD,
-    **PROMISED, **SLICES, **QUALITY, **DISPLAY,
+    **PROMISED, **SLICES, **QUALITY, **DISPLAY, **SOURCES_AND_SINKS,
 }
 
 
