@@ -12,10 +12,11 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

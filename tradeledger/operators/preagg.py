@@ -61,9 +61,7 @@ def shipments_by(
     """
     rows, day = _source(star, {*keys}, period)
     counted = F.col("shipment_count") if "shipment_count" in rows.columns else F.lit(1)
-    stacked = rows.select(
-        *_key_columns(keys, day), *[F.col(c) for c in SUMS], counted.alias("shipment_count")
-    )
+    stacked = rows.select(*_key_columns(keys, day), *SUMS, counted.alias("shipment_count"))
     for name in distinct:
         stacked = stacked.unionByName(
             _marked(star, keys, name, period), allowMissingColumns=True
@@ -84,8 +82,8 @@ def _marked(star: Star, keys: tuple[str, ...], name: str, period: Period | None)
     return present.select(*keys, F.lit(1).alias(name))
 
 
-def _key_columns(keys: tuple[str, ...], day: str) -> list[Column]:
-    return [_DERIVED[k](F.col(day)).alias(k) if k in _DERIVED else F.col(k) for k in keys]
+def _key_columns(keys: tuple[str, ...], day: str) -> list[Column | str]:
+    return [_DERIVED[k](F.col(day)).alias(k) if k in _DERIVED else k for k in keys]
 
 
 def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataFrame, str]:

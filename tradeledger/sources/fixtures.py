@@ -1,16 +1,15 @@
 """The star seen through the order-processing test tables (see FIXTURES.md).
 
-Every rule is a column expression over the given Parquet files. Money enters
-decimal arithmetic before anything is multiplied.
+Every rule is a SQL expression over the given Parquet files. Money is exact
+before anything is multiplied.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.functions import dates, kpis
-from tradeledger.sources.schemas import LOST, MONEY, TABLES, WON
+from tradeledger.sources.schemas import LOST, STAGE_PROBABILITY, TABLES, WON
 from tradeledger.star import Star
 
 # Types of the stored tables, given so that no file is opened to infer them.
@@ -44,10 +43,6 @@ OPEN_STAGE_BY_PRIORITY = {
     "1": "Negotiation", "2": "Proposal", "3": "Needs Analysis",
     "4": "Qualification", "5": "Prospecting",
 }
-PROBABILITY = {
-    "Negotiation": 80, "Proposal": 60, "Needs Analysis": 40,
-    "Qualification": 25, "Prospecting": 10, WON: 100, LOST: 0,
-}
 ACTIVITY_TYPES = {
     "click": "Call", "view": "Email", "purchase": "Meeting",
     "signup": "Site Visit", "error": "Follow-up",
@@ -85,227 +80,196 @@ class _Tables:
 
     def territories(self) -> DataFrame:
         rows = self.read("nation").join(
-            self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")
+            self.read("region"), F.expr("n_regionkey = r_regionkey")
         )
         return _shaped(
             rows,
             "territories",
-            territory_id=F.col("n_nationkey"),
-            territory_name=F.col("n_name"),
-            region=F.col("r_name"),
-            state=F.col("n_name"),
+            territory_id="n_nationkey",
+            territory_name="n_name",
+            region="r_name",
+            state="n_name",
         )
 
     def distributors(self) -> DataFrame:
-        kind = F.col("s_suppkey") % 3
         return _shaped(
             self.read("supplier"),
             "distributors",
-            distributor_id=F.col("s_suppkey"),
-            distributor_name=F.col("s_name"),
-            distributor_type=F.when(kind == 0, "National")
-            .when(kind == 1, "Regional")
-            .otherwise("Specialty"),
-            territory_id=F.col("s_nationkey"),
+            distributor_id="s_suppkey",
+            distributor_name="s_name",
+            distributor_type="elt(CAST(s_suppkey % 3 + 1 AS INT), 'National', 'Regional', 'Specialty')",
+            territory_id="s_nationkey",
         )
 
     def operators(self) -> DataFrame:
-        balance = F.col("c_acctbal")
         return _shaped(
             self.read("customer"),
             "operators",
-            operator_id=F.col("c_custkey"),
-            operator_name=F.col("c_name"),
-            operator_type=F.col("c_mktsegment"),
-            territory_id=F.col("c_nationkey"),
-            annual_revenue_tier=F.when(balance < 2500, "Small")
-            .when(balance < 5000, "Medium")
-            .when(balance < 7500, "Large")
-            .otherwise("Enterprise"),
+            operator_id="c_custkey",
+            operator_name="c_name",
+            operator_type="c_mktsegment",
+            territory_id="c_nationkey",
+            annual_revenue_tier="CASE WHEN c_acctbal < 2500 THEN 'Small'"
+            " WHEN c_acctbal < 5000 THEN 'Medium' WHEN c_acctbal < 7500 THEN 'Large'"
+            " ELSE 'Enterprise' END",
         )
 
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(12,2)")
         return _shaped(
             self.read("part"),
             "products",
-            product_id=F.col("p_partkey"),
-            product_name=F.col("p_name"),
-            brand=F.col("p_brand"),
-            category=F.col("p_type"),
-            subcategory=F.col("p_size").cast("string"),
-            standard_price=price,
-            cost=price * _cost_percent("p_partkey") * F.lit("0.01").cast("decimal(2,2)"),
+            product_id="p_partkey",
+            product_name="p_name",
+            brand="p_brand",
+            category="p_type",
+            subcategory="CAST(p_size AS STRING)",
+            standard_price="CAST(p_retailprice AS DECIMAL(12,2))",
+            cost="CAST(p_retailprice AS DECIMAL(12,2)) * (55 + p_partkey % 21) * 0.01BD",
         )
 
-    def _rep_ids(self) -> DataFrame:
-        return self.read("events").select(F.col("user_id").alias("rep")).distinct()
-
-    def _rep_count(self) -> Column:
-        """How many reps there are, as a scalar subquery; NULL instead of 0."""
-        reps = self.read("events").agg(F.count_distinct("user_id"))
-        return F.nullif(reps.scalar(), F.lit(0))
+    def _with_rep_count(self, rows: DataFrame) -> DataFrame:
+        """How many reps there are, as ``n_reps``: a scalar subquery, NULL instead of 0."""
+        reps = self.read("events").selectExpr("nullif(count(DISTINCT user_id), 0)")
+        return rows.withColumn("n_reps", reps.scalar())
 
     def sales_reps(self) -> DataFrame:
-        key = F.col("c_custkey")
-        rows = self.read("customer").join(self._rep_ids(), key == F.col("rep"), "left_semi")
+        active = self.read("events").selectExpr("user_id AS c_custkey").distinct()
         return _shaped(
-            rows,
+            self.read("customer").join(active, "c_custkey", "left_semi"),
             "sales_reps",
-            rep_id=key,
-            rep_name=F.col("c_name"),
-            territory_id=F.col("c_nationkey"),
-            rep_tier=F.when(key % 5 == 0, "Director")
-            .when(key % 5 == 1, "Junior")
-            .otherwise("Senior"),
-            quota_annual=500000 + (key * 7919) % 1000001,
+            rep_id="c_custkey",
+            rep_name="c_name",
+            territory_id="c_nationkey",
+            rep_tier="CASE c_custkey % 5 WHEN 0 THEN 'Director' WHEN 1 THEN 'Junior'"
+            " ELSE 'Senior' END",
+            quota_annual="500000 + (c_custkey * 7919) % 1000001",
         )
 
     # ---- CRM --------------------------------------------------------------
 
     def accounts(self) -> DataFrame:
-        key = F.col("c_custkey")
         return _shaped(
-            self.read("customer").filter(key % 5 != 0),
+            self._with_rep_count(self.read("customer").filter("c_custkey % 5 <> 0")),
             "sf_accounts",
-            account_id=key,
-            operator_id=key,
-            owner_id=key % self._rep_count(),
+            account_id="c_custkey",
+            operator_id="c_custkey",
+            owner_id="c_custkey % n_reps",
         )
 
     def opportunities(self) -> DataFrame:
-        order, customer, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-        priority = F.substring("o_orderpriority", 1, 1)
-        stage = F.when(status == "F", WON).when(status == "P", LOST)
-        for digit, name in OPEN_STAGE_BY_PRIORITY.items():
-            stage = stage.when((status == "O") & (priority == digit), name)
-        created = F.col("o_orderdate").cast("date")
-        reason = F.element_at(_texts(LOSS_REASONS), (order % 7 + 1).cast("int"))
-        shift = F.when(order % 10 == 0, 1).otherwise(0)
-        rows = self.read("orders").filter(customer % 5 != 0).withColumn("stage", stage)
+        open_stage = _case("left(o_orderpriority, 1)", OPEN_STAGE_BY_PRIORITY)
+        rows = self._with_rep_count(self.read("orders").filter("o_custkey % 5 <> 0")).selectExpr(
+            "*",
+            "CAST(o_orderdate AS DATE) AS created",
+            f"CASE o_orderstatus WHEN 'F' THEN '{WON}' WHEN 'P' THEN '{LOST}'"
+            f" WHEN 'O' THEN {open_stage} END AS stage",
+        )
         return _shaped(
             rows,
             "sf_opportunities",
-            opportunity_id=order,
-            account_id=customer,
-            stage=F.col("stage"),
-            amount=F.col("o_totalprice").cast("decimal(12,2)"),
-            probability=_lookup(PROBABILITY, F.col("stage")),
-            close_date=F.date_add(created, (7 + order % 60).cast("int")),
-            created_date=created,
-            owner_id=(customer + shift) % self._rep_count(),
-            lead_source=F.element_at(_texts(LEAD_SOURCES), (order % 8 + 1).cast("int")),
-            loss_reason=F.when((F.col("stage") == LOST) & (order % 8 != 7), reason),
+            opportunity_id="o_orderkey",
+            account_id="o_custkey",
+            stage="stage",
+            amount="CAST(o_totalprice AS DECIMAL(12,2))",
+            probability=_case("stage", STAGE_PROBABILITY),
+            close_date="date_add(created, CAST(7 + o_orderkey % 60 AS INT))",
+            created_date="created",
+            owner_id="(o_custkey + IF(o_orderkey % 10 = 0, 1, 0)) % n_reps",
+            lead_source=f"elt(CAST(o_orderkey % 8 + 1 AS INT), {_texts(LEAD_SOURCES)})",
+            loss_reason=f"IF(stage = '{LOST}' AND o_orderkey % 8 <> 7,"
+            f" elt(CAST(o_orderkey % 7 + 1 AS INT), {_texts(LOSS_REASONS)}), NULL)",
         )
 
     def activities(self) -> DataFrame:
-        user, event = F.col("user_id"), F.col("event_id")
         return _shaped(
             self.read("events"),
             "sf_activities",
-            activity_id=event,
-            account_id=F.when(user % 5 != 0, user),
-            owner_id=user,
-            activity_type=_lookup(ACTIVITY_TYPES, F.col("event_type")),
-            activity_date=F.date_add(F.lit("1995-01-01").cast("date"), (event % 2400).cast("int")),
-            duration_minutes=F.floor("value").cast("int"),
+            activity_id="event_id",
+            account_id="IF(user_id % 5 <> 0, user_id, NULL)",
+            owner_id="user_id",
+            activity_type=_case("event_type", ACTIVITY_TYPES),
+            activity_date="date_add(DATE'1995-01-01', CAST(event_id % 2400 AS INT))",
+            duration_minutes="CAST(floor(value) AS INT)",
         )
 
     # ---- shipments --------------------------------------------------------
 
     def lean_shipments(self) -> DataFrame:
-        return self._shipments(self.read("lineitem"), operator_id=None)
+        return _shipments(self.read("lineitem"), with_operator=False)
 
     def shipments(self) -> DataFrame:
         """An order names the operator, so this one joins the orders.
 
         A line whose order is missing is kept, with no operator.
         """
-        rows = self.read("lineitem").join(
-            self.read("orders").select("o_orderkey", "o_custkey"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-            "left",
-        )
-        return self._shipments(rows, operator_id=F.col("o_custkey"))
-
-    def _shipments(self, rows: DataFrame, operator_id: Column | None) -> DataFrame:
-        """Amounts are worked out in whole cents and become decimals at the end.
-
-        The stored prices and rates have two decimals, so the nearest integer
-        of a hundredfold is exactly the amount in cents or the rate in percent.
-        """
-        shipped = F.col("l_shipdate").cast("date")
-        cents = {
-            "gross_sales": _hundredfold("l_extendedprice"),
-            "discounts": _percent_of("gross_sales", _hundredfold("l_discount")),
-            "returns": F.when(
-                F.col("l_returnflag") == "R", _percent_of("gross_sales", _hundredfold("l_tax"))
-            ).otherwise(0),
-            "net_sales": kpis.net_sales(),
-            "cost_of_goods": _percent_of("gross_sales", _cost_percent("l_partkey")),
-        }
-        for name, value in cents.items():
-            rows = rows.withColumn(name, value)
-        columns = {
-            "shipment_id": F.lit(None).cast("string"),
-            "shipment_date": shipped,
-            "week_ending": dates.week_ending(shipped),
-            "distributor_id": F.col("l_suppkey"),
-            "product_id": F.col("l_partkey"),
-            "quantity": F.col("l_quantity").cast("int"),
-        }
-        if operator_id is not None:
-            columns["operator_id"] = operator_id
-        return rows.select(
-            *[value.alias(name) for name, value in columns.items()],
-            *[_money(F.col(name)).alias(name) for name in cents],
+        orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+        return _shipments(
+            self.read("lineitem").join(orders, "l_orderkey", "left"), with_operator=True
         )
 
 
-def _hundredfold(column: str) -> Column:
-    return F.rint(F.col(column) * 100).cast("bigint")
-
-
-def _percent_of(amount: str, percent: Column) -> Column:
-    """A percentage of whole cents, halves rounded away from zero."""
-    product = F.col(amount) * percent
-    rounding = F.when(product < 0, -50).otherwise(50)
-    return F.call_function("div", product + rounding, F.lit(100))
+def _shipments(rows: DataFrame, with_operator: bool) -> DataFrame:
+    """Amounts are worked out in whole cents and become decimals at the end.
 
+    The stored prices and rates have two decimals, so the nearest integer of a
+    hundredfold is exactly the amount in cents or the rate in percent. A
+    percentage of cents rounds halves away from zero.
+    """
 
-def _money(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+    def percent_of_gross(rate: str) -> str:
+        return f"(gross * {rate} + IF(gross * {rate} < 0, -50, 50)) DIV 100"
 
+    rates = rows.selectExpr(
+        "*",
+        "CAST(l_shipdate AS DATE) AS shipment_date",
+        "CAST(rint(l_extendedprice * 100) AS BIGINT) AS gross",
+        "CAST(rint(l_discount * 100) AS BIGINT) AS discount_rate",
+        "IF(l_returnflag = 'R', CAST(rint(l_tax * 100) AS BIGINT), 0) AS return_rate",
+    )
+    cents = rates.selectExpr(
+        "*",
+        f"{percent_of_gross('discount_rate')} AS discount",
+        f"{percent_of_gross('return_rate')} AS returned",
+        f"{percent_of_gross('(55 + l_partkey % 21)')} AS cost",
+    )
 
-def _cost_percent(key: str) -> Column:
-    """Cost as percent of price, from 55 to 75 by product."""
-    return 55 + F.col(key) % 21
+    def money(amount: str) -> str:
+        return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(18,2))"
+
+    return cents.selectExpr(
+        "CAST(NULL AS STRING) AS shipment_id",
+        "shipment_date",
+        "date_add(shipment_date, 7 - dayofweek(shipment_date)) AS week_ending",
+        "l_suppkey AS distributor_id",
+        *(["o_custkey AS operator_id"] if with_operator else []),
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        f"{money('gross')} AS gross_sales",
+        f"{money('discount')} AS discounts",
+        f"{money('returned')} AS returns",
+        f"{money('gross - discount - returned')} AS net_sales",
+        f"{money('cost')} AS cost_of_goods",
+    )
 
 
-def _texts(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _texts(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def _lookup(table: dict, key: Column) -> Column:
-    result = None
-    for name, value in table.items():
-        hit = key == name
-        result = F.when(hit, value) if result is None else result.when(hit, value)
-    return result
+def _case(key: str, table: dict) -> str:
+    arms = " ".join(f"WHEN '{name}' THEN {value!r}" for name, value in table.items())
+    return f"CASE {key} {arms} END"
 
 
-def _shaped(rows: DataFrame, table: str, **columns: Column) -> DataFrame:
+def _shaped(rows: DataFrame, table: str, **columns: str) -> DataFrame:
     """The canonical columns in order; those the fixtures lack are typed NULLs.
 
     Keys keep the fixtures' integer type.
     """
     selected = []
     for field in TABLES[table].fields:
-        value = columns.get(field.name)
-        if value is None:
-            selected.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif field.name.endswith("_id"):
-            selected.append(value.alias(field.name))
-        else:
-            selected.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(*selected)
+        value = columns.get(field.name, "NULL")
+        if value == "NULL" or not field.name.endswith("_id"):
+            value = f"CAST({value} AS {field.dataType.simpleString()})"
+        selected.append(f"{value} AS {field.name}")
+    return rows.selectExpr(*selected)
