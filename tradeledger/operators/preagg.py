@@ -53,33 +53,49 @@ def shipments_by(
     the week ending; without keys the result is one row. ``period`` limits the
     week ending to a closed interval.
 
-    Each distinct count is taken from its own narrow scan: the pairs of grain
-    and counted id, deduplicated, come back as marker rows beside the shipment
-    rows, and one aggregation adds up both. Several ``count(distinct)`` in one
+    Each distinct count comes from its own narrow scan of grain and counted
+    id, deduplicated and counted; the small results are stacked under the sums
+    and folded into one row per grain. Several ``count(distinct)`` in one
     aggregation would instead copy every shipment once per count and carry all
     sums through the shuffle that finds the distinct ids.
     """
     rows, day = _source(star, {*keys}, period)
     counted = F.col("shipment_count") if "shipment_count" in rows.columns else F.lit(1)
-    stacked = rows.select(*_key_columns(keys, day), *SUMS, counted.alias("shipment_count"))
-    for name in distinct:
-        stacked = stacked.unionByName(
-            _marked(star, keys, name, period), allowMissingColumns=True
-        )
-    measures = [F.sum(c).alias(c) for c in SUMS]
-    total = F.sum("shipment_count")
-    measures.append(F.coalesce(total, F.lit(0)).alias("shipment_count"))
-    measures += [F.count(name).alias(name) for name in distinct]
-    return stacked.groupBy(*keys).agg(*measures)
-
-
-def _marked(star: Star, keys: tuple[str, ...], name: str, period: Period | None) -> DataFrame:
-    """One row per grain and distinct id, marked in the column ``name``."""
+    sums = rows.select(
+        *_key_columns(keys, day), *SUMS, counted.alias("shipment_count")
+    ).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in SUMS],
+        F.coalesce(F.sum("shipment_count"), F.lit(0)).alias("shipment_count"),
+    )
+    return _folded(keys, sums, *[_distinct_ids(star, keys, d, period) for d in distinct])
+
+
+def _distinct_ids(star: Star, keys: tuple[str, ...], name: str, period: Period | None) -> DataFrame:
+    """How many ids there are per grain, in the column ``name``."""
     counted = DISTINCTS[name]
     rows, day = _source(star, {*keys, counted}, period)
     pairs = rows.select(*_key_columns(keys, day), F.col(counted).alias("__id"))
     present = pairs.filter(F.col("__id").isNotNull()).distinct()
-    return present.select(*keys, F.lit(1).alias(name))
+    return present.groupBy(*keys).agg(F.count("__id").alias(name))
+
+
+def _folded(keys: tuple[str, ...], *frames: DataFrame) -> DataFrame:
+    """Frames with different measures at one grain, side by side.
+
+    Each frame has at most one row per grain, so the rows are stacked with
+    NULL in the measures they lack, and a maximum picks the one value. Unlike
+    a join this matches a NULL key with itself. A count without a row is 0.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    measures = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(
+        *[
+            F.coalesce(F.max(c), F.lit(0)).alias(c) if c in DISTINCTS else F.max(c).alias(c)
+            for c in measures
+        ]
+    )
 
 
 def _key_columns(keys: tuple[str, ...], day: str) -> list[Column | str]:
@@ -147,10 +163,5 @@ def activities_by(star: Star, *keys: str | Column) -> DataFrame:
 
 
 def merge_single_rows(*frames: DataFrame) -> DataFrame:
-    """One row holding the columns of several one-row frames.
-
-    The rows are stacked, each with NULL in the others' columns, and folded
-    by a global maximum, so no frame is joined to another without a key.
-    """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    """One row holding the columns of several one-row frames, without a join."""
+    return _folded((), *frames)
