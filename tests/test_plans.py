@@ -54,3 +54,28 @@ def test_top_n_is_taken_per_task(fixture_star):
 def test_sums_combine_before_the_shuffle(fixture_star):
     plan = plan_of(REPORTS["kpi_yoy_growth"](fixture_star))
     assert "partial_sum" in plan
+
+
+@pytest.mark.parametrize(
+    "name, file",
+    [
+        ("readme_yoy_total", "lineitem"), ("yoy_total_latest", "lineitem"),
+        ("q11_seasonality", "lineitem"), ("q06_pipeline_by_stage", "orders"),
+        ("q10_loss_reasons", "orders"), ("dash_pipeline_funnel", "orders"),
+        ("dash_stage_share", "orders"), ("dq_quantity_iqr", "lineitem"),
+    ],
+)
+def test_totals_do_not_read_the_facts_again(fixture_star, name, file):
+    df = REPORTS[name](fixture_star)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    # the subquery's plan follows its own initial plan; count reads in the final ones
+    assert final.count(f"{file}.parquet") <= 1
+
+
+def test_summed_branches_meet_without_another_shuffle(fixture_star):
+    """Sums and distinct counts are hashed by the grain already."""
+    df = shipments_by(fixture_star, "month_start", distinct=("active_operators",))
+    plan = plan_of(df)
+    above_union = plan[: plan.index("Union")]
+    assert "Exchange" not in above_union

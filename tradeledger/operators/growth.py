@@ -18,10 +18,27 @@ def prior_year(value: str, key: str, year: str = "year") -> Column:
     return F.first(value).over(frame)
 
 
-def prior_year_totals(yearly: DataFrame, value: str, year: str = "year") -> DataFrame:
+def prior_year_totals(
+    yearly: DataFrame, value: str, *others: str, year: str = "year"
+) -> DataFrame:
     """Years that have a predecessor, with its value as ``prior``.
 
-    Both sides are the same aggregate, so Spark computes it once.
+    Each yearly row is also written as next year's prior value, and one
+    aggregation brings the two together: the facts behind ``yearly`` are read
+    once, which a self join does not ensure.
     """
-    shifted = yearly.select((F.col(year) + 1).alias(year), F.col(value).alias("prior"))
-    return yearly.join(shifted, year)
+    own = F.struct(
+        F.col(year), F.col(value), *others, F.lit(None).alias("prior")
+    )
+    following = F.struct(
+        (F.col(year) + 1).alias(year),
+        F.lit(None).alias(value),
+        *[F.lit(None).alias(c) for c in others],
+        F.col(value).alias("prior"),
+    )
+    both = yearly.filter(F.col(year).isNotNull()).select(F.inline(F.array(own, following)))
+    return (
+        both.groupBy(year)
+        .agg(*[F.max(c).alias(c) for c in (value, *others, "prior")])
+        .filter(F.col(value).isNotNull() & F.col("prior").isNotNull())
+    )

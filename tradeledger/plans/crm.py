@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -215,9 +217,21 @@ def kpi_pipeline_health(star: Star) -> DataFrame:
     return stage_rows(star).orderBy("avg_probability", "stage")
 
 
+def over_all(df: DataFrame, column: str, how: Callable[[str], Column] = F.sum) -> Column:
+    """``how(column)`` over all rows of an aggregated frame, as a scalar subquery.
+
+    The subquery touches every column of ``df``. It then needs the very same
+    shuffle as the frame itself, and Spark runs that once for both; if unused
+    columns were left out, the facts would be read a second time.
+    """
+    rest = [F.max(c).alias(c) for c in df.columns if c != column]
+    totals = df.agg(F.struct(how(column).alias("figure"), *rest))
+    return totals.scalar()["figure"]
+
+
 def share_of_total(df: DataFrame, column: str) -> Column:
-    """Percent of the column's sum, which is taken as a scalar subquery."""
-    return kpis.percent(F.col(column), df.agg(F.sum(column)).scalar())
+    """Percent of the column's sum over all rows."""
+    return kpis.percent(F.col(column), over_all(df, column))
 
 
 def q06_pipeline_by_stage(star: Star) -> DataFrame:
@@ -263,7 +277,9 @@ def q03_lead_source_deals(star: Star) -> DataFrame:
 
 def q10_loss_reasons(star: Star) -> DataFrame:
     reason = F.coalesce("loss_reason", F.lit("Unknown")).alias("loss_reason")
-    losses = opps_by(star, reason, where=kpis.is_lost())
+    losses = opps_by(star, reason, where=kpis.is_lost()).select(
+        "loss_reason", "opportunities", "amount", "priced"
+    )
     return losses.select(
         "loss_reason",
         F.col("opportunities").alias("lost_deals"),

@@ -194,8 +194,8 @@ def dash_top_territories(star: Star, n: int = 10) -> DataFrame:
 # ---- open deals -----------------------------------------------------------
 
 def dash_pipeline_funnel(star: Star) -> DataFrame:
-    stages = crm.stage_rows(star)
-    largest = stages.agg(F.max("value")).scalar()
+    stages = crm.stage_rows(star).select("stage", "count", "value")
+    largest = crm.over_all(stages, "value", F.max)
     return stages.select(
         "stage", "count", "value", kpis.percent(F.col("value"), largest, 2).alias("pct_of_largest")
     )
@@ -210,7 +210,7 @@ def dash_pipeline_totals(star: Star) -> DataFrame:
 
 
 def dash_stage_share(star: Star) -> DataFrame:
-    stages = crm.stage_rows(star)
+    stages = crm.stage_rows(star).select("stage", "value")
     return stages.select("stage", crm.share_of_total(stages, "value").alias("pct_of_pipeline"))
 
 

@@ -128,10 +128,9 @@ def yoy_total_latest(star: Star) -> DataFrame:
     yearly = monthly.groupBy("year").agg(
         F.sum("net_sales").alias("net_sales"), F.max("month").alias("last_month")
     )
-    before = yearly.select((F.col("year") + 1).alias("year"), F.col("net_sales").alias("prior"))
     return (
-        yearly.filter(F.col("last_month") == 12)
-        .join(before, "year")
+        prior_year_totals(yearly, "net_sales", "last_month")
+        .filter(F.col("last_month") == 12)
         .select(
             "year",
             "net_sales",
