@@ -89,6 +89,29 @@ def test_rollups_answer_like_the_rows(spark, warehouse, report):
     assert text(report(rolled)) == text(report(plain))
 
 
+@pytest.mark.parametrize(
+    "report",
+    [
+        shipments.q01_distributor_yoy, shipments.kpi_monthly_trends,
+        shipments.kpi_distributor_scorecards, territory.kpi_territory_heatmap,
+    ],
+)
+def test_rollups_answer_for_a_year(spark, warehouse, report):
+    plain = report(sinks.open_star(spark, warehouse), year=2000)
+    rolled = report(sinks.open_star(spark, warehouse, rollups=True), year=2000)
+    assert text(rolled) == text(plain)
+    assert not any("/shipments/" in f for f in rolled.inputFiles())
+
+
+def test_rollups_step_aside_for_part_of_a_month(spark, warehouse):
+    period = (date(2000, 1, 5), date(2000, 2, 29))
+    plain = preagg.shipments_by(sinks.open_star(spark, warehouse), "year", period=period)
+    rolled = preagg.shipments_by(
+        sinks.open_star(spark, warehouse, rollups=True), "year", period=period
+    )
+    assert text(rolled) == text(plain)
+
+
 def test_rollup_reports_do_not_read_shipment_rows(spark, warehouse):
     rolled = sinks.open_star(spark, warehouse, rollups=True)
     for report in (shipments.kpi_distributor_scorecards, shipments.an_monthly_trend):
@@ -205,3 +228,15 @@ def test_hot_group_rollup(spark):
     assert (result["D0"]["active_operators"], result["D0"]["products_sold"]) == (1, 1)
     assert result["D1"]["active_operators"] == 200
     assert date(2024, 1, 6) == s.shipments.first()["week_ending"]
+
+
+def test_command_line(spark, export, tmp_path, capsys):
+    from tradeledger.__main__ import main
+
+    warehouse, products = str(tmp_path / "wh"), str(tmp_path / "out")
+    assert main(["load", export, warehouse], spark) == 0
+    assert main(["publish", warehouse, products], spark) == 0
+    assert main(["check", warehouse], spark) == 1
+    printed = capsys.readouterr().out
+    assert "ok   row_count shipments" in printed
+    assert "FAIL return_cap shipments.returns" in printed

@@ -8,7 +8,7 @@ row per map task in the partial aggregation, and that is all the shuffle sees.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -106,12 +106,14 @@ def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataF
     """The smallest frame with the asked columns, and its day column.
 
     A stored roll-up where there is one with these columns, unless a period
-    cuts through its months; else the shipment rows.
+    cuts through one of its months; else the shipment rows.
     """
-    if period is None:
+    if period is None or _is_whole_months(period):
         for name, grain in ROLLUPS.items():
             rollup = star.rollup(name)
             if rollup is not None and columns <= {*grain, *_DERIVED}:
+                if period is not None:
+                    rollup = rollup.filter(F.col("month_start").between(*map(F.lit, period)))
                 return rollup, "month_start"
     with_operator = "operator_id" in columns
     if period is not None:
@@ -119,6 +121,13 @@ def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataF
     return (star.shipments if with_operator else star.lean_shipments), "week_ending"
 
 
+def _is_whole_months(period: Period) -> bool:
+    first, last = period
+    if not (isinstance(first, date) and isinstance(last, date)):
+        return False
+    return first.day == 1 and (last + timedelta(days=1)).day == 1
+
+
 def rollup_shipments(star: Star, name: str) -> DataFrame:
     """One of the two roll-ups, computed from the shipment rows."""
     return shipments_by(star.without_rollups(), *ROLLUPS[name])
@@ -148,13 +157,16 @@ def opps_by(star: Star, *keys: str | Column, where: Column | None = None) -> Dat
     )
 
 
-def activities_by(star: Star, *keys: str | Column) -> DataFrame:
+def activities_by(star: Star, *keys: str | Column, where: Column | None = None) -> DataFrame:
     """Activity counts at a grain, in all and for the types reports show."""
 
     def of_type(name: str) -> Column:
         return F.count_if(F.col("activity_type") == name)
 
-    return star.sf_activities.groupBy(*keys).agg(
+    rows = star.sf_activities
+    if where is not None:
+        rows = rows.filter(where)
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("activities"),
         of_type("Call").alias("calls"),
         of_type("Meeting").alias("meetings"),

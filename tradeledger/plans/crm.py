@@ -168,8 +168,16 @@ def activity_revenue_corr(star: Star) -> DataFrame:
 
 def vw_rep_performance(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
     """Rep by year of close date; activities count in years that have deals."""
-    deals = opps_by(star, "owner_id", F.year("close_date").alias("year"))
-    acts = activities_by(star, "owner_id", F.year("activity_date").alias("act_year"))
+
+    def within(day: str) -> Column | None:
+        return None if year is None else F.col(day).between(*dates.year_bounds(year))
+
+    deals = opps_by(
+        star, "owner_id", F.year("close_date").alias("year"), where=within("close_date")
+    )
+    acts = activities_by(
+        star, "owner_id", F.year("activity_date").alias("act_year"), where=within("activity_date")
+    )
     acts = acts.select(F.col("owner_id").alias("act_owner"), "act_year", "activities")
     # A NULL close year or activity year equals nothing, as it should.
     by_year = deals.join(
@@ -177,8 +185,6 @@ def vw_rep_performance(star: Star, year: int | None = None, region: str | None =
         (deals["owner_id"] == acts["act_owner"]) & (deals["year"] == acts["act_year"]),
         "left",
     )
-    if year is not None:
-        by_year = by_year.filter(F.col("year") == year)
     places = star.territories.select("territory_id", "territory_name", "region")
     if region is not None:
         places = places.filter(F.col("region") == region)

@@ -347,7 +347,7 @@ def q11_seasonality(star: Star) -> DataFrame:
 # ---- products and totals --------------------------------------------------
 
 def q09_top_products(star: Star, n: int = 25) -> DataFrame:
-    """The top ``n`` are cut before products are looked up: only they are joined."""
+    """Products by net sales; ids without a product are left out before the cut."""
     top = (
         shipments_by(star, "product_id")
         .join(star.products, "product_id")

@@ -35,7 +35,7 @@ def write_rollups(star: Star, path: str) -> None:
     """The two monthly shipment roll-ups all shipment reports can read from."""
     for name in ROLLUPS:
         rollup = rollup_shipments(star, name).hint("rebalance")
-        rollup.write.mode("overwrite").parquet(f"{path}/rollup_{name}")
+        rollup.sortWithinPartitions("month_start").write.mode("overwrite").parquet(f"{path}/rollup_{name}")
 
 
 def open_star(spark: SparkSession, path: str, rollups: bool = False) -> Star:
