@@ -10,8 +10,6 @@ from tradeledger.star import Star
 def frame(spark, table, *rows):
     """Rows given as dicts; columns not named are NULL."""
     schema = TABLES[table]
-    for field in schema.fields:
-        field = field.name
     data = []
     for row in rows:
         unknown = set(row) - set(schema.names)

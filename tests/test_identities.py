@@ -1,7 +1,10 @@
 """Sums over any grain equal the total, and related counts add up."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
+from small import shipment, star
 
 from tradeledger.operators import preagg
 from tradeledger.plans import crm, shipments, territory
@@ -72,6 +75,40 @@ def test_distinct_counts_match_count_distinct(fixture_star):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_any_grain_matches_plain_python(spark):
+    """Random shipments with NULL and repeated keys, against dictionaries."""
+    draw = random.Random(7)
+    many = [
+        shipment(
+            draw.choice(["2023-12-30", "2024-01-06", "2024-02-03", None]),
+            distributor=draw.choice(["D1", "D1", "D2", None]),
+            operator=draw.choice(["O1", "O2", "O3", None]),
+            product=draw.choice(["P1", "P2", None]),
+            gross=draw.randint(0, 50),
+        )
+        for _ in range(150)
+    ]
+    names = ("active_operators", "products_sold", "active_distributors")
+    for keys in ((), ("distributor_id",), ("distributor_id", "product_id")):
+        expected = {}
+        for row in many:
+            group = expected.setdefault(
+                tuple(row[k] for k in keys), [0, 0, *(set() for _ in names)]
+            )
+            group[0] += 1
+            group[1] += row["net_sales"]
+            for seen, name in zip(group[2:], names):
+                seen.add(row[preagg.DISTINCTS[name]])
+        result = preagg.shipments_by(star(spark, shipments=many), *keys, distinct=names)
+        got = {
+            tuple(r[k] for k in keys): [r["shipment_count"], r["net_sales"], *(r[n] for n in names)]
+            for r in result.collect()
+        }
+        assert got == {
+            k: [g[0], g[1], *(len(seen - {None}) for seen in g[2:])] for k, g in expected.items()
+        }
+
+
 def test_win_rate_all_stays_a_percentage(fixture_star):
     rates = crm.an_rep_summary(fixture_star).select("win_rate_all").dropna().collect()
     assert rates and all(0 <= r[0] <= 100 for r in rates)

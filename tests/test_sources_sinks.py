@@ -14,8 +14,6 @@ from tradeledger.plans import crm, publish, shipments, territory
 from tradeledger.sources import sinks, tables
 from tradeledger.sources.schemas import TABLES
 
-NATIVE_KEYS = {name: [f.name for f in schema.fields] for name, schema in TABLES.items()}
-
 
 def as_export(fixture_star, spark):
     """The fixture star with text keys and ids, as an export has them."""

@@ -15,7 +15,6 @@ from tradeledger.operators import quality
 from tradeledger.plans import crm, dashboard, roundtrip, shipments, territory
 from tradeledger.sources import fixtures
 from tradeledger.sources.schemas import PRIMARY_KEYS
-from tradeledger.star import Star
 
 Report = Callable[..., DataFrame]
 

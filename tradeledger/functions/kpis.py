@@ -67,10 +67,6 @@ def lost_deals() -> Column:
     return F.count_if(is_lost())
 
 
-def closed_deals() -> Column:
-    return F.count_if(is_closed())
-
-
 def revenue_won() -> Column:
     return F.coalesce(F.sum(F.when(is_won(), F.col("amount"))), F.lit(0).cast("decimal(18,2)"))
 

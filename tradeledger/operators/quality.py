@@ -239,15 +239,21 @@ def dq_date_bounds(star: Star, first: date = FIRST_DAY, last: date = LAST_DAY) -
     return run_checks(star, date_bound_checks(first, last))
 
 
-def dq_win_rate_band(star: Star, lower: float = WIN_RATE_BAND[0], upper: float = WIN_RATE_BAND[1]) -> DataFrame:
+def dq_win_rate_band(
+    star: Star, lower: float = WIN_RATE_BAND[0], upper: float = WIN_RATE_BAND[1]
+) -> DataFrame:
     return run_checks(star, win_rate_checks(lower, upper))
 
 
-def dq_net_pct_band(star: Star, lower: float = NET_PCT_BAND[0], upper: float = NET_PCT_BAND[1]) -> DataFrame:
+def dq_net_pct_band(
+    star: Star, lower: float = NET_PCT_BAND[0], upper: float = NET_PCT_BAND[1]
+) -> DataFrame:
     return run_checks(star, net_pct_checks(lower, upper))
 
 
-def dq_avg_deal_band(star: Star, lower: float = AVG_DEAL_BAND[0], upper: float = AVG_DEAL_BAND[1]) -> DataFrame:
+def dq_avg_deal_band(
+    star: Star, lower: float = AVG_DEAL_BAND[0], upper: float = AVG_DEAL_BAND[1]
+) -> DataFrame:
     return run_checks(star, avg_deal_checks(lower, upper))
 
 

@@ -1,7 +1,8 @@
 """Sources and sinks at work: write the star or a product, read it back, report.
 
 Each report writes to a new folder under the shared folder the session names
-for checkpoints, and what it returns is computed from the files alone.
+for checkpoints, and what it returns is computed from the files alone. The
+files stay there as long as checkpoints do.
 """
 
 from __future__ import annotations
