@@ -1,8 +1,8 @@
 """Independent SQL for every registered query, run by another engine."""
 
-from oracle.quality import QUALITY
-from oracle.reports import REPORTS
-from oracle.tables import with_tables
+from ledger_sql.quality import QUALITY
+from ledger_sql.reports import REPORTS
+from ledger_sql.tables import with_tables
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import dbl, pct, ratio
+from ledger_sql.tables import dbl, pct, ratio
 
 QUALITY: dict[str, str] = {}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import dbl, pct, ratio, rounded
+from ledger_sql.tables import dbl, pct, ratio, rounded
 
 YEAR = 2000
 
