@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeledger.llm import quality_rules
+from tradeledger.llm import packing, quality_rules
 from tradeledger.llm.sql import QUALITY_SQL
 
 
@@ -22,8 +22,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def byte_bpe_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_quality_rules": op8_quality_rules}
+    return {
+        "op8_quality_rules": op8_quality_rules,
+        "op9_packing": op9_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
