@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeledger.llm import packing, quality_rules
+from tradeledger.llm import language_id, packing, quality_rules
 from tradeledger.llm.sql import QUALITY_SQL
 
 
@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(language_id.training_windows(docs.filter(~language_id.held_out())))
+    return language_id.predict(docs, model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.measures(table(spark, sf_dir, "documents"))
     return found.select(
@@ -34,6 +42,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_id": op2_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
     }
