@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradeledger.llm import language_id, packing, quality_rules
+from tradeledger.llm import language_id, packing, quality_rules, toxicity
 from tradeledger.llm.sql import QUALITY_SQL
 
 
@@ -22,6 +23,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.measures(table(spark, sf_dir, "documents"))
     return found.select(
@@ -43,6 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": op2_language_id,
+        "op4_toxicity": op4_toxicity,
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
     }
