@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import language_id, packing, quality_rules, toxicity
+from tradeledger.llm import jaccard_join, language_id, packing, quality_rules, sparse_suffix, toxicity
 from tradeledger.llm.sql import QUALITY_SQL
 
 
@@ -32,6 +32,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.measures(table(spark, sf_dir, "documents"))
     return found.select(
@@ -54,6 +62,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": op2_language_id,
         "op4_toxicity": op4_toxicity,
+        "op5_jaccard_join": op5_jaccard_join,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
     }
