@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import jaccard_join, language_id, packing, quality_rules, sparse_suffix, toxicity
+from tradeledger.llm import jaccard_join, language_id, multi_index, packing, quality_rules, sparse_suffix, toxicity
 from tradeledger.llm.sql import QUALITY_SQL
 
 
@@ -58,6 +58,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": op2_language_id,
@@ -66,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_suffix_dedup": op6_suffix_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
+        "op10_embedding_neardup": op10_embedding_neardup,
     }
 
 
