@@ -39,3 +39,34 @@ SELECT *, NOT base_failed AND n_words BETWEEN 10 AND 200000
        AND n_repeat_words::DOUBLE / greatest(n_words, 1) <= 0.2 AS kept
 FROM b
 """
+
+_HOST = r"'^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1"
+
+URL_SQL = rf"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2023-01-01' + (('0x' || substr(md5(page_id::VARCHAR), 1, 7))::INT % 730) AS fetched_at,
+         rtrim(lower(regexp_extract(url, {_HOST})), '.') AS host,
+         regexp_extract(url, '^[a-z]+://[^/?#]*/([^/?#]+)', 1) AS first
+  FROM pages),
+hosts AS (SELECT host, ('0x' || substr(md5(host), 1, 7))::INT AS h FROM captures WHERE host <> '' GROUP BY host),
+days AS (SELECT host, h, h // 4 % 500 AS b, h // 4 % 500 + 30 + h // 97 % 150 AS e FROM hosts WHERE h % 4 = 0),
+blocked AS (
+  SELECT host AS entry, h, b AS low, CASE WHEN h % 8 = 0 THEN e ELSE 100000 END AS high FROM days
+  UNION ALL SELECT host, h, e + 60, 100000 FROM days WHERE h % 16 = 0),
+allowed AS (
+  SELECT entry, ('0x' || substr(md5(entry), 1, 7))::INT AS h
+  FROM (SELECT DISTINCT host || '/' || first AS entry FROM captures WHERE host <> '' AND first <> '')),
+rules AS (
+  SELECT 'domain' AS kind, entry, 'block' AS action, 'c' || (h % 3) AS category, low, high FROM blocked
+  UNION ALL SELECT 'prefix', entry, 'allow', 'reviewed', h // 5 % 730, 100000 FROM allowed WHERE h % 5 = 0),
+found AS (
+  SELECT c.page_id, r.*,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY length(entry) DESC, action, kind, entry, category) AS n
+  FROM captures c JOIN rules r
+    ON (r.kind = 'domain' AND (c.host = r.entry OR ends_with(c.host, '.' || r.entry))
+        OR r.kind = 'prefix' AND c.host || '/' || c.first = r.entry)
+   AND c.fetched_at - DATE '2023-01-01' >= r.low AND c.fetched_at - DATE '2023-01-01' < r.high)
+SELECT c.page_id, c.url, c.fetched_at::DATE::VARCHAR AS fetched_at, coalesce(f.action = 'block', false) AS blocked, f.entry AS rule,
+       f.kind AS rule_kind, f.category
+FROM captures c LEFT JOIN found f ON f.page_id = c.page_id AND f.n = 1
+"""
