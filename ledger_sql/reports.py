@@ -25,7 +25,8 @@ _MONTH = "strftime(week_ending, '%Y-%m')"
 
 
 def _reps(
-    directors: bool = False, where: str = "TRUE", territory: str = "LEFT", region: str | None = None
+    directors: bool = False, where: str = "TRUE", territory: str = "LEFT", region: str | None = None,
+    acts: str = "TRUE",
 ) -> str:
     keep = "TRUE" if directors else "r.rep_tier <> 'Director'"
     if region:
@@ -41,7 +42,8 @@ def _reps(
         {territory} JOIN territories t ON t.territory_id = r.territory_id
         LEFT JOIN (SELECT owner_id, {_DEALS} FROM sf_opportunities WHERE {where}
                    GROUP BY owner_id) d ON d.owner_id = r.rep_id
-        LEFT JOIN (SELECT owner_id, {_ACTS} FROM sf_activities GROUP BY owner_id) a
+        LEFT JOIN (SELECT owner_id, {_ACTS} FROM sf_activities WHERE {acts}
+                   GROUP BY owner_id) a
                ON a.owner_id = r.rep_id
         WHERE {keep})"""
 
@@ -117,35 +119,40 @@ def _sales(where: str = "TRUE") -> str:
                           WHERE {where} GROUP BY o.territory_id) USING (territory_id)"""
 
 
-_TERRITORY_DEALS = """
+def _territory_deals(where: str = "TRUE") -> str:
+    return f"""
     LEFT JOIN (SELECT o.territory_id, COUNT(*) AS opportunities,
                       COALESCE(SUM(q.amount) FILTER (WHERE q.stage = 'Closed Won'), 0) AS revenue_won
                FROM sf_opportunities q JOIN sf_accounts a ON a.account_id = q.account_id
                JOIN operators o ON o.operator_id = a.operator_id
-               GROUP BY o.territory_id) USING (territory_id)"""
+               WHERE {where} GROUP BY o.territory_id) USING (territory_id)"""
 
 
-def _heatmap(where: str = "TRUE", keep: str = "TRUE") -> str:
+def _heatmap(where: str = "TRUE", keep: str = "TRUE", deals: str = "TRUE") -> str:
     return f"""(
         SELECT territory_id, territory_name, region, state, COALESCE(n_operators, 0) AS operators,
                COALESCE(n_reps, 0) AS reps, net_sales,
                COALESCE(opportunities, 0) AS opportunities, COALESCE(revenue_won, 0) AS revenue_won
         FROM territories {_members('operators', 'n_operators')} {_members('sales_reps', 'n_reps')}
-             {_sales(where)} {_TERRITORY_DEALS}
+             {_sales(where)} {_territory_deals(deals)}
         WHERE {keep})"""
 
 
-def _heatmap_report(where: str = "TRUE", keep: str = "TRUE") -> str:
+def _heatmap_report(where: str = "TRUE", keep: str = "TRUE", deals: str = "TRUE") -> str:
     return f"""
     SELECT territory_id, territory_name, region, state, operators, reps,
            {dbl('net_sales')} AS net_sales, opportunities, {dbl('revenue_won')} AS revenue_won
-    FROM {_heatmap(where, keep)}"""
+    FROM {_heatmap(where, keep, deals)}"""
 
 
-_STAGES = f"""(
+def _stages(where: str = "TRUE") -> str:
+    return f"""(
     SELECT stage, COUNT(*) AS n, SUM(amount) AS value, AVG(probability) AS avg_probability,
            SUM(amount * probability * CAST(0.01 AS DECIMAL(3,2))) AS weighted
-    FROM sf_opportunities WHERE {_OPEN} GROUP BY stage)"""
+    FROM sf_opportunities WHERE {_OPEN} AND {where} GROUP BY stage)"""
+
+
+_STAGES = _stages()
 
 _MONTHS = """
     SELECT {columns} FROM (
@@ -160,14 +167,18 @@ def _months(columns: str, where: str = "TRUE") -> str:
     return _MONTHS.format(columns=columns, where=where)
 
 
-_DEAL_TOTALS = f"""(
+def _deal_totals(where: str = "TRUE") -> str:
+    return f"""(
     SELECT COUNT(*) AS total_opportunities,
            COUNT(*) FILTER (WHERE stage = 'Closed Won') AS won_deals,
            COUNT(*) FILTER (WHERE stage = 'Closed Lost') AS lost_deals,
            COALESCE(SUM(amount) FILTER (WHERE stage = 'Closed Won'), 0) AS revenue_won,
            COUNT(amount) FILTER (WHERE stage = 'Closed Won') AS priced_wins,
            COALESCE(SUM(amount) FILTER (WHERE {_OPEN}), 0) AS pipeline_value
-    FROM sf_opportunities)"""
+    FROM sf_opportunities WHERE {where})"""
+
+
+_DEAL_TOTALS = _deal_totals()
 
 _WIN = "COALESCE(win_rate, 0)"
 
@@ -345,7 +356,7 @@ REPORTS["vw_territory_summary"] = f"""
            COALESCE(n_distributors, 0) AS total_distributors,
            {dbl('net_sales')} AS total_net_sales, COALESCE(opportunities, 0) AS total_opportunities
     FROM territories {_members('operators', 'n_operators')} {_members('sales_reps', 'n_reps')}
-         {_members('distributors', 'n_distributors')} {_sales()} {_TERRITORY_DEALS}"""
+         {_members('distributors', 'n_distributors')} {_sales()} {_territory_deals()}"""
 
 # ---- summary tables -------------------------------------------------------
 
@@ -378,7 +389,8 @@ REPORTS["an_monthly_trend"] = f"""
 
 # ---- KPI products ---------------------------------------------------------
 
-REPORTS["kpi_executive_summary"] = f"""
+def _executive_summary(sold: str = "TRUE", deals: str = "TRUE") -> str:
+    return f"""
     SELECT {dbl('s.net')} AS total_net_sales, {dbl('s.gross')} AS total_gross_sales,
            {dbl('s.net - s.cogs')} AS gross_margin, {pct('s.net - s.cogs', 's.net')} AS margin_pct,
            s.total_units, s.total_operators, s.total_distributors, s.total_shipments,
@@ -391,24 +403,35 @@ REPORTS["kpi_executive_summary"] = f"""
                  CAST(SUM(quantity) AS BIGINT) AS total_units,
                  COUNT(DISTINCT operator_id) AS total_operators,
                  COUNT(DISTINCT distributor_id) AS total_distributors,
-                 COUNT(*) AS total_shipments FROM shipments) s, {_DEAL_TOTALS} o"""
+                 COUNT(*) AS total_shipments FROM shipments WHERE {sold}) s, {_deal_totals(deals)} o"""
+
+
+REPORTS["kpi_executive_summary"] = _executive_summary()
 
 REPORTS["kpi_yoy_growth"] = _growth()
 REPORTS["kpi_distributor_scorecards"] = _scorecard_report()
 REPORTS["kpi_rep_rankings"] = _RANKINGS + _reps()
 REPORTS["kpi_territory_heatmap"] = _heatmap_report()
 
-REPORTS["kpi_pipeline_health"] = f"""
+def _pipeline_health(where: str = "TRUE") -> str:
+    return f"""
     SELECT stage, n AS count, {dbl('value')} AS value, avg_probability,
-           {dbl('weighted')} AS weighted_value FROM {_STAGES}"""
+           {dbl('weighted')} AS weighted_value FROM {_stages(where)}"""
+
+
+REPORTS["kpi_pipeline_health"] = _pipeline_health()
 
 REPORTS["kpi_monthly_trends"] = _months(
     f"month, {dbl('net')} AS net_sales, units, active_operators, {dbl('margin')} AS gross_margin"
 )
 
-REPORTS["kpi_activity_correlation"] = f"""
+def _activity_correlation(**reps: str) -> str:
+    return f"""
     SELECT rep_id, rep_name, activities AS total_activities, calls, meetings, site_visits,
-           {dbl('revenue')} AS revenue FROM {_reps()} WHERE activities > 0"""
+           {dbl('revenue')} AS revenue FROM {_reps(**reps)} WHERE activities > 0"""
+
+
+REPORTS["kpi_activity_correlation"] = _activity_correlation()
 
 # ---- other documented queries ---------------------------------------------
 
@@ -443,25 +466,37 @@ REPORTS["shipment_monthly_summary"] = f"""
 
 # ---- dashboard roll-ups ---------------------------------------------------
 
-REPORTS["dash_region_sales"] = f"""
+def _region_sales(where: str = "TRUE") -> str:
+    return f"""
     SELECT COALESCE(region, 'Unknown') AS region, COALESCE({dbl('SUM(net_sales)')}, 0) AS net_sales
-    FROM {_scorecards()} GROUP BY 1"""
+    FROM {_scorecards(where)} GROUP BY 1"""
+
+
+def _top_distributors(where: str = "TRUE") -> str:
+    return f"""
+    SELECT distributor_id, distributor_name, LEFT(distributor_name, 15) AS label,
+           {dbl('net_sales')} AS net_sales
+    FROM {_scorecards(where)} c ORDER BY c.net_sales DESC NULLS LAST, distributor_id LIMIT 8"""
 
-REPORTS["dash_top_distributors"] = f"""
-    SELECT LEFT(distributor_name, 15) AS label, {dbl('net_sales')} AS net_sales
-    FROM {_scorecards()} c ORDER BY c.net_sales DESC NULLS LAST, distributor_id LIMIT 8"""
 
-REPORTS["dash_top_reps"] = f"""
+def _top_reps(**reps: str) -> str:
+    return f"""
     SELECT rep_name, COALESCE(territory_name, 'N/A') AS territory_name, revenue, win_rate,
            CASE WHEN {_WIN} >= 40 THEN 'success' ELSE 'warning' END AS win_band, won
-    FROM ({_RANKINGS} {_reps()}) ORDER BY revenue DESC NULLS LAST, rep_id LIMIT 5"""
+    FROM ({_RANKINGS} {_reps(**reps)}) ORDER BY revenue DESC NULLS LAST, rep_id LIMIT 5"""
+
+
+REPORTS["dash_region_sales"] = _region_sales()
+REPORTS["dash_top_distributors"] = _top_distributors()
+REPORTS["dash_top_reps"] = _top_reps()
 
 REPORTS["dash_yoy_top"] = f"""
     SELECT distributor_name, distributor_type, net_sales, yoy_growth,
            CASE WHEN COALESCE(yoy_growth, 0) >= 0 THEN 'success' ELSE 'danger' END AS band
     FROM ({_growth(YEAR)}) ORDER BY net_sales DESC NULLS LAST, distributor_name LIMIT 5"""
 
-REPORTS["dash_rep_leaderboard"] = f"""
+def _leaderboard(**reps: str) -> str:
+    return f"""
     SELECT ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS LAST, rep_id) AS rank,
            ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS LAST, rep_id) <= 3 AS top_three,
            rep_id, rep_name, COALESCE(rep_tier, 'N/A') AS rep_tier,
@@ -472,7 +507,10 @@ REPORTS["dash_rep_leaderboard"] = f"""
            CASE WHEN COALESCE(quota_attainment, 0) >= 100 THEN 'success'
                 ELSE 'warning' END AS quota_band,
            activities
-    FROM ({_RANKINGS} {_reps()})"""
+    FROM ({_RANKINGS} {_reps(**reps)})"""
+
+
+REPORTS["dash_rep_leaderboard"] = _leaderboard()
 
 REPORTS["dash_region_rollup"] = f"""
     SELECT COALESCE(region, 'Unknown') AS region, COUNT(*) AS territories,
@@ -499,31 +537,50 @@ REPORTS["dash_pipeline_totals"] = f"""
 REPORTS["dash_stage_share"] = f"""
     SELECT stage, {pct('value', 'SUM(value) OVER ()')} AS pct_of_pipeline FROM {_STAGES}"""
 
-REPORTS["dash_distributor_totals"] = f"""
+def _distributor_totals(keep: str = "TRUE") -> str:
+    return f"""
     SELECT COUNT(*) AS distributors, COALESCE({dbl('SUM(net_sales)')}, 0) AS net_sales,
            CAST(SUM(active_operators) AS BIGINT) AS operators_served,
            MAX(products_sold) AS max_products
-    FROM {_scorecards()}"""
+    FROM {_scorecards(keep=keep)}"""
 
-REPORTS["dash_rep_totals"] = f"""
+
+REPORTS["dash_distributor_totals"] = _distributor_totals()
+
+def _rep_totals(**reps: str) -> str:
+    return f"""
     SELECT COUNT(*) AS reps,
            {ratio(f'SUM(CAST({_WIN} AS DECIMAL(18,1)))', 'COUNT(*)', 1)} AS avg_win_rate,
            {ratio('SUM(CAST(COALESCE(avg_deal, 0) AS DECIMAL(18,2)))', 'COUNT(*)', 2)} AS avg_deal,
            COALESCE(CAST(SUM(activities) AS BIGINT), 0) AS total_activities
-    FROM ({_RANKINGS} {_reps()})"""
+    FROM ({_RANKINGS} {_reps(**reps)})"""
 
-REPORTS["dash_win_rate_by_tier"] = f"""
+
+REPORTS["dash_rep_totals"] = _rep_totals()
+
+def _win_rate_by_tier(**reps: str) -> str:
+    return f"""
     SELECT COALESCE(rep_tier, 'Unknown') AS rep_tier, COUNT(*) AS reps,
            {ratio(f'SUM(CAST({_WIN} AS DECIMAL(18,1)))', 'COUNT(*)', 2)} AS avg_win_rate
-    FROM ({_RANKINGS} {_reps()}) GROUP BY 1"""
+    FROM ({_RANKINGS} {_reps(**reps)}) GROUP BY 1"""
 
-_BAR = ratio("COALESCE(gross_margin, 0)", "COALESCE(NULLIF(net_sales, 0), 1)")
-REPORTS["dash_margin_bar"] = f"""
-    SELECT distributor_id, distributor_name,
-           {rounded(f'LEAST(100.0::DOUBLE, {_BAR} * 100.0::DOUBLE * 3.0::DOUBLE)', 2)} AS bar_width
-    FROM {_scorecards()}"""
 
-REPORTS["dash_distributor_cards"] = f"""
+REPORTS["dash_win_rate_by_tier"] = _win_rate_by_tier()
+
+_BAR = ratio("COALESCE(gross_margin, 0)", "COALESCE(NULLIF(net_sales, 0), 1)", 2, "300.0")
+
+
+def _margin_bar(keep: str = "TRUE") -> str:
+    return f"""
+    SELECT distributor_id, distributor_name, {pct('gross_margin', 'net_sales', 2)} AS margin_pct,
+           LEAST(100.0::DOUBLE, {_BAR}) AS bar_width
+    FROM {_scorecards(keep=keep)}"""
+
+
+REPORTS["dash_margin_bar"] = _margin_bar()
+
+def _distributor_cards(keep: str = "TRUE") -> str:
+    return f"""
     SELECT distributor_id, distributor_name,
            distributor_type || ' / ' || COALESCE(region, 'N/A') AS subtitle,
            {_compact_money('COALESCE(net_sales, 0)')} AS net_sales,
@@ -531,16 +588,23 @@ REPORTS["dash_distributor_cards"] = f"""
            {_compact_count('products_sold')} AS products,
            {_percent_text('COALESCE(return_rate, 0)')} AS return_rate,
            {_compact_money('COALESCE(gross_margin, 0)')} AS margin
-    FROM {_scorecards()}"""
+    FROM {_scorecards(keep=keep)}"""
 
-REPORTS["dash_headline_cards"] = f"""
+
+REPORTS["dash_distributor_cards"] = _distributor_cards()
+
+def _headline_cards(sold: str = "TRUE", deals: str = "TRUE") -> str:
+    return f"""
     SELECT {_compact_money('s.net')} AS total_net_sales, {_compact_count('s.units')} AS total_units,
            {_compact_count('s.ops')} AS active_operators,
            {_percent_text(pct('o.won_deals', 'o.won_deals + o.lost_deals'))} AS win_rate,
            {_compact_money(ratio('o.revenue_won', 'o.priced_wins', 2))} AS avg_deal_size,
            {_compact_money('o.pipeline_value')} AS pipeline_value
     FROM (SELECT SUM(net_sales) AS net, CAST(SUM(quantity) AS BIGINT) AS units,
-                 COUNT(DISTINCT operator_id) AS ops FROM shipments) s, {_DEAL_TOTALS} o"""
+                 COUNT(DISTINCT operator_id) AS ops FROM shipments WHERE {sold}) s, {_deal_totals(deals)} o"""
+
+
+REPORTS["dash_headline_cards"] = _headline_cards()
 
 # ---- promised metrics -----------------------------------------------------
 
@@ -571,10 +635,26 @@ REPORTS["activity_revenue_corr"] = f"""
 _IN_YEAR = f"YEAR(week_ending) = {YEAR}"
 REPORTS["slice_scorecards_year_type"] = _scorecard_report(_IN_YEAR, "distributor_type = 'National'")
 REPORTS["slice_scorecard_view_region"] = _scorecard_view(f"t.region = 'ASIA' AND s.year = {YEAR}")
-REPORTS["slice_heatmap_year_region"] = _heatmap_report(_IN_YEAR, "region = 'EUROPE'")
+_CLOSED_IN_YEAR = f"YEAR(close_date) = {YEAR}"
+_ACTED_IN_YEAR = f"YEAR(activity_date) = {YEAR}"
+REPORTS["slice_heatmap_year_region"] = _heatmap_report(_IN_YEAR, "region = 'EUROPE'", _CLOSED_IN_YEAR)
 REPORTS["slice_rankings_year_region"] = _RANKINGS + _reps(
-    where=f"YEAR(close_date) = {YEAR}", region="AMERICA"
+    where=_CLOSED_IN_YEAR, region="AMERICA", acts=_ACTED_IN_YEAR
 )
+REPORTS["slice_rep_performance_year"] = REPORTS["vw_rep_performance"] + f" WHERE d.year = {YEAR}"
+REPORTS["slice_executive_summary_year"] = _executive_summary(_IN_YEAR, _CLOSED_IN_YEAR)
+REPORTS["slice_pipeline_year"] = _pipeline_health(_CLOSED_IN_YEAR)
+REPORTS["slice_headline_cards_year"] = _headline_cards(_IN_YEAR, _CLOSED_IN_YEAR)
+REPORTS["slice_region_sales_year"] = _region_sales(_IN_YEAR)
+REPORTS["slice_top_distributors_year"] = _top_distributors(_IN_YEAR)
+REPORTS["slice_top_reps_year"] = _top_reps(where=_CLOSED_IN_YEAR, acts=_ACTED_IN_YEAR)
+REPORTS["slice_distributor_totals_type"] = _distributor_totals("distributor_type = 'Regional'")
+REPORTS["slice_distributor_cards_type"] = _distributor_cards("distributor_type = 'Specialty'")
+REPORTS["slice_margin_bar_type"] = _margin_bar("distributor_type = 'National'")
+REPORTS["slice_leaderboard_region"] = _leaderboard(region="ASIA")
+REPORTS["slice_rep_totals_region"] = _rep_totals(region="EUROPE")
+REPORTS["slice_win_rate_tier_region"] = _win_rate_by_tier(region="AFRICA")
+REPORTS["slice_activity_correlation_region"] = _activity_correlation(region="AMERICA")
 REPORTS["slice_yoy_region"] = _growth(
     YEAR, "AND d.territory_id IN (SELECT territory_id FROM territories WHERE region = 'ASIA')"
 )

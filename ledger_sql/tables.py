@@ -15,6 +15,7 @@ def _share(rate: str) -> str:
 
 _SHIPPED = "CAST(l_shipdate AS DATE)"
 
+# The labels in the CASE arms are those FIXTURES.md lists.
 TABLES = {
     "territories": """
         SELECT n_nationkey AS territory_id, n_name AS territory_name,
@@ -110,6 +111,7 @@ def dbl(value: str) -> str:
 
 
 def rounded(value: str, digits: int) -> str:
+    # eight places absorb the binary error of a quotient, so exact halves are seen as such
     return f"CAST(ROUND(CAST({value} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 

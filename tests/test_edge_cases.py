@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from small import activity, deal, rows, shipment, star
 
 from tradeledger.functions import dates, kpis
-from tradeledger.operators.ranking import with_row_number
+from tradeledger.operators.ranking import with_rank
 from tradeledger.plans import crm, dashboard, shipments, territory
 
 TERRITORIES = [
@@ -248,17 +248,84 @@ def test_halves_round_away_from_zero(spark):
     assert tuple(got) == (2.68, -0.3, None)
 
 
-def test_row_number_with_many_ties(spark):
+def test_quotients_round_once(spark):
+    """2.674999999 is below the half, 310528.845 is the half itself."""
+    got = spark.range(1).select(
+        kpis.half_up(F.lit(2.674999999), 2),
+        kpis.ratio(F.lit(1242115.38).cast("decimal(18,2)"), F.lit(4), 2),
+    ).first()
+    assert tuple(got) == (2.67, 310528.85)
+
+
+def test_rank_with_many_ties(spark):
     """A third of the rows share one value; numbers are still 1..n in order."""
     n = 3000
     df = spark.range(n).select(
-        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 101).alias("v")
+        (F.col("id") * 100).alias("id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None)
+        .otherwise((F.col("id") % 101 - 40) * 1000).alias("v"),
     )
-    got = [tuple(r) for r in with_row_number(df.repartition(8), F.desc("v"), F.asc("id"))
-           .select("rank", "v", "id").collect()]
-    expected = sorted(((r["v"], r["id"]) for r in df.collect()), key=lambda p: (-p[0], p[1]))
+    got = [tuple(r) for r in with_rank(df.repartition(8), "v", "id").select("rank", "v", "id").collect()]
+    low = -(10**9)
+    expected = sorted(((r["v"], r["id"]) for r in df.collect()), key=lambda p: (-(low if p[0] is None else p[0]), p[1]))
     assert sorted(got) == [(i + 1, v, k) for i, (v, k) in enumerate(expected)]
 
 
-def test_row_number_of_nothing(spark):
-    assert with_row_number(spark.range(0), F.asc("id")).count() == 0
+def test_rank_of_texts_and_of_nothing(spark):
+    df = spark.createDataFrame([("R10", 5), ("R2", 5), ("A1", 9), (None, 5)], "id string, v int")
+    got = [tuple(r) for r in with_rank(df, "v", "id").orderBy("rank").collect()]
+    assert got == [(1, "A1", 9), (2, None, 5), (3, "R10", 5), (4, "R2", 5)]
+    assert with_rank(df.limit(0), "v", "id").count() == 0
+
+
+def test_building_the_leaderboard_starts_no_job(spark, fixture_star):
+    from tradeledger.plans import dashboard
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    dashboard.dash_rep_leaderboard(fixture_star).explain()
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_a_year_filters_every_fact(spark):
+    """A distributor, a rep and a territory have nothing in 2024."""
+    s = star(
+        spark,
+        territories=[{"territory_id": t, "territory_name": t, "region": "West"} for t in ("T1", "T2")],
+        distributors=[
+            {"distributor_id": d, "distributor_name": d, "distributor_type": "National", "territory_id": "T1"}
+            for d in ("D1", "D2")
+        ],
+        operators=[{"operator_id": o, "operator_name": o, "territory_id": t} for o, t in (("O1", "T1"), ("O2", "T2"))],
+        sales_reps=[
+            {"rep_id": r, "rep_name": r, "rep_tier": "Senior", "territory_id": "T1", "quota_annual": 2000}
+            for r in ("R1", "R2")
+        ],
+        sf_accounts=[{"account_id": a, "operator_id": o} for a, o in (("A1", "O1"), ("A2", "O2"))],
+        sf_opportunities=[
+            deal("1", owner="R1", close="2024-02-01"),
+            deal("2", owner="R1", close="2023-02-01"),
+            deal("3", owner="R2", account="A2", close="2023-03-01"),
+            deal("4", owner="R2", account="A2", stage="Proposal", close="2024-03-01"),
+        ],
+        sf_activities=[activity("1", day="2024-01-02"), activity("2", day="2023-01-02")],
+        shipments=[
+            shipment("2024-01-06", "D1", "O1"), shipment("2023-01-07", "D1", "O1"),
+            shipment("2023-01-07", "D2", "O2"),
+        ],
+    )
+    rankings = crm.kpi_rep_rankings(s, year=2024)
+    assert rows(rankings, "rep_id", "opportunities", "activities", "activities_per_opp") == [
+        ("R1", 1, 1, 1.0), ("R2", 1, 0, 0.0)
+    ]
+    heat = {r["territory_id"]: r for r in territory.kpi_territory_heatmap(s, year=2024).collect()}
+    assert (heat["T1"]["opportunities"], heat["T1"]["revenue_won"]) == (1, 1000)
+    assert (heat["T2"]["net_sales"], heat["T2"]["opportunities"], heat["T2"]["revenue_won"]) == (None, 1, 0)
+    view = shipments.vw_distributor_scorecard(s, year=2024)
+    assert rows(view, "distributor_id", "year") == [("D1", 2024)]
+    performed = crm.vw_rep_performance(s, year=2023)
+    assert sorted(rows(performed, "rep_id", "year", "total_activities")) == [("R1", 2023, 1), ("R2", 2023, 0)]
+    summary = crm.kpi_executive_summary(s, year=2024).first()
+    assert (summary["total_shipments"], summary["won_deals"], summary["pipeline_value"]) == (1, 1, 1000)
+    assert rows(crm.kpi_pipeline_health(s, year=2023)) == []

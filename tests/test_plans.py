@@ -79,3 +79,21 @@ def test_summed_branches_meet_without_another_shuffle(fixture_star):
     plan = plan_of(df)
     above_union = plan[: plan.index("Union")]
     assert "Exchange" not in above_union
+
+
+PERIOD = (
+    "q01_distributor_yoy", "q04_active_operators", "dash_yoy_top", "slice_scorecards_year_type",
+    "slice_scorecard_view_region", "slice_heatmap_year_region", "slice_yoy_region", "slice_monthly_trends_year",
+    "slice_region_sales_year", "slice_top_distributors_year", "slice_executive_summary_year",
+)
+
+
+@pytest.mark.parametrize("name", PERIOD)
+def test_periods_reach_the_scan_of_the_shipments(fixture_star, name):
+    plan = plan_of(REPORTS[name](fixture_star))
+    assert "GreaterThanOrEqual(l_shipdate" in plan or "l_shipdate" in plan and "Subquery subquery" in plan
+
+
+@pytest.mark.parametrize("name", ["slice_rankings_year_region", "slice_heatmap_year_region", "slice_pipeline_year"])
+def test_periods_reach_the_scan_of_the_orders(fixture_star, name):
+    assert "GreaterThanOrEqual(o_orderdate" in plan_of(REPORTS[name](fixture_star))

@@ -127,6 +127,24 @@ SLICES = {
     "slice_rankings_year_region": partial(crm.kpi_rep_rankings, year=YEAR, region="AMERICA"),
     "slice_yoy_region": partial(shipments.kpi_yoy_growth, year=YEAR, region="ASIA"),
     "slice_monthly_trends_year": partial(shipments.kpi_monthly_trends, year=YEAR),
+    "slice_rep_performance_year": partial(crm.vw_rep_performance, year=YEAR),
+    "slice_executive_summary_year": partial(crm.kpi_executive_summary, year=YEAR),
+    "slice_pipeline_year": partial(crm.kpi_pipeline_health, year=YEAR),
+    "slice_headline_cards_year": partial(dashboard.dash_headline_cards, year=YEAR),
+    "slice_region_sales_year": partial(dashboard.dash_region_sales, year=YEAR),
+    "slice_top_distributors_year": partial(dashboard.dash_top_distributors, year=YEAR),
+    "slice_top_reps_year": partial(dashboard.dash_top_reps, year=YEAR),
+    "slice_distributor_totals_type": partial(
+        dashboard.dash_distributor_totals, distributor_type="Regional"
+    ),
+    "slice_distributor_cards_type": partial(
+        dashboard.dash_distributor_cards, distributor_type="Specialty"
+    ),
+    "slice_margin_bar_type": partial(dashboard.dash_margin_bar, distributor_type="National"),
+    "slice_leaderboard_region": partial(dashboard.dash_rep_leaderboard, region="ASIA"),
+    "slice_rep_totals_region": partial(dashboard.dash_rep_totals, region="EUROPE"),
+    "slice_win_rate_tier_region": partial(dashboard.dash_win_rate_by_tier, region="AFRICA"),
+    "slice_activity_correlation_region": partial(crm.kpi_activity_correlation, region="AMERICA"),
 }
 
 QUALITY = {

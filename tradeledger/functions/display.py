@@ -17,12 +17,15 @@ def fmt_money(value: str | Column) -> Column:
 def fmt_percent(value: str | Column, digits: int = 1) -> Column:
     """``12.3%``; a missing percentage stays missing."""
     value = F.col(value) if isinstance(value, str) else value
-    shown = F.round(value.cast("decimal(38,8)"), digits).cast(f"decimal(38,{digits})")
+    shown = F.round(value, digits).cast(f"decimal(38,{digits})")
     return F.concat(shown.cast("string"), F.lit("%"))
 
 
 def fmt_compact(value: str | Column, plain: Column | None = None) -> Column:
-    """Thousands, millions and billions as ``1.5K``, ``2.50M``, ``3.25B``."""
+    """Thousands, millions and billions as ``1.5K``, ``2.50M``, ``3.25B``.
+
+    Amounts have two decimals, so eight hold them exactly and rounding happens once.
+    """
     value = F.col(value) if isinstance(value, str) else value
     exact = value.cast("decimal(38,8)")
 
@@ -42,7 +45,7 @@ def fmt_compact(value: str | Column, plain: Column | None = None) -> Column:
 
 def fmt_compact_money(value: str | Column) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    cents = F.round(value.cast("decimal(38,8)"), 2).cast("decimal(38,2)").cast("string")
+    cents = F.round(value, 2).cast("decimal(38,2)").cast("string")
     return F.concat(F.lit("$"), fmt_compact(value, cents))
 
 

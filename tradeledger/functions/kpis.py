@@ -17,17 +17,18 @@ CLOSED = (WON, LOST)
 def ratio(num: Column, den: Column, digits: int | None = None, scale: float = 1.0) -> Column:
     """``scale * num / den``; NULL when the denominator is zero or NULL.
 
-    Rounding goes through a decimal so that a half is always rounded away
-    from zero, whatever its binary form.
+    With ``digits`` the quotient is a decimal of 13 places, rounded once, halves
+    away from zero; amounts and counts have at most four places.
     """
-    quotient = F.try_divide(F.lit(float(scale)) * num.cast("double"), den.cast("double"))
     if digits is None:
-        return quotient
-    return half_up(quotient, digits)
+        return F.try_divide(F.lit(float(scale)) * num.cast("double"), den.cast("double"))
+    scaled = num.cast("decimal(22,4)") * F.lit(int(scale))
+    return F.round(F.try_divide(scaled, den.cast("decimal(22,4)")), digits).cast("double")
 
 
 def half_up(value: Column, digits: int) -> Column:
-    return F.round(value.cast("decimal(38,8)"), digits).cast("double")
+    """Rounded once from the shortest decimal form, halves away from zero."""
+    return F.round(value, digits).cast("double")
 
 
 def percent(num: Column, den: Column, digits: int = 1) -> Column:

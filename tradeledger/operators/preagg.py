@@ -32,7 +32,8 @@ ROLLUPS = {
     "by_product": ("month_start", "distributor_id", "product_id"),
 }
 
-Period = tuple[date | Column, date | Column]
+# First and last week ending; where these are subqueries, also the first day of the first week.
+Period = tuple[date | Column, ...]
 
 _DERIVED = {
     "year": lambda day: F.year(day),
@@ -113,7 +114,7 @@ def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataF
             rollup = star.rollup(name)
             if rollup is not None and columns <= {*grain, *_DERIVED}:
                 if period is not None:
-                    rollup = rollup.filter(F.col("month_start").between(*map(F.lit, period)))
+                    rollup = rollup.filter(F.col("month_start").between(*map(F.lit, period[:2])))
                 return rollup, "month_start"
     with_operator = "operator_id" in columns
     if period is not None:
@@ -122,7 +123,7 @@ def _source(star: Star, columns: set[str], period: Period | None) -> tuple[DataF
 
 
 def _is_whole_months(period: Period) -> bool:
-    first, last = period
+    first, last = period[:2]
     if not (isinstance(first, date) and isinstance(last, date)):
         return False
     return first.day == 1 and (last + timedelta(days=1)).day == 1
@@ -133,12 +134,15 @@ def rollup_shipments(star: Star, name: str) -> DataFrame:
     return shipments_by(star.without_rollups(), *ROLLUPS[name])
 
 
-def opps_by(star: Star, *keys: str | Column, where: Column | None = None) -> DataFrame:
+def opps_by(
+    star: Star, *keys: str | Column, where: Column | None = None, year: int | None = None
+) -> DataFrame:
     """Deal counts and amounts at a grain, from the opportunity rows.
 
-    ``opportunity_id`` is the key of its table, so rows are deals.
+    ``opportunity_id`` is the key of its table, so rows are deals. ``year`` limits
+    them to those whose close date, reached or expected, lies in it.
     """
-    rows = star.sf_opportunities
+    rows = star.sf_opportunities if year is None else star.deals_between(*dates.year_bounds(year))
     if where is not None:
         rows = rows.filter(where)
     return rows.groupBy(*keys).agg(
@@ -157,15 +161,15 @@ def opps_by(star: Star, *keys: str | Column, where: Column | None = None) -> Dat
     )
 
 
-def activities_by(star: Star, *keys: str | Column, where: Column | None = None) -> DataFrame:
+def activities_by(star: Star, *keys: str | Column, year: int | None = None) -> DataFrame:
     """Activity counts at a grain, in all and for the types reports show."""
 
     def of_type(name: str) -> Column:
         return F.count_if(F.col("activity_type") == name)
 
     rows = star.sf_activities
-    if where is not None:
-        rows = rows.filter(where)
+    if year is not None:
+        rows = rows.filter(F.col("activity_date").between(*map(F.lit, dates.year_bounds(year))))
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("activities"),
         of_type("Call").alias("calls"),

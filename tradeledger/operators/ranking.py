@@ -2,49 +2,58 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# monotonically_increasing_id: partition in the upper bits, row in the lower 33
-_ROW_BITS = 33
-
+# Parts of a doubling of the value, and ids that stand together among equal values.
+STEPS = 64
+IDS = 1 << 16
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a private one where none is set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tradeledger-"))
-    return context.getCheckpointDir()
 
+def with_rank(df: DataFrame, value: str, id_column: str, name: str = "rank") -> DataFrame:
+    """``row_number()`` by descending value, then ascending id.
 
-def with_row_number(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
-    """``row_number()`` over the whole frame in the given total order.
-
-    A window without partitions would sort everything in one task. Here the
-    frame is range-sorted over all tasks and checkpointed with each row's
-    position in its part, which fixes the parts; a row's number is then its
-    position plus the sizes of the parts before it. Only the part sizes, one
-    row per task, pass through a single window.
+    A window without partitions would sort everything in one task. Here rows fall
+    into parts by fixed functions of value and id: a class of values (logarithmic
+    steps), a value, and a range of ids. A row's number is its place in its part plus
+    the sizes of the parts before it; those come from counts, whose windows see one row
+    for each class, or for each part of one class. So many equal values are
+    spread by their ids. NULL values come last, NULL ids first. ``id_column`` is unique.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.orderBy(*order)
-        .withColumn("__at", F.monotonically_increasing_id())
-        .withColumn("__part", F.shiftright("__at", _ROW_BITS))
-        .checkpoint()
+    parts = df.select(
+        value_class(value).alias("__class"), F.col(value).alias("__value"), _id_part(df, id_column).alias("__ids")
     )
-    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("__part").alias("__start_of"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
+    counts = parts.groupBy("__class", "__value", "__ids").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = (Window.unboundedPreceding, -1)
+    in_class = Window.partitionBy("__class").orderBy(F.desc_nulls_last("__value"), F.asc_nulls_first("__ids"))
+    within = counts.withColumn("__within", F.sum("__n").over(in_class.rowsBetween(*earlier)))
+    classes = counts.groupBy("__class").agg(F.sum("__n").alias("__n"))
+    by_class = Window.orderBy(F.desc("__class")).rowsBetween(*earlier)
+    before = classes.select(F.col("__class").alias("__c"), F.sum("__n").over(by_class).alias("__before"))
+    starts = within.join(before, F.col("__class") == F.col("__c")).select(
+        F.col("__value").alias("__v"),
+        F.col("__ids").alias("__i"),
+        (F.coalesce("__within", F.lit(0)) + F.coalesce("__before", F.lit(0))).alias("__start"),
     )
-    in_part = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.join(starts, placed["__part"] == starts["__start_of"])
-        .withColumn(name, F.col("__start") + in_part + 1)
-        .select(name, *df.columns)
+    ids = _id_part(df, id_column)
+    place = F.row_number().over(Window.partitionBy(value, "__part").orderBy(F.asc_nulls_first(id_column)))
+    placed = df.withColumn("__part", ids).withColumn("__place", place)
+    joined = placed.join(
+        starts, F.col(value).eqNullSafe(F.col("__v")) & F.col("__part").eqNullSafe(F.col("__i"))
     )
+    return joined.withColumn(name, F.col("__start") + F.col("__place")).select(name, *df.columns)
+
+
+def value_class(value: str) -> Column:
+    """A number that never falls when the value rises; the lowest for NULL."""
+    x = F.col(value).cast("double")
+    step = F.floor(F.log2(F.abs(x) + 1) * STEPS).cast("int")
+    return F.when(x >= 0, step).when(x < 0, -step - 1).otherwise(F.lit(-(1 << 31) + 1))
+
+
+def _id_part(df: DataFrame, id_column: str) -> Column:
+    """Ranges of ids in their order: of numbers by division, of texts by how they begin."""
+    if isinstance(df.schema[id_column].dataType, T.IntegralType):
+        return F.floor(F.col(id_column) / IDS).cast("string").cast("long")
+    return F.substring(id_column, 1, 3)

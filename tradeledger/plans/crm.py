@@ -27,7 +27,8 @@ def rep_frame(
 
     Both facts are summed per owner before the join. Reports that read only
     one of them lose the other join again: Catalyst drops a left join whose
-    right side is unique on the key and unused.
+    right side is unique on the key and unused. ``year`` limits deals by close
+    date and activities by their own date.
     """
     reps = star.sales_reps
     if not directors:
@@ -36,9 +37,8 @@ def rep_frame(
     if region is not None:
         places = places.filter(F.col("region") == region)
         territory = "inner"
-    won_in_year = None if year is None else F.col("close_date").between(*dates.year_bounds(year))
-    deals = opps_by(star, "owner_id", where=won_in_year).withColumnRenamed("owner_id", "deal_owner")
-    acts = activities_by(star, "owner_id").withColumnRenamed("owner_id", "act_owner")
+    deals = opps_by(star, "owner_id", year=year).withColumnRenamed("owner_id", "deal_owner")
+    acts = activities_by(star, "owner_id", year=year).withColumnRenamed("owner_id", "act_owner")
     reps = reps.join(places, "territory_id", territory)
     joined = reps.join(deals, reps["rep_id"] == deals["deal_owner"], "left").join(
         acts, reps["rep_id"] == acts["act_owner"], "left"
@@ -115,7 +115,7 @@ def an_rep_summary(star: Star) -> DataFrame:
 
 
 def ranking_rows(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
-    """``year`` restricts deals to those closed in it, so that revenue and the
+    """``year`` restricts deals and activities to it, so that revenue and the
     annual quota cover the same time; without it revenue is all-time."""
     return rep_frame(star, year=year, region=region).select(
         "rep_id",
@@ -140,9 +140,9 @@ def kpi_rep_rankings(star: Star, year: int | None = None, region: str | None = N
     return ranking_rows(star, year, region).orderBy(F.desc("revenue"), "rep_id")
 
 
-def kpi_activity_correlation(star: Star) -> DataFrame:
+def kpi_activity_correlation(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
     return (
-        rep_frame(star)
+        rep_frame(star, year=year, region=region)
         .filter(F.col("activities") > 0)
         .select(
             "rep_id",
@@ -167,17 +167,12 @@ def activity_revenue_corr(star: Star) -> DataFrame:
 
 
 def vw_rep_performance(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
-    """Rep by year of close date; activities count in years that have deals."""
-
-    def within(day: str) -> Column | None:
-        return None if year is None else F.col(day).between(*dates.year_bounds(year))
+    """Rep by year of close date; activities count in years that have deals.
 
-    deals = opps_by(
-        star, "owner_id", F.year("close_date").alias("year"), where=within("close_date")
-    )
-    acts = activities_by(
-        star, "owner_id", F.year("activity_date").alias("act_year"), where=within("activity_date")
-    )
+    A rep without deals keeps a row without a year; a filter on the year drops it.
+    """
+    deals = opps_by(star, "owner_id", F.year("close_date").alias("year"), year=year)
+    acts = activities_by(star, "owner_id", F.year("activity_date").alias("act_year"), year=year)
     acts = acts.select(F.col("owner_id").alias("act_owner"), "act_year", "activities")
     # A NULL close year or activity year equals nothing, as it should.
     by_year = deals.join(
@@ -190,7 +185,8 @@ def vw_rep_performance(star: Star, year: int | None = None, region: str | None =
         places = places.filter(F.col("region") == region)
     reps = star.sales_reps.join(places, "territory_id", "left" if region is None else "inner")
     zero_money = F.lit(0).cast("decimal(18,2)")
-    return reps.join(by_year, reps["rep_id"] == by_year["owner_id"], "left").select(
+    how = "left" if year is None else "inner"
+    return reps.join(by_year, reps["rep_id"] == by_year["owner_id"], how).select(
         "rep_id",
         "rep_name",
         "rep_tier",
@@ -209,8 +205,9 @@ def vw_rep_performance(star: Star, year: int | None = None, region: str | None =
 
 # ---- open deals -----------------------------------------------------------
 
-def stage_rows(star: Star) -> DataFrame:
-    return opps_by(star, "stage", where=kpis.is_open()).select(
+def stage_rows(star: Star, year: int | None = None) -> DataFrame:
+    """Open deals by stage; ``year`` keeps those expected to close in it."""
+    return opps_by(star, "stage", where=kpis.is_open(), year=year).select(
         "stage",
         F.col("opportunities").alias("count"),
         F.col("amount").alias("value"),
@@ -219,8 +216,8 @@ def stage_rows(star: Star) -> DataFrame:
     )
 
 
-def kpi_pipeline_health(star: Star) -> DataFrame:
-    return stage_rows(star).orderBy("avg_probability", "stage")
+def kpi_pipeline_health(star: Star, year: int | None = None) -> DataFrame:
+    return stage_rows(star, year).orderBy("avg_probability", "stage")
 
 
 def over_all(df: DataFrame, column: str, how: Callable[[str], Column] = F.sum) -> Column:
@@ -337,9 +334,9 @@ def deal_velocity(star: Star) -> DataFrame:
 
 # ---- executive summary ----------------------------------------------------
 
-def deal_totals(star: Star) -> DataFrame:
+def deal_totals(star: Star, year: int | None = None) -> DataFrame:
     """The seven deal metrics of the executive summary, as one row."""
-    return opps_by(star).select(
+    return opps_by(star, year=year).select(
         F.col("opportunities").alias("total_opportunities"),
         F.col("won").alias("won_deals"),
         F.col("lost").alias("lost_deals"),
@@ -350,5 +347,5 @@ def deal_totals(star: Star) -> DataFrame:
     )
 
 
-def kpi_executive_summary(star: Star) -> DataFrame:
-    return merge_single_rows(shipment_totals(star), deal_totals(star))
+def kpi_executive_summary(star: Star, year: int | None = None) -> DataFrame:
+    return merge_single_rows(shipment_totals(star, year), deal_totals(star, year))

@@ -6,47 +6,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.functions import display, kpis
-from tradeledger.operators.preagg import merge_single_rows, shipments_by
-from tradeledger.operators.ranking import with_row_number
+from tradeledger.operators.preagg import merge_single_rows
+from tradeledger.operators.ranking import with_rank
 from tradeledger.plans import crm, shipments, territory
 from tradeledger.star import Star
 
 
 # ---- distributors ---------------------------------------------------------
 
-def dash_region_sales(star: Star) -> DataFrame:
+def dash_region_sales(star: Star, year: int | None = None) -> DataFrame:
     return (
-        shipments.distributor_money(star)
+        shipments.distributor_money(star, year)
         .groupBy(F.coalesce("region", F.lit("Unknown")).alias("region"))
         .agg(F.coalesce(F.sum("net_sales"), F.lit(0)).alias("net_sales"))
     )
 
 
-def dash_top_distributors(star: Star, n: int = 8) -> DataFrame:
+def dash_top_distributors(star: Star, n: int = 8, year: int | None = None) -> DataFrame:
+    """``label`` is the short form under a chart's bar; id and name say who it is."""
     return (
-        shipments.distributor_money(star)
+        shipments.distributor_money(star, year)
         .orderBy(F.desc("net_sales"), "distributor_id")
         .limit(n)
-        .select(F.substring("distributor_name", 1, 15).alias("label"), "net_sales")
+        .select(
+            "distributor_id",
+            "distributor_name",
+            F.substring("distributor_name", 1, 15).alias("label"),
+            "net_sales",
+        )
     )
 
 
-def dash_margin_bar(star: Star) -> DataFrame:
-    """Width of the margin bar: three times the margin rate, at most 100.
+def dash_margin_bar(
+    star: Star,
+    year: int | None = None,
+    distributor_type: str | None = None,
+    region: str | None = None,
+) -> DataFrame:
+    """The margin in percent, and the width of its bar: three times that, at most 100.
 
-    A missing margin counts as 0 and a missing or zero net as 1.
+    For the bar a missing margin counts as 0 and a missing or zero net as 1.
     """
     net = F.coalesce(F.nullif(F.col("net_sales"), F.lit(0)), F.lit(1))
-    width = kpis.ratio(F.coalesce(kpis.gross_margin(), F.lit(0)), net) * 100.0 * 3.0
-    return shipments.distributor_money(star).select(
+    width = kpis.ratio(F.coalesce(kpis.gross_margin(), F.lit(0)), net, 2, 300.0)
+    return shipments.distributor_money(star, year, distributor_type, region).select(
         "distributor_id",
         "distributor_name",
-        kpis.half_up(F.least(F.lit(100.0), width), 2).alias("bar_width"),
+        kpis.margin_pct(digits=2).alias("margin_pct"),
+        F.least(F.lit(100.0), width).alias("bar_width"),
     )
 
 
-def dash_distributor_totals(star: Star) -> DataFrame:
-    rows = shipments.scorecard_rows(star)
+def dash_distributor_totals(
+    star: Star,
+    year: int | None = None,
+    distributor_type: str | None = None,
+    region: str | None = None,
+) -> DataFrame:
+    rows = shipments.scorecard_rows(star, year, distributor_type, region)
     return rows.agg(
         F.count(F.lit(1)).alias("distributors"),
         F.coalesce(F.sum("net_sales"), F.lit(0)).alias("net_sales"),
@@ -55,9 +72,14 @@ def dash_distributor_totals(star: Star) -> DataFrame:
     )
 
 
-def dash_distributor_cards(star: Star) -> DataFrame:
+def dash_distributor_cards(
+    star: Star,
+    year: int | None = None,
+    distributor_type: str | None = None,
+    region: str | None = None,
+) -> DataFrame:
     """The text on each distributor card."""
-    return shipments.scorecard_rows(star).select(
+    return shipments.scorecard_rows(star, year, distributor_type, region).select(
         "distributor_id",
         "distributor_name",
         F.concat_ws(" / ", "distributor_type", F.coalesce("region", F.lit("N/A"))).alias("subtitle"),
@@ -91,9 +113,9 @@ def _win_rate():
     return F.coalesce("win_rate", F.lit(0.0))
 
 
-def dash_top_reps(star: Star, n: int = 5) -> DataFrame:
+def dash_top_reps(star: Star, n: int = 5, year: int | None = None) -> DataFrame:
     return (
-        crm.ranking_rows(star)
+        crm.ranking_rows(star, year)
         .orderBy(F.desc("revenue"), "rep_id")
         .limit(n)
         .select(
@@ -107,8 +129,8 @@ def dash_top_reps(star: Star, n: int = 5) -> DataFrame:
     )
 
 
-def dash_rep_leaderboard(star: Star) -> DataFrame:
-    ranked = with_row_number(crm.ranking_rows(star), F.desc("revenue"), F.asc("rep_id"))
+def dash_rep_leaderboard(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
+    ranked = with_rank(crm.ranking_rows(star, year, region), "revenue", "rep_id")
     quota = F.coalesce("quota_attainment", F.lit(0.0))
     return ranked.select(
         "rank",
@@ -132,7 +154,7 @@ def dash_rep_leaderboard(star: Star) -> DataFrame:
     )
 
 
-def dash_rep_totals(star: Star) -> DataFrame:
+def dash_rep_totals(star: Star, year: int | None = None, region: str | None = None) -> DataFrame:
     """Means over reps count a missing rate or deal size as 0.
 
     Rates and sizes are short decimals; summing them as such keeps the mean
@@ -141,7 +163,7 @@ def dash_rep_totals(star: Star) -> DataFrame:
     rates = F.sum(_win_rate().cast("decimal(18,1)"))
     deals = F.sum(F.coalesce("avg_deal", F.lit(0.0)).cast("decimal(18,2)"))
     reps = F.count(F.lit(1))
-    return crm.ranking_rows(star).agg(
+    return crm.ranking_rows(star, year, region).agg(
         reps.alias("reps"),
         kpis.ratio(rates, reps, 1).alias("avg_win_rate"),
         kpis.ratio(deals, reps, 2).alias("avg_deal"),
@@ -149,10 +171,12 @@ def dash_rep_totals(star: Star) -> DataFrame:
     )
 
 
-def dash_win_rate_by_tier(star: Star) -> DataFrame:
+def dash_win_rate_by_tier(
+    star: Star, year: int | None = None, region: str | None = None
+) -> DataFrame:
     rates = F.sum(_win_rate().cast("decimal(18,1)"))
     return (
-        crm.ranking_rows(star)
+        crm.ranking_rows(star, year, region)
         .groupBy(F.coalesce("rep_tier", F.lit("Unknown")).alias("rep_tier"))
         .agg(
             F.count(F.lit(1)).alias("reps"),
@@ -216,13 +240,15 @@ def dash_stage_share(star: Star) -> DataFrame:
 
 # ---- headline cards -------------------------------------------------------
 
-def dash_headline_cards(star: Star) -> DataFrame:
+def dash_headline_cards(star: Star, year: int | None = None) -> DataFrame:
     """The six headline figures as printed on the front page, one row."""
     figures = merge_single_rows(
-        shipments_by(star, distinct=("active_operators",)).select(
-            "net_sales", "quantity", "active_operators"
+        shipments.shipment_totals(star, year).select(
+            F.col("total_net_sales").alias("net_sales"),
+            F.col("total_units").alias("quantity"),
+            F.col("total_operators").alias("active_operators"),
         ),
-        crm.deal_totals(star).select("win_rate", "avg_deal_size", "pipeline_value"),
+        crm.deal_totals(star, year).select("win_rate", "avg_deal_size", "pipeline_value"),
     )
 
     def zero(name: str):

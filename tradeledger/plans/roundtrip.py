@@ -7,6 +7,7 @@ files stay there as long as checkpoints do.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from functools import reduce
 
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.operators.preagg import shipments_by
-from tradeledger.operators.ranking import ensure_checkpoint_dir
 from tradeledger.plans import crm, shipments, territory
 from tradeledger.sources import sinks, tables
 from tradeledger.sources.schemas import CRM, DIMENSIONS, PRIMARY_KEYS, TABLES
@@ -22,7 +22,18 @@ from tradeledger.star import Star
 
 
 def _folder(star: Star, name: str) -> str:
-    return f"{ensure_checkpoint_dir(star.spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one all executors share.
+
+    Where none is named, a single-machine session writes below its temporary folder; a
+    cluster is an error, for its executors would each write to a disk of their own.
+    """
+    spark = star.spark
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not (spark.sparkContext.master or "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.gettempdir()
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
 def _through_csv(star: Star, names: tuple[str, ...], folder: str) -> DataFrame:

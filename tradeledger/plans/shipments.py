@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.functions import dates, kpis
@@ -150,15 +151,20 @@ def q04_active_operators(
     distributor_type: str | None = None,
 ) -> DataFrame:
     """Distributors over the twelve months up to ``as_of`` (default: the last week)."""
-    if as_of is None:
-        end = star.lean_shipments.agg(F.max("week_ending")).scalar()
-    else:
-        end = F.lit(as_of)
+    def bound(of: Callable[[Column], Column]) -> Column:
+        """A function of the last week, as a literal or as one scalar subquery."""
+        if as_of is not None:
+            return of(F.lit(as_of))
+        return star.lean_shipments.agg(of(F.max("week_ending"))).scalar()
+
+    first = bound(dates.trailing_year_start)
+    last = bound(lambda end: end)
+    first_day = bound(lambda end: F.date_sub(dates.trailing_year_start(end), 6).cast("timestamp_ntz"))
     per_distributor = shipments_by(
         star,
         "distributor_id",
         distinct=("active_operators", "products_sold"),
-        period=(dates.trailing_year_start(end), end),
+        period=(first, last, first_day),
     )
     return (
         per_distributor.join(_distributors(star, distributor_type), "distributor_id")
@@ -181,7 +187,10 @@ def vw_distributor_scorecard(
     distributor_type: str | None = None,
     region: str | None = None,
 ) -> DataFrame:
-    """Distributor by year and month; one without shipments keeps a NULL period."""
+    """Distributor by year and month; one without shipments keeps a NULL period.
+
+    A filter on the year drops that row like any other of another year.
+    """
     sold = shipments_by(
         star,
         "distributor_id",
@@ -190,7 +199,8 @@ def vw_distributor_scorecard(
         distinct=("active_operators", "products_sold"),
         period=_whole_year(year),
     )
-    return _distributor_frame(star, sold, distributor_type, region).select(
+    how = "left" if year is None else "inner"
+    return _distributor_frame(star, sold, distributor_type, region, how).select(
         "distributor_id",
         "distributor_name",
         "distributor_type",
@@ -242,14 +252,23 @@ def kpi_distributor_scorecards(
     return rows.orderBy(F.desc("net_sales"), "distributor_id")
 
 
-def distributor_money(star: Star) -> DataFrame:
+def distributor_money(
+    star: Star,
+    year: int | None = None,
+    distributor_type: str | None = None,
+    region: str | None = None,
+) -> DataFrame:
     """Scorecard money without the distinct counts, for charts that show no counts."""
-    sold = shipments_by(star, "distributor_id")
-    return _distributor_frame(star, sold)
+    sold = shipments_by(star, "distributor_id", period=_whole_year(year))
+    return _distributor_frame(star, sold, distributor_type, region)
 
 
 def _distributor_frame(
-    star: Star, sold: DataFrame, distributor_type: str | None = None, region: str | None = None
+    star: Star,
+    sold: DataFrame,
+    distributor_type: str | None = None,
+    region: str | None = None,
+    how: str = "left",
 ) -> DataFrame:
     places = star.territories.select("territory_id", "region")
     if region is not None:
@@ -257,7 +276,7 @@ def _distributor_frame(
     dims = _distributors(star, distributor_type).join(
         places, "territory_id", "left" if region is None else "inner"
     )
-    return dims.join(sold, "distributor_id", "left")
+    return dims.join(sold, "distributor_id", how)
 
 
 def _counts(*names: str) -> list:
@@ -340,7 +359,7 @@ def q11_seasonality(star: Star) -> DataFrame:
         F.col("month").alias("month_num"),
         dates.month_name("month").alias("month_name"),
         kpis.half_up(mean, 2).alias("avg_monthly_sales"),
-        kpis.percent(mean, overall).alias("seasonality_index"),
+        kpis.half_up(F.try_divide(100.0 * mean, overall), 1).alias("seasonality_index"),
     ).orderBy("month_num")
 
 
@@ -374,9 +393,10 @@ def readme_net_sales_margin(star: Star) -> DataFrame:
     )
 
 
-def shipment_totals(star: Star) -> DataFrame:
+def shipment_totals(star: Star, year: int | None = None) -> DataFrame:
     """The eight shipment metrics of the executive summary, as one row."""
-    return shipments_by(star, distinct=("active_operators", "active_distributors")).select(
+    counts = ("active_operators", "active_distributors")
+    return shipments_by(star, distinct=counts, period=_whole_year(year)).select(
         F.col("net_sales").alias("total_net_sales"),
         F.col("gross_sales").alias("total_gross_sales"),
         kpis.gross_margin().alias("gross_margin"),

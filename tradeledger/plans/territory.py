@@ -31,9 +31,9 @@ def _sales(star: Star, year: int | None = None) -> DataFrame:
     )
 
 
-def _deals(star: Star) -> DataFrame:
+def _deals(star: Star, year: int | None = None) -> DataFrame:
     """Deals by the territory of the operator behind the account."""
-    per_account = opps_by(star, "account_id").select("account_id", "opportunities", "revenue")
+    per_account = opps_by(star, "account_id", year=year).select("account_id", "opportunities", "revenue")
     accounts = star.sf_accounts.select("account_id", "operator_id")
     home = star.operators.select("operator_id", "territory_id")
     return (
@@ -110,7 +110,7 @@ def heatmap_rows(star: Star, year: int | None = None, region: str | None = None)
         _members(star.operators, "operators"),
         _members(star.sales_reps, "reps"),
         _sales(star, year),
-        _deals(star),
+        _deals(star, year),
         region=region,
     )
     return frame.select(

@@ -6,9 +6,12 @@ before anything is multiplied.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeledger.functions import dates
 from tradeledger.sources.schemas import LOST, STAGE_PROBABILITY, TABLES, WON
 from tradeledger.star import Star
 
@@ -65,6 +68,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             "shipments": tables.shipments,
         },
         lean_shipments=tables.lean_shipments,
+        shipments_near=tables.shipments_near,
+        deals_near=tables.deals_near,
     )
 
 
@@ -157,8 +162,17 @@ class _Tables:
         )
 
     def opportunities(self) -> DataFrame:
+        return self._opportunities(self.read("orders"))
+
+    def deals_near(self, first: date, last: date) -> DataFrame:
+        """A deal closes 7 to 66 days after its order."""
+        ordered = F.col("o_orderdate")
+        near = (ordered >= F.lit(first - timedelta(days=66))) & (ordered < F.lit(last - timedelta(days=6)))
+        return self._opportunities(self.read("orders").filter(near))
+
+    def _opportunities(self, orders: DataFrame) -> DataFrame:
         open_stage = _case("left(o_orderpriority, 1)", OPEN_STAGE_BY_PRIORITY)
-        rows = self._with_rep_count(self.read("orders").filter("o_custkey % 5 <> 0")).selectExpr(
+        rows = self._with_rep_count(orders.filter("o_custkey % 5 <> 0")).selectExpr(
             "*",
             "CAST(o_orderdate AS DATE) AS created",
             f"CASE o_orderstatus WHEN 'F' THEN '{WON}' WHEN 'P' THEN '{LOST}'"
@@ -198,13 +212,22 @@ class _Tables:
         return _shipments(self.read("lineitem"), with_operator=False)
 
     def shipments(self) -> DataFrame:
+        return self._with_operators(self.read("lineitem"))
+
+    def shipments_near(self, first: Column, last: Column, first_day: Column, operators: bool) -> DataFrame:
+        """Lines shipped from the first day of the first week on; later weeks are filtered afterwards."""
+        lines = self.read("lineitem").filter(F.col("l_shipdate") >= first_day.cast("timestamp_ntz"))
+        lines = lines.filter(F.col("l_shipdate") < F.date_add(last, 1).cast("timestamp_ntz"))
+        return self._with_operators(lines) if operators else _shipments(lines, with_operator=False)
+
+    def _with_operators(self, lines: DataFrame) -> DataFrame:
         """An order names the operator, so this one joins the orders.
 
         A line whose order is missing is kept, with no operator.
         """
         orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
         return _shipments(
-            self.read("lineitem").join(orders, "l_orderkey", "left"), with_operator=True
+            lines.join(orders, "l_orderkey", "left"), with_operator=True
         )
 
 
@@ -236,10 +259,10 @@ def _shipments(rows: DataFrame, with_operator: bool) -> DataFrame:
     def money(amount: str) -> str:
         return f"CAST(CAST({amount} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(18,2))"
 
-    return cents.selectExpr(
+    return cents.withColumn("week_ending", dates.week_ending("shipment_date")).selectExpr(
         "CAST(NULL AS STRING) AS shipment_id",
         "shipment_date",
-        "date_add(shipment_date, 7 - dayofweek(shipment_date)) AS week_ending",
+        "week_ending",
         "l_suppkey AS distributor_id",
         *(["o_custkey AS operator_id"] if with_operator else []),
         "l_partkey AS product_id",

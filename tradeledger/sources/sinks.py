@@ -46,7 +46,7 @@ def open_star(spark: SparkSession, path: str, rollups: bool = False) -> Star:
     by_year = lambda: spark.read.parquet(f"{path}/{FACT}")
     loaders[FACT] = lambda: by_year().drop("year")
 
-    def near(first: Column, last: Column) -> DataFrame:
+    def near(first: Column, last: Column, first_day: Column, operators: bool) -> DataFrame:
         years = F.col("year").between(F.year(first), F.year(last))
         return by_year().filter(years).drop("year")
 
