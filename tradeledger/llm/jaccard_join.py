@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeledger.llm.checkpoints import cut
@@ -29,8 +29,10 @@ PERCENT = 80
 SKETCH = 1 << 17
 ORDERS = 3
 BITS = 1 << 24
-# Pivots are the smallest ids after one of these masks, so buckets do not all have the same pivot.
-MASKS = ((0x0, 0x5DEECE66D1234567), (0x2545F4914F6CDD1D, 0x1B03738712FAD5C9))
+# First pivots are the smallest ids after one of these masks, so buckets do not all have the same pivot.
+MASKS = (0x0, 0x5DEECE66D1234567)
+# Further rounds with pivots before all pairs across components are compared.
+ROUNDS = 2
 
 
 def prefix_length(n: np.ndarray | int, percent: int = PERCENT):
@@ -43,8 +45,10 @@ def _spot(tokens: np.ndarray, row: int) -> np.ndarray:
 
 def _ordered(tokens: np.ndarray, order: int, rarity: np.ndarray) -> np.ndarray:
     """Sorted distinct tokens, rearranged by a global order: rare first, or (order two) by a hash."""
-    if order < len(rarity):
-        rank = (rarity[order][_spot(tokens, order)].astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
+    if order == 0:
+        rank = _rank(tokens, rarity)
+    elif order < len(rarity):
+        rank = (rarity[order][_spot(tokens, order)].astype(np.uint64) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
     else:
         rank = mix(tokens ^ np.uint64(order))
     return tokens[np.argsort(rank, kind="stable")]
@@ -132,6 +136,55 @@ def in_table(table: np.ndarray, value: int) -> bool:
     return bool((int(table[value % len(table)]) >> (quotient % 64)) & 1)
 
 
+def _rank(tokens: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Places in order one: how common the token's bucket is, then its hash."""
+    return (rarity[0][_spot(tokens, 0)].astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
+
+
+def least_shared(n_a: int, n_b: int, percent: int = PERCENT) -> int:
+    """How many tokens similar sets of these sizes share at least."""
+    return -(-percent * (n_a + n_b) // (100 + percent))
+
+
+def may_be_similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, rarity: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two prefixes under order one leave room for enough shared tokens.
+
+    Up to the place where the shorter-reaching prefix ends, both prefixes hold all tokens of
+    their sets; a token there that the other lacks is missing from the other set.
+    """
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    rank_a, rank_b = _rank(a, rarity), _rank(b, rarity)
+    end = min(rank_a[-1], rank_b[-1])
+    a, b = a[rank_a < end], b[rank_b < end]
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    needed = least_shared(n_a, n_b, percent)
+    return len(a) - shared <= n_a - needed and len(b) - shared <= n_b - needed
+
+
+def _once_in_table(table: np.ndarray):
+    """A task's function: of (id, payload...) rows those whose id's bit is set, each id once."""
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            keep = []
+            for mark in batch.column(0).to_pylist():
+                fresh = mark is not None and mark not in seen and in_table(table, mark)
+                if fresh:
+                    seen.add(mark)
+                keep.append(fresh)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return give
+
+
+def prefixes_of(info: DataFrame, table: np.ndarray) -> DataFrame:
+    """(set_id, n, prefix) once for each set whose bit is set."""
+    rows = info.filter(F.col("prefix").isNotNull()).select("set_id", F.col("n_shingles").alias("n"), "prefix")
+    return rows.mapInArrow(_once_in_table(table), rows.schema).dropDuplicates(["set_id"])
+
+
 def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
     """(set_id, tokens) once for each set whose bit is set; tokens are sorted 64-bit numbers."""
 
@@ -158,10 +211,7 @@ def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
 
 
 def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two sorted sets reach the similarity: size, then the orders' prefixes, then the exact count."""
-    small, large = min(len(a), len(b)), max(len(a), len(b))
-    if 100 * small < percent * large:
-        return False
+    """Whether two sorted sets reach the similarity: the prefixes of the other orders, then the exact count."""
     for order in range(1, ORDERS):
         first = _ordered(a, order, rarity)[: prefix_length(len(a), percent)]
         second = _ordered(b, order, rarity)[: prefix_length(len(b), percent)]
@@ -171,70 +221,115 @@ def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray, percent: int = PER
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar."""
+def _beside(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the rows of both ids beside them, their columns ending in _a and _b."""
+    for side in ("a", "b"):
+        named = [F.col("set_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "set_id"]]
+        pairs = pairs.join(rows.select(*named), side)
+    return pairs
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of set ids that are similar: prefixes first, whole sets for what is left."""
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c) for c in ("tokens_a", "tokens_b")]
+            sizes = [batch.column(c).to_pylist() for c in ("n_a", "n_b")]
+            lists = [[x.values.to_numpy().view(np.uint64) for x in batch.column(c)] for c in ("prefix_a", "prefix_b")]
             keep = [
-                similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), rarity, percent)
-                for x, y in zip(*columns, strict=True)
+                may_be_similar(a, n, b, m, rarity, percent) for a, n, b, m in zip(lists[0], sizes[0], lists[1], sizes[1], strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-    both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tokens_b")), "b")
-    return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(verify, "a long, b long")
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("tokens_a", "tokens_b")]
+            keep = [similar(a, b, rarity, percent) for a, b in zip(*sets, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    prefixes = prefixes_of(info, bit_table(_ids(pairs)))
+    both = _beside(pairs, prefixes).select("a", "b", "n_a", "n_b", "prefix_a", "prefix_b")
+    left = cut(both.mapInArrow(agree, "a long, b long"))
+    sets = sets_of(docs, bit_table(_ids(left)))
+    whole = _beside(left, sets).select("a", "b", "tokens_a", "tokens_b")
+    return cut(whole.mapInArrow(verify, "a long, b long"))
 
 
 def _pairs(rows: DataFrame, other: str) -> DataFrame:
     return rows.select(F.least("set_id", other).alias("a"), F.greatest("set_id", other).alias("b")).distinct()
 
 
-def _pivots(members: DataFrame, by: str, masks: tuple[int, int]) -> DataFrame:
-    """For each token with members of two or more kinds of ``by``: one of its members."""
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    mask = F.when(F.pmod("token", F.lit(2)) == 0, F.lit(signed[0])).otherwise(F.lit(signed[1]))
-    found = members.groupBy("token").agg(
-        F.min(F.col("set_id").bitwiseXOR(mask)).alias("least"), F.min(by).alias("low"), F.max(by).alias("high")
+def _masked() -> Column:
+    return F.when(F.pmod("token", F.lit(2)) == 0, F.lit(MASKS[0])).otherwise(F.lit(MASKS[1]))
+
+
+def shared_tokens(info: DataFrame) -> DataFrame:
+    """(token, set_id, pivot, size) of prefix tokens that two or more sets have; size is how many rows have it.
+
+    All sets of a token meet once, in one shuffle of two numbers a row. A token that very
+    many sets have comes late in the order, so it is in the prefix of few.
+    """
+    tokens = info.filter(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("token"), "set_id")
+    value = F.col("set_id").bitwiseXOR(_masked())
+    of_token = Window.partitionBy("token")
+    met = (
+        tokens.withColumn("low", F.min(value).over(of_token))
+        .withColumn("high", F.max(value).over(of_token))
+        .withColumn("size", F.count(F.lit(1)).over(of_token))
+    )
+    pivot = F.col("low").bitwiseXOR(_masked()).alias("pivot")
+    return met.filter("low < high").select("token", "set_id", pivot, "size")
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    labels = connected_components(links).withColumnRenamed("vertex", "set_id")
+    joined = members.join(labels, "set_id", "left")
+    return joined.select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
+
+
+def _open_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """In buckets with two or more components: a member drawn for the token, with those of other components.
+
+    The draw differs from token to token. A set that shares many tokens with its group meets as many
+    pivots, so one that is linked with a fair part of the group is soon joined to it.
+    """
+    draw = F.xxhash64("token", "set_id", F.lit(turn))
+    found = placed.groupBy("token").agg(
+        F.min(F.struct(draw.alias("draw"), "set_id", "component")).alias("drawn"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
     )
-    return found.filter("low < high").select("token", F.col("least").bitwiseXOR(mask).alias("pivot"))
+    pivots = found.filter("low < high").select(
+        "token", F.col("drawn.set_id").alias("pivot"), F.col("drawn.component").alias("component_2")
+    )
+    return _pairs(placed.join(pivots, "token").filter("component <> component_2"), "pivot")
+
+
+def _all_open_pairs(placed: DataFrame) -> DataFrame:
+    """In buckets with two or more components: all pairs of sets in different ones."""
+    ends = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = cut(placed.join(ends.filter("low < high").select("token"), "token"))
+    other = open_.select("token", F.col("set_id").alias("other"), F.col("component").alias("component_2"))
+    return _pairs(open_.join(other, "token").filter("set_id < other and component <> component_2"), "other")
 
 
 def linked_sets(docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(vertex, component) of all sets that are linked with another one."""
-    tokens = info.filter(F.col("prefix").isNotNull()).select("set_id", F.explode("prefix").alias("token"))
-    pivots = _pivots(tokens, "set_id", MASKS[0])
-    members = cut(tokens.join(pivots, "token").distinct())
-    sizes = info.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.max("n_shingles").alias("n"))
-    members = cut(members.join(sizes, "set_id"))
-    sets = cut(sets_of(docs, bit_table(members.select(F.col("set_id").alias("id")).distinct())))
-
+    members = cut(shared_tokens(info))
     pairs = cut(_pairs(members.filter("set_id <> pivot"), "pivot"))
-    links = cut(verified(pairs, sets, rarity, percent))
-    # what is still apart: compare across components only
-    for last in (False, True):
-        labels = connected_components(links)
-        placed = (
-            members.select("token", "set_id", "n")
-            .join(labels.withColumnRenamed("vertex", "set_id"), "set_id", "left")
-            .withColumn("component", F.coalesce("component", "set_id"))
-        )
-        open_ = placed.join(_pivots(placed, "component", MASKS[1]), "token")
-        open_ = cut(open_.select("token", "set_id", "n", "component", "pivot"))
-        if last:
-            other = open_.select("token", *[F.col(c).alias(f"{c}_2") for c in ("set_id", "n", "component")])
-            new = open_.join(other, "token").filter(
-                "set_id < set_id_2 and component <> component_2"
-                f" and 100 * least(n, n_2) >= {percent} * greatest(n, n_2)"
-            )
-            new = _pairs(new, "set_id_2")
-        else:
-            of_pivot = open_.filter("set_id = pivot").select("token", F.col("component").alias("component_2"))
-            new = _pairs(open_.join(of_pivot, "token").filter("component <> component_2"), "pivot")
+    links = verified(pairs, docs, info, rarity, percent)
+    # the pairs of two rows are done
+    members = members.filter("size > 2").select("token", "set_id")
+    for turn in range(ROUNDS + 1):
+        placed = _placed(members, links)
+        new = _open_pairs(placed, turn) if turn < ROUNDS else _all_open_pairs(cut(placed))
         new = cut(new.join(pairs, ["a", "b"], "left_anti"))
-        links = cut(links.union(verified(new, sets, rarity, percent)))
+        if new.isEmpty():
+            continue
+        links = cut(links.union(verified(new, docs, info, rarity, percent)))
         pairs = cut(pairs.union(new))
     return connected_components(links)
 
