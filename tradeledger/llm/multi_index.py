@@ -99,13 +99,18 @@ def fit(sample: np.ndarray, least: float = LEAST_COSINE, codes: int = CODES, tar
     index = Index((_codebook(sample[:, :half], codes, rng), _codebook(sample[:, half:], codes, rng)), VISITS, least)
     queries = sample[:PROBES]
     most = min(MOST_VISITS, len(index.halves[0]) * len(index.halves[1]))
-    pairs = [(q, d) for at in range(0, len(queries), 500) for q, d in np.argwhere(queries[at : at + 500] @ sample.T >= least) + [at, 0] if q != d]
     index.visits = min(VISITS, most)
-    if len(pairs) >= 50:
-        q, d = np.array(pairs).T
-        home = index.visited(sample, 1)[:, 0]
-        seen = index.visited(queries, most)[q] == home[d][:, None]
-        ranks = np.sort(np.where(seen.any(1), seen.argmax(1) + 1, most))
+    home = index.visited(sample, 1)[:, 0]
+    ranks = []
+    for at in range(0, len(queries), 100):
+        near = queries[at : at + 100] @ sample.T >= least
+        near[np.arange(len(near)), at + np.arange(len(near))] = False
+        for found, cells in zip(near, index.visited(queries[at : at + 100], most), strict=True):
+            place = np.full(len(index.halves[0]) * len(index.halves[1]), most)
+            place[cells[cells >= 0]] = np.flatnonzero(cells >= 0) + 1
+            ranks.append(place[home[found]])
+    ranks = np.sort(np.concatenate(ranks)) if ranks else np.zeros(0, int)
+    if len(ranks) >= 50:
         index.visits = int(ranks[min(len(ranks) - 1, int(np.ceil(target * len(ranks))))])
     return index
 
