@@ -93,6 +93,8 @@ _deal_band = _check(
     ratio("SUM(amount) FILTER (WHERE stage = 'Closed Won')",
           "COUNT(amount) FILTER (WHERE stage = 'Closed Won')", 2), 5000, 200000)
 _net_gross = _check("net_le_gross", "shipments", "net_sales", _count("net_sales > gross_sales"), upper=0)
+_net_identity = _check("net_identity", "shipments", "net_sales",
+                       _count("net_sales <> gross_sales - discounts - returns"), upper=0)
 _caps = [
     _check("discount_cap", "shipments", "discounts",
            _count("discounts > gross_sales * CAST(0.15 AS DECIMAL(5,4))"), upper=0),
@@ -148,6 +150,7 @@ QUALITY["dq_summary_stats"] = _all(
     ]
 )
 QUALITY["dq_net_le_gross"] = _net_gross
+QUALITY["dq_net_identity"] = _net_identity
 QUALITY["dq_date_bounds"] = _all(_bounds)
 QUALITY["dq_rate_caps"] = _all(_caps)
 QUALITY["dq_deal_amount_range"] = _amounts
@@ -163,14 +166,21 @@ QUALITY["dq_join_fanout"] = _all(
 
 _MARKS = """(SELECT p.category, quantile_cont(s.quantity, 0.25) AS q1,
         quantile_cont(s.quantity, 0.5) AS q2, quantile_cont(s.quantity, 0.75) AS q3
-    FROM shipments s JOIN products p ON p.product_id = s.product_id GROUP BY p.category)"""
+    FROM shipments s LEFT JOIN products p ON p.product_id = s.product_id GROUP BY p.category)"""
 _FENCES = f"""(SELECT category, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high,
         3.0 * q2 AS cap FROM {_MARKS})"""
 _OUTLIERS = f"""(SELECT f.category, f.low, f.high, f.cap,
         {_count('s.quantity < f.low OR s.quantity > f.high')} AS outliers,
         {_count('s.quantity > f.cap')} AS capped
-    FROM shipments s JOIN products p ON p.product_id = s.product_id
-    JOIN {_FENCES} f ON f.category = p.category GROUP BY 1, 2, 3, 4)"""
+    FROM shipments s LEFT JOIN products p ON p.product_id = s.product_id
+    JOIN {_FENCES} f ON f.category IS NOT DISTINCT FROM p.category GROUP BY 1, 2, 3, 4)"""
+QUALITY["dq_quantity_flags"] = f"""
+    SELECT COALESCE(p.category, 'Unknown') AS category, COUNT(*) AS shipments,
+           {_count('s.quantity < f.low OR s.quantity > f.high')} AS iqr_outliers,
+           {_count('s.quantity > f.cap')} AS above_cap, {dbl('SUM(s.quantity)')} AS quantity,
+           SUM(CASE WHEN s.quantity > f.cap THEN f.cap ELSE {dbl('s.quantity')} END) AS capped_quantity
+    FROM shipments s LEFT JOIN products p ON p.product_id = s.product_id
+    LEFT JOIN {_FENCES} f ON f.category IS NOT DISTINCT FROM p.category GROUP BY 1"""
 QUALITY["dq_quantity_iqr"] = f"""
     SELECT 'quantity_iqr' AS "check", 'shipments' AS table_name,
            'quantity/' || COALESCE(category, 'Unknown') AS column_name, {dbl('outliers')} AS observed,
@@ -182,7 +192,7 @@ QUALITY["dq_quantity_iqr"] = f"""
     FROM {_OUTLIERS}"""
 
 _EVERYTHING = _all(
-    _row_counts + _nulls + _bounds + [_win_band, _net_band, _deal_band, _net_gross]
+    _row_counts + _nulls + _bounds + [_win_band, _net_band, _deal_band, _net_identity, _net_gross]
     + _caps + [_amounts] + _fk + _pk
 )
 QUALITY["dq_issue_summary"] = f"""

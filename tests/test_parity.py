@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tradeledger import catalog
 
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
@@ -25,8 +26,9 @@ def _order(row):
     return tuple((value is not None, value if value is not None else 0) for value in row)
 
 
-def test_every_oracle_has_a_query():
+def test_every_report_has_an_oracle():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(catalog.queries()) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -158,10 +158,12 @@ QUALITY = {
     "dq_avg_deal_band": quality.dq_avg_deal_band,
     "dq_summary_stats": quality.dq_summary_stats,
     "dq_issue_summary": partial(quality.dq_issue_summary, keys=KEYS, **DAYS),
+    "dq_net_identity": quality.dq_net_identity,
     "dq_net_le_gross": quality.dq_net_le_gross,
     "dq_date_bounds": partial(quality.dq_date_bounds, **DAYS),
     "dq_rate_caps": quality.dq_rate_caps,
     "dq_quantity_iqr": quality.dq_quantity_iqr,
+    "dq_quantity_flags": quality.dq_quantity_flags,
     "dq_deal_amount_range": quality.dq_deal_amount_range,
     "dq_pk_unique": partial(quality.dq_pk_unique, keys=KEYS),
     "dq_join_fanout": quality.dq_join_fanout,

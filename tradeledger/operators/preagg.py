@@ -60,13 +60,19 @@ def shipments_by(
     aggregation would instead copy every shipment once per count and carry all
     sums through the shuffle that finds the distinct ids.
     """
-    rows, day = _source(star, {*keys}, period)
+    # distributors are few: sums by distributor give their number without another scan
+    with_distributors = "active_distributors" in distinct and "distributor_id" not in keys
+    grain = (*keys, "distributor_id") if with_distributors else keys
+    rows, day = _source(star, {*grain}, period)
     counted = F.col("shipment_count") if "shipment_count" in rows.columns else F.lit(1)
-    sums = rows.select(
-        *_key_columns(keys, day), *SUMS, counted.alias("shipment_count")
-    ).groupBy(*keys).agg(
+    rows = rows.select(*_key_columns(grain, day), *SUMS, counted.alias("shipment_count"))
+    if with_distributors:
+        distinct = tuple(d for d in distinct if d != "active_distributors")
+        rows = rows.groupBy(*grain).agg(*[F.sum(c).alias(c) for c in (*SUMS, "shipment_count")])
+    sums = rows.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in SUMS],
         F.coalesce(F.sum("shipment_count"), F.lit(0)).alias("shipment_count"),
+        *([F.count("distributor_id").alias("active_distributors")] if with_distributors else []),
     )
     return _folded(keys, sums, *[_distinct_ids(star, keys, d, period) for d in distinct])
 

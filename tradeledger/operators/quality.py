@@ -180,6 +180,12 @@ def avg_deal_checks(lower: float = AVG_DEAL_BAND[0], upper: float = AVG_DEAL_BAN
     return [Check("avg_deal_band", "sf_opportunities", "amount", mean, lower, upper)]
 
 
+def net_identity_checks() -> list[Check]:
+    """Net is gross less discounts and returns."""
+    differs = lambda: F.count_if(F.col("net_sales") != kpis.net_sales())
+    return [Check("net_identity", "shipments", "net_sales", differs, upper=0)]
+
+
 def net_le_gross_checks() -> list[Check]:
     over = lambda: F.count_if(F.col("net_sales") > F.col("gross_sales"))
     return [Check("net_le_gross", "shipments", "net_sales", over, upper=0)]
@@ -257,6 +263,10 @@ def dq_avg_deal_band(
     return run_checks(star, avg_deal_checks(lower, upper))
 
 
+def dq_net_identity(star: Star) -> DataFrame:
+    return run_checks(star, net_identity_checks())
+
+
 def dq_net_le_gross(star: Star) -> DataFrame:
     return run_checks(star, net_le_gross_checks())
 
@@ -307,9 +317,47 @@ def _orphans(star: Star, reference: tuple[str, str, str, str], name: str, nulls:
     )
 
 
+def _fact_orphans(star: Star, references: list[tuple[str, str, str, str]], name: str) -> DataFrame:
+    """Several references of the shipments in one pass over them.
+
+    Each shipment gives a (column, key) row for each reference; these are counted in the map
+    tasks, so what is shuffled is keys and not shipments.
+    """
+    def pair(column: str, key: str) -> Column:
+        return F.struct(F.lit(column).alias("c"), F.col(key).cast("string").alias("k"))
+
+    rows = star.shipments.select(F.inline(F.array(*[pair(column, column) for _, column, _, _ in references])))
+    counted = rows.filter(F.col("k").isNotNull()).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+    parents = _union(
+        star.table(parent).select(F.lit(column).alias("c"), F.col(key).cast("string").alias("k"))
+        for _, column, parent, key in references
+    )
+    lost = counted.join(parents, ["c", "k"], "left_anti")
+    wide = lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("c") == column, F.col("n"))), F.lit(0)).cast("double").alias(column)
+            for _, column, _, _ in references
+        ]
+    )
+    results = [
+        F.struct(
+            F.lit(name).alias("check"),
+            F.lit("shipments").alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.col(column).alias("observed"),
+            F.lit(None).cast("double").alias("lower"),
+            F.lit(0.0).alias("upper"),
+        )
+        for _, column, _, _ in references
+    ]
+    return wide.select(F.inline(F.array(*results)))
+
+
 def dq_fk_orphans(star: Star) -> DataFrame:
     """Eight references; a NULL key refers to nothing and is not an orphan."""
-    return _judged(_union(_orphans(star, r, "fk_orphans", nulls=False) for r in FOREIGN_KEYS))
+    of_fact = [r for r in FOREIGN_KEYS if r[0] == "shipments"]
+    others = [_orphans(star, r, "fk_orphans", nulls=False) for r in FOREIGN_KEYS if r[0] != "shipments"]
+    return _judged(_union([*others, _fact_orphans(star, of_fact, "fk_orphans")]))
 
 
 def dq_fk_left_join(star: Star) -> DataFrame:
@@ -380,14 +428,15 @@ def quantity_histogram(star: Star) -> DataFrame:
     """Shipments per category and quantity.
 
     Shipments shrink to counts per product and quantity before the product is
-    looked up; everything after this works on the histogram.
+    looked up; everything after this works on the histogram. Shipments without a
+    product, and products without a category, are those of the NULL category.
     """
     per_product = star.lean_shipments.groupBy("product_id", "quantity").agg(
         F.count(F.lit(1)).alias("n")
     )
     return (
         per_product.filter(F.col("quantity").isNotNull())
-        .join(star.products.select("product_id", "category"), "product_id")
+        .join(star.products.select("product_id", "category"), "product_id", "left")
         .groupBy("category", "quantity")
         .agg(F.sum("n").alias("n"))
     )
@@ -449,18 +498,42 @@ def dq_quantity_iqr(star: Star) -> DataFrame:
 
 
 def flag_quantity_outliers(star: Star) -> DataFrame:
-    """Every shipment with its category and the two outlier flags.
+    """Every shipment with its category, the two outlier flags and ``capped_quantity``.
 
-    Products and fences have one row per product and per category; Spark
-    broadcasts them while their measured size allows it and shuffles beyond.
+    Fences are attached to the products, one row each, and shipments meet them in
+    one join on the product; no shuffle goes by category, which a third of the rows may
+    share. A shipment without a product takes the fences of the NULL category, a scalar.
     """
+    return _flagged(star.shipments, star)
+
+
+def _flagged(shipments: DataFrame, star: Star) -> DataFrame:
     fences = quantity_fences(quantity_histogram(star))
-    rows = star.shipments.join(star.products.select("product_id", "category"), "product_id", "left")
-    return rows.join(fences, "category", "left").select(
-        *star.shipments.columns,
+    marks = F.struct("low_fence", "high_fence", "cap")
+    by_category = fences.select(F.col("category").alias("fenced"), marks.alias("marks"))
+    unknown = fences.filter(F.col("category").isNull()).agg(F.max(marks)).scalar()
+    products = star.products.select("product_id", "category")
+    products = products.join(by_category, F.col("category").eqNullSafe(F.col("fenced")), "left")
+    rows = shipments.join(products.select("product_id", "category", "marks"), "product_id", "left")
+    rows = rows.withColumn("marks", F.coalesce("marks", unknown))
+    quantity, cap = F.col("quantity"), F.col("marks.cap")
+    return rows.select(
+        *shipments.columns,
         "category",
-        (~F.col("quantity").between(F.col("low_fence"), F.col("high_fence"))).alias("iqr_outlier"),
-        (F.col("quantity") > F.col("cap")).alias("above_cap"),
+        (~quantity.between(F.col("marks.low_fence"), F.col("marks.high_fence"))).alias("iqr_outlier"),
+        (quantity > cap).alias("above_cap"),
+        F.when(quantity > cap, cap).otherwise(quantity.cast("double")).alias("capped_quantity"),
+    )
+
+
+def dq_quantity_flags(star: Star) -> DataFrame:
+    """The flags summed by category; the counts of all categories add up to the shipments."""
+    return _flagged(star.lean_shipments, star).groupBy(F.coalesce("category", F.lit("Unknown")).alias("category")).agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.count_if("iqr_outlier").alias("iqr_outliers"),
+        F.count_if("above_cap").alias("above_cap"),
+        F.sum(F.col("quantity").cast("double")).alias("quantity"),
+        F.sum("capped_quantity").alias("capped_quantity"),
     )
 
 
@@ -482,6 +555,7 @@ def quality_report(
         + win_rate_checks()
         + net_pct_checks()
         + avg_deal_checks()
+        + net_identity_checks()
         + net_le_gross_checks()
         + rate_cap_checks()
         + deal_amount_checks()

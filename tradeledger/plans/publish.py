@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeledger.operators import quality
@@ -51,20 +54,40 @@ def build_summaries(star: Star, path: str) -> None:
         sinks.write_summary(report(star), f"{path}/{name}")
 
 
-def publish_products(star: Star, warehouse: str, path: str) -> None:
-    """All JSON products: the KPI reports, the card, and the stored summaries."""
-    sinks.write_kpi_card(
-        f"{path}/executive_summary", shipments.shipment_totals(star), crm.deal_totals(star)
-    )
+def publish_products(star: Star, warehouse: str, path: str) -> dict[str, str]:
+    """All JSON products: the KPI reports, the card, and the stored summaries.
+
+    One that fails doesn't stop the others; returns the failures by product.
+    """
+    jobs: dict[str, Callable[[], None]] = {
+        "executive_summary": lambda: sinks.write_kpi_card(
+            f"{path}/executive_summary", shipments.shipment_totals(star), crm.deal_totals(star)
+        )
+    }
     for name, report in PRODUCTS.items():
-        sinks.write_json(report(star), f"{path}/{name}")
+        jobs[name] = lambda n=name, r=report: sinks.write_json(r(star), f"{path}/{n}")
     for name, summary in EXPORTED_SUMMARIES.items():
-        sinks.write_json(star.spark.read.parquet(f"{warehouse}/{summary}"), f"{path}/{name}")
+        jobs[name] = lambda n=name, s=summary: sinks.write_json(
+            star.spark.read.parquet(f"{warehouse}/{s}"), f"{path}/{n}"
+        )
+    failed = {}
+    for name, job in jobs.items():
+        try:
+            job()
+        except Exception as error:
+            failed[name] = str(error)
+            warnings.warn(f"product {name} was not written: {error}", stacklevel=2)
+    return failed
 
 
 def run_all(spark: SparkSession, export_root: str, warehouse: str, products: str) -> DataFrame:
-    """Load, check, summarise and publish; returns the quality report."""
+    """Load, check, summarise and publish; returns the quality report.
+
+    The report is stored in the warehouse before anything is published, so whoever reads the
+    products can see what was known about the data.
+    """
     star = load_warehouse(spark, export_root, warehouse)
+    sinks.write_summary(quality.quality_report(star), f"{warehouse}/quality_report")
     build_summaries(star, warehouse)
     publish_products(star, warehouse, products)
-    return quality.quality_report(star)
+    return spark.read.parquet(f"{warehouse}/quality_report")
