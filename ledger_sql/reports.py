@@ -707,30 +707,60 @@ for _key, (_columns, _money, _percent) in _PRINTED.items():
 # What goes through a file comes back unchanged, so the SQL reads the tables.
 
 
-def _table_counts(**keys: str) -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT {k}) AS key_count FROM {t}"
-        for t, k in keys.items()
-    )
+# Columns by table: what is added up for numbers (n) and dates (d); texts and ids (t) are measured.
+_COLUMNS = {
+    "territories": "territory_id:t territory_name:t region:t state:t",
+    "distributors": "distributor_id:t distributor_name:t distributor_type:t territory_id:t",
+    "products": "product_id:t product_name:t brand:t category:t subcategory:t standard_price:n cost:n",
+    "sales_reps": "rep_id:t rep_name:t territory_id:t rep_tier:t quota_annual:n",
+    "operators": "operator_id:t operator_name:t operator_type:t territory_id:t annual_revenue_tier:t",
+    "sf_accounts": "account_id:t operator_id:t owner_id:t",
+    "sf_opportunities": "opportunity_id:t account_id:t stage:t amount:n probability:n close_date:d created_date:d"
+    " owner_id:t lead_source:t loss_reason:t",
+    "sf_activities": "activity_id:t account_id:t owner_id:t activity_type:t activity_date:d duration_minutes:n",
+    "shipments": "shipment_date:d week_ending:d distributor_id:t operator_id:t product_id:t quantity:n gross_sales:n"
+    " discounts:n returns:n net_sales:n cost_of_goods:n",
+}
 
 
-REPORTS["read_master"] = _table_counts(
-    territories="territory_id", distributors="distributor_id", products="product_id",
-    sales_reps="rep_id", operators="operator_id",
-)
-REPORTS["read_crm"] = _table_counts(
-    sf_accounts="account_id", sf_opportunities="opportunity_id", sf_activities="activity_id"
-)
+def _profiles(*names: str) -> str:
+    rows = []
+    for table in names:
+        for column, kind in (c.split(":") for c in _COLUMNS[table].split()):
+            total = {
+                "n": f"CAST(SUM(CAST({column} AS DECIMAL(28,2))) AS DOUBLE)",
+                "d": f"CAST(SUM({column} - DATE '1970-01-01') AS DOUBLE)",
+                "t": "CAST(0 AS DOUBLE)",
+            }[kind]
+            chars = f"COALESCE(SUM(LENGTH(CAST({column} AS VARCHAR))), 0)" if kind == "t" else "0"
+            rows.append(
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, COUNT(*) AS row_count,"
+                f" COUNT({column}) AS value_count, COALESCE({total}, 0) AS total, CAST({chars} AS BIGINT) AS chars FROM {table}"
+            )
+    return "\nUNION ALL\n".join(rows)
+
+
+REPORTS["read_master"] = _profiles("territories", "distributors", "products", "sales_reps", "operators")
+REPORTS["read_crm"] = _profiles("sf_accounts", "sf_opportunities", "sf_activities")
 REPORTS["read_shipments"] = f"""
     SELECT CAST(YEAR(week_ending) AS INT) AS year, COUNT(*) AS shipment_count,
            CAST(SUM(quantity) AS BIGINT) AS quantity, {dbl('SUM(gross_sales)')} AS gross_sales,
            {dbl('SUM(net_sales)')} AS net_sales, COUNT(DISTINCT operator_id) AS active_operators
     FROM shipments GROUP BY 1"""
 REPORTS["write_csv_by_year"] = REPORTS["read_shipments"]
-REPORTS["write_star"] = REPORTS["kpi_monthly_trends"]
+REPORTS["write_star"] = _profiles(*_COLUMNS)
 REPORTS["read_json_product"] = REPORTS["kpi_monthly_trends"]
 REPORTS["write_rollups"] = REPORTS["kpi_distributor_scorecards"]
-REPORTS["write_summary"] = REPORTS["an_monthly_trend"]
+REPORTS["write_summary"] = f"""
+    SELECT 'analytics_yoy_growth' AS summary, COUNT(*) AS row_count, {dbl('SUM(net)')} AS sales,
+           CAST(SUM(active_operators) AS BIGINT) AS counted FROM {_YEARLY}
+    UNION ALL
+    SELECT 'analytics_rep_summary', COUNT(*), {dbl('SUM(revenue)')}, CAST(SUM(activities) AS BIGINT)
+    FROM {_reps(directors=True)}
+    UNION ALL
+    SELECT 'analytics_monthly_trend', COUNT(*), {dbl('SUM(net)')}, CAST(SUM(products) AS BIGINT)
+    FROM (SELECT {_MONTH} AS month, SUM(net_sales) AS net, COUNT(DISTINCT product_id) AS products
+          FROM shipments GROUP BY 1)"""
 # JSON has one integer type, so the small key comes back wide
 REPORTS["write_json"] = f"""
     SELECT * REPLACE (CAST(territory_id AS BIGINT) AS territory_id)

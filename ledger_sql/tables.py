@@ -28,14 +28,18 @@ TABLES = {
                s_nationkey AS territory_id
         FROM supplier""",
     "operators": """
-        SELECT c_custkey AS operator_id, c_name AS operator_name, c_nationkey AS territory_id,
+        SELECT c_custkey AS operator_id, c_name AS operator_name, c_mktsegment AS operator_type,
+               c_nationkey AS territory_id,
                CASE WHEN c_acctbal < 2500 THEN 'Small' WHEN c_acctbal < 5000 THEN 'Medium'
                     WHEN c_acctbal < 7500 THEN 'Large' ELSE 'Enterprise' END AS annual_revenue_tier,
                CAST(NULL AS BIGINT) AS primary_distributor_id
         FROM customer""",
     "products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand,
-               p_type AS category, CAST(p_size AS VARCHAR) AS subcategory
+               p_type AS category, CAST(p_size AS VARCHAR) AS subcategory,
+               CAST(p_retailprice AS DECIMAL(12,2)) AS standard_price,
+               CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(55 + p_partkey % 21 AS DECIMAL(3,0))
+                    * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS cost
         FROM part""",
     "sales_reps": """
         SELECT c_custkey AS rep_id, c_name AS rep_name, c_nationkey AS territory_id,
@@ -78,7 +82,8 @@ TABLES = {
                CASE event_type WHEN 'click' THEN 'Call' WHEN 'view' THEN 'Email'
                     WHEN 'purchase' THEN 'Meeting' WHEN 'signup' THEN 'Site Visit'
                     WHEN 'error' THEN 'Follow-up' END AS activity_type,
-               CAST(DATE '1995-01-01' + CAST(event_id % 2400 AS INT) AS DATE) AS activity_date
+               CAST(DATE '1995-01-01' + CAST(event_id % 2400 AS INT) AS DATE) AS activity_date,
+               CAST(floor(value) AS INT) AS duration_minutes
         FROM events""",
     "shipments": f"""
         SELECT l_suppkey AS distributor_id, o_custkey AS operator_id, l_partkey AS product_id,

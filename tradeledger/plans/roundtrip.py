@@ -11,15 +11,35 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeledger.operators.preagg import shipments_by
-from tradeledger.plans import crm, shipments, territory
+from tradeledger.plans import crm, publish, shipments, territory
 from tradeledger.sources import sinks, tables
-from tradeledger.sources.schemas import CRM, DIMENSIONS, PRIMARY_KEYS, TABLES
+from tradeledger.sources.schemas import CRM, DIMENSIONS, TABLES
 from tradeledger.star import Star
 
+# The columns that the test tables fill; the others are NULL throughout.
+COMPARED = {
+    "territories": ("territory_id", "territory_name", "region", "state"),
+    "distributors": ("distributor_id", "distributor_name", "distributor_type", "territory_id"),
+    "operators": ("operator_id", "operator_name", "operator_type", "territory_id", "annual_revenue_tier"),
+    "products": ("product_id", "product_name", "brand", "category", "subcategory", "standard_price", "cost"),
+    "sales_reps": ("rep_id", "rep_name", "territory_id", "rep_tier", "quota_annual"),
+    "sf_accounts": ("account_id", "operator_id", "owner_id"),
+    "sf_opportunities": (
+        "opportunity_id", "account_id", "stage", "amount", "probability", "close_date", "created_date", "owner_id",
+        "lead_source", "loss_reason",
+    ),
+    "sf_activities": ("activity_id", "account_id", "owner_id", "activity_type", "activity_date", "duration_minutes"),
+    "shipments": (
+        "shipment_date", "week_ending", "distributor_id", "operator_id", "product_id", "quantity", "gross_sales",
+        "discounts", "returns", "net_sales", "cost_of_goods",
+    ),
+}
+
 
 def _folder(star: Star, name: str) -> str:
     """A new folder below the one all executors share.
@@ -36,21 +56,58 @@ def _folder(star: Star, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
+def profile(df: DataFrame, name: str) -> DataFrame:
+    """A row for each column of the table: rows, values, and a total over the values.
+
+    All columns are read, so a value lost or changed on the way shows. ``total`` is the sum of
+    numbers and of days since 1970 for dates; ``chars`` sums the lengths of texts and ids.
+    """
+    df = df.select(*[F.col(c).cast("string").alias(c) if c.endswith("_id") else c for c in df.columns])
+
+    def total(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.NumericType):
+            return F.coalesce(F.sum(F.col(field.name).cast("decimal(28,2)")).cast("double"), F.lit(0.0))
+        if isinstance(field.dataType, T.DateType):
+            return F.coalesce(F.sum(F.unix_date(field.name)).cast("double"), F.lit(0.0))
+        return F.lit(0.0)
+
+    def chars(field: T.StructField) -> Column:
+        length = F.length(field.name) if isinstance(field.dataType, T.StringType) else F.lit(0)
+        return F.coalesce(F.sum(length), F.lit(0))
+
+    fields = df.schema.fields
+    wide = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            F.struct(F.count(f.name).alias("value_count"), total(f).alias("total"), chars(f).alias("chars")).alias(f"v{i}")
+            for i, f in enumerate(fields)
+        ],
+    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(f.name).alias("column_name"),
+            F.col("rows").alias("row_count"),
+            F.col(f"v{i}.value_count").alias("value_count"),
+            F.col(f"v{i}.total").alias("total"),
+            F.col(f"v{i}.chars").alias("chars"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def _through_csv(star: Star, names: tuple[str, ...], folder: str) -> DataFrame:
-    """Rows and distinct keys of tables that went through CSV files."""
+    """Profiles of tables that went through CSV files."""
 
-    def counts(name: str) -> DataFrame:
+    def through(name: str) -> DataFrame:
         path = f"{folder}/{name}"
         exported = star.table(name).select(*TABLES[name].names)
         exported.write.option("header", True).csv(path)
-        (key,) = PRIMARY_KEYS[name]
-        return tables.read_table(star.spark, name, path).agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(key).alias("key_count"),
-        )
+        read = tables.read_table(star.spark, name, path)
+        return profile(read.select(*[c for c in read.columns if c in COMPARED[name]]), name)
 
-    return reduce(lambda a, b: a.unionByName(b), [counts(n) for n in names])
+    return reduce(lambda a, b: a.unionByName(b), [through(n) for n in names])
 
 
 def read_master(star: Star) -> DataFrame:
@@ -88,10 +145,12 @@ def write_csv_by_year(star: Star) -> DataFrame:
 
 
 def write_star(star: Star) -> DataFrame:
-    """Monthly trends from a stored warehouse."""
+    """Profiles of all nine tables of a stored warehouse."""
     folder = _folder(star, "star")
     sinks.write_star(star, folder)
-    return shipments.kpi_monthly_trends(sinks.open_star(star.spark, folder))
+    stored = sinks.open_star(star.spark, folder)
+    frames = [profile(stored.table(n).select(*COMPARED[n]), n) for n in TABLES]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def write_rollups(star: Star) -> DataFrame:
@@ -103,9 +162,24 @@ def write_rollups(star: Star) -> DataFrame:
 
 
 def write_summary(star: Star) -> DataFrame:
+    """Row counts and totals of the three stored summaries."""
     folder = _folder(star, "summary")
-    sinks.write_summary(shipments.an_monthly_trend(star), folder)
-    return star.spark.read.parquet(folder)
+    publish.build_summaries(star, folder)
+
+    def figures(name: str, sales: str, count: str) -> DataFrame:
+        return star.spark.read.parquet(f"{folder}/{name}").agg(
+            F.lit(name).alias("summary"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(sales).cast("double").alias("sales"),
+            F.sum(count).cast("long").alias("counted"),
+        )
+
+    frames = [
+        figures("analytics_yoy_growth", "total_net_sales", "active_operators"),
+        figures("analytics_rep_summary", "total_revenue", "total_activities"),
+        figures("analytics_monthly_trend", "net_sales", "products_sold"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def write_json(star: Star) -> DataFrame:
