@@ -31,6 +31,8 @@ ORDERS = 3
 BITS = 1 << 24
 # First pivots are the smallest ids after one of these masks, so buckets do not all have the same pivot.
 MASKS = (0x0, 0x5DEECE66D1234567)
+# Sets of a block, when the pairs of a large group are compared.
+BLOCK = 64
 # Further rounds with pivots before all pairs across components are compared.
 ROUNDS = 2
 
@@ -162,31 +164,31 @@ def may_be_similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, rarity: np.
     return len(a) - shared <= n_a - needed and len(b) - shared <= n_b - needed
 
 
-def _once_in_table(table: np.ndarray):
-    """A task's function: of (id, payload...) rows those whose id's bit is set, each id once."""
+def prefixes_of(info: DataFrame, table: np.ndarray) -> DataFrame:
+    """(set_id, n, tokens) once for each set whose bit is set; tokens are the prefix under order one."""
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             keep = []
-            for mark in batch.column(0).to_pylist():
-                fresh = mark is not None and mark not in seen and in_table(table, mark)
-                if fresh:
+            for mark in batch.column("set_id").to_pylist():
+                keep.append(mark not in seen and in_table(table, mark))
+                if keep[-1]:
                     seen.add(mark)
-                keep.append(fresh)
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return give
-
+            batch = batch.filter(pa.array(keep, pa.bool_()))
+            tokens = pa.array([x.values.to_numpy().tobytes() for x in batch.column("prefix")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), batch.column("n"), tokens], ["set_id", "n", "tokens"])
 
-def prefixes_of(info: DataFrame, table: np.ndarray) -> DataFrame:
-    """(set_id, n, prefix) once for each set whose bit is set."""
     rows = info.filter(F.col("prefix").isNotNull()).select("set_id", F.col("n_shingles").alias("n"), "prefix")
-    return rows.mapInArrow(_once_in_table(table), rows.schema).dropDuplicates(["set_id"])
+    return rows.mapInArrow(give, "set_id long, n long, tokens binary").dropDuplicates(["set_id"])
 
 
 def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """(set_id, tokens) once for each set whose bit is set; tokens are sorted 64-bit numbers."""
+    """(set_id, n, tokens) once for each set whose bit is set; tokens are sorted 64-bit numbers."""
+
+    def packed(ids: list[int], sets: list[bytes]) -> pa.RecordBatch:
+        sizes = pa.array([len(x) // 8 for x in sets], pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), sizes, pa.array(sets, pa.binary())], ["set_id", "n", "tokens"])
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -203,11 +205,11 @@ def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
                 sets.append(tokens.tobytes())
                 size += len(sets[-1])
                 if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "tokens"])
+                    yield packed(ids, sets)
                     ids, sets, size = [], [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "tokens"])
+            yield packed(ids, sets)
 
-    return docs.select("text").mapInArrow(give, "set_id long, tokens binary").dropDuplicates(["set_id"])
+    return docs.select("text").mapInArrow(give, "set_id long, n long, tokens binary").dropDuplicates(["set_id"])
 
 
 def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray, percent: int = PERCENT) -> bool:
@@ -221,42 +223,64 @@ def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray, percent: int = PER
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _beside(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the rows of both ids beside them, their columns ending in _a and _b."""
-    for side in ("a", "b"):
-        named = [F.col("set_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "set_id"]]
-        pairs = pairs.join(rows.select(*named), side)
-    return pairs
-
-
 def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar: prefixes first, whole sets for what is left."""
+def _accepted(pairs: DataFrame, rows: DataFrame, accept) -> DataFrame:
+    """The pairs (a, b) for which ``accept(tokens_a, n_a, tokens_b, n_b)``; rows are (set_id, n, tokens).
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [batch.column(c).to_pylist() for c in ("n_a", "n_b")]
-            lists = [[x.values.to_numpy().view(np.uint64) for x in batch.column(c)] for c in ("prefix_a", "prefix_b")]
-            keep = [
-                may_be_similar(a, n, b, m, rarity, percent) for a, n, b, m in zip(lists[0], sizes[0], lists[1], sizes[1], strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Sets are sent to blocks and not to pairs. A set goes with the smallest set it is paired with,
+    such a cluster is cut into blocks of about BLOCK sets, and the pairs of two blocks are looked
+    at together, after the sets that they name. So in a large group a set travels once for
+    each block of the group, and a task holds two blocks.
+    """
+    partners = pairs.select(F.col("a").alias("v"), F.col("b").alias("w")).union(
+        pairs.select(F.col("b").alias("v"), F.col("a").alias("w"))
+    )
+    clusters = partners.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    block = F.xxhash64("cluster", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    blocks = cut(clusters.join(sizes, "cluster").select("v", block.alias("block")))
+    keyed = pairs
+    for side in ("a", "b"):
+        keyed = keyed.join(blocks.select(F.col("v").alias(side), F.col("block").alias(f"block_{side}")), side)
+    ends = [F.least("block_a", "block_b"), F.greatest("block_a", "block_b")]
+    keyed = cut(keyed.select(F.xxhash64(*ends).alias("key"), "a", "b"))
+    needed = keyed.select("key", F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    sent = needed.join(rows, "set_id").select(
+        "key", F.lit(False).alias("pair"), F.col("set_id").alias("a"), F.lit(None).cast("long").alias("b"), "n", "tokens"
+    )
+    asked = keyed.select(
+        "key", F.lit(True).alias("pair"), "a", "b", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("tokens")
+    )
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
         for batch in batches:
-            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("tokens_a", "tokens_b")]
-            keep = [similar(a, b, rarity, percent) for a, b in zip(*sets, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keys, pair = batch.column("key").to_pylist(), batch.column("pair").to_pylist()
+            a, b, n = (batch.column(c).to_pylist() for c in ("a", "b", "n"))
+            tokens = batch.column("tokens")
+            keep = np.zeros(len(keys), bool)
+            for i in range(len(keys)):
+                if keys[i] != key:
+                    key, held = keys[i], {}
+                if not pair[i]:
+                    held[a[i]] = (np.frombuffer(tokens[i].as_py(), np.uint64), n[i])
+                else:
+                    keep[i] = a[i] in held and b[i] in held and accept(*held[a[i]], *held[b[i]])
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    work = sent.union(asked).repartition("key").sortWithinPartitions("key", "pair")
+    return cut(work.mapInArrow(walk, "a long, b long"))
+
 
+def verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of set ids that are similar: prefixes first, whole sets for what is left."""
     prefixes = prefixes_of(info, bit_table(_ids(pairs)))
-    both = _beside(pairs, prefixes).select("a", "b", "n_a", "n_b", "prefix_a", "prefix_b")
-    left = cut(both.mapInArrow(agree, "a long, b long"))
+    left = _accepted(pairs, prefixes, lambda a, n, b, m: may_be_similar(a, n, b, m, rarity, percent))
     sets = sets_of(docs, bit_table(_ids(left)))
-    whole = _beside(left, sets).select("a", "b", "tokens_a", "tokens_b")
-    return cut(whole.mapInArrow(verify, "a long, b long"))
+    return _accepted(left, sets, lambda a, n, b, m: similar(a, b, rarity, percent))
 
 
 def _pairs(rows: DataFrame, other: str) -> DataFrame:
