@@ -167,7 +167,8 @@ class _Tables:
     def deals_near(self, first: date, last: date) -> DataFrame:
         """A deal closes 7 to 66 days after its order."""
         ordered = F.col("o_orderdate")
-        near = (ordered >= F.lit(first - timedelta(days=66))) & (ordered < F.lit(last - timedelta(days=6)))
+        earliest, after = (F.lit(d).cast("timestamp_ntz") for d in (first - timedelta(days=66), last - timedelta(days=6)))
+        near = (ordered >= earliest) & (ordered < after)
         return self._opportunities(self.read("orders").filter(near))
 
     def _opportunities(self, orders: DataFrame) -> DataFrame:
