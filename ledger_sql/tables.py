@@ -32,7 +32,8 @@ TABLES = {
                c_nationkey AS territory_id,
                CASE WHEN c_acctbal < 2500 THEN 'Small' WHEN c_acctbal < 5000 THEN 'Medium'
                     WHEN c_acctbal < 7500 THEN 'Large' ELSE 'Enterprise' END AS annual_revenue_tier,
-               CAST(NULL AS BIGINT) AS primary_distributor_id
+               CASE WHEN c_custkey % 10 <> 0
+                    THEN c_custkey % (SELECT COUNT(*) FROM supplier) END AS primary_distributor_id
         FROM customer""",
     "products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand,

@@ -107,8 +107,9 @@ class _Tables:
         )
 
     def operators(self) -> DataFrame:
+        suppliers = self.read("supplier").selectExpr("nullif(count(*), 0)")
         return _shaped(
-            self.read("customer"),
+            self.read("customer").withColumn("n_suppliers", suppliers.scalar()),
             "operators",
             operator_id="c_custkey",
             operator_name="c_name",
@@ -117,6 +118,7 @@ class _Tables:
             annual_revenue_tier="CASE WHEN c_acctbal < 2500 THEN 'Small'"
             " WHEN c_acctbal < 5000 THEN 'Medium' WHEN c_acctbal < 7500 THEN 'Large'"
             " ELSE 'Enterprise' END",
+            primary_distributor_id="IF(c_custkey % 10 = 0, NULL, c_custkey % n_suppliers)",
         )
 
     def products(self) -> DataFrame:
