@@ -195,3 +195,27 @@ def test_a_key_over_many_tasks_meets_across_them():
     table = pa.Table.from_pylist([e for part in edges for e in part]).to_pandas()
     across = set(sparse_suffix._across(table[["key", "doc_id", "start", "left", "right"]])["doc_id"])
     assert set().union(*inside) | across == {3, 4, 7, 9}
+
+
+def test_repeats_among_edited_copies_in_any_order(spark):
+    """Every holder of a passage is listed, though the key's first document has it edited on either side."""
+    rng = corpus.seeded(14)
+    rows = []
+    for p in range(12):
+        passage = corpus.words(rng, 50, 10_000)
+        for i in range(30):
+            own = list(passage)
+            if i < 8 or rng.random() < 0.4:
+                own[rng.choice([0, 1, 2, 3, 45, 47, 48, 49])] = f"edit{p}x{i}"
+            text = corpus.words(rng, rng.randrange(0, 30), 10_000) + own + corpus.words(rng, rng.randrange(0, 30), 10_000)
+            rows.append((p + 100 * i, " ".join(text), "en", "s", 1))
+    rng.shuffle(rows)
+    got = defaultdict(set)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # keys go on in other batches
+    try:
+        for r in sparse_suffix.repeated_passages(corpus.frame(spark, rows)).collect():
+            assert r["of_doc"] < r["doc_id"]
+            got[r["doc_id"]].update(range(r["start"], r["end"]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_repeats(rows)

@@ -3,8 +3,8 @@
 Suffixes are kept where content selects them: at minimisers, the smallest of WINDOW
 successive GRAM-word hashes. Any passage of MIN_WORDS words has, in all its copies, a
 minimiser early enough that its next KEY words still lie in the passage. Suffixes are
-sorted by those words, then by what follows and what precedes them; neighbours that agree
-on the key are compared word by word to the right and to the left.
+sorted by those words, then by document; each window of MIN_WORDS words around the key is
+settled by its hash: every document that has it but the smallest is listed.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ _BASE = 0xD6E8FEB86659FD93
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
 SUFFIX = "key long, doc_id long, pos int, left binary, right binary"
-FOUND = "edge boolean, key long, doc_id long, start int, end int, of_doc long, left binary, right binary"
+FOUND = "edge boolean, key long, doc_id long, start int, end int, of_doc long, left binary, right binary, open long"
 
 
 def _spans_hash(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -121,99 +121,143 @@ def _numbers(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(joined, np.uint32).reshape(-1, width)
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many leading words of each row pair agree."""
-    return np.cumprod((a == b) & (a != 0), axis=1, dtype=np.int8).sum(1)
+def _windows(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the MIN_WORDS-word windows around each key, by the words they take to the left; which lie in the text."""
+    factors = powers(_BASE, LEFT + RIGHT)
+    n = len(rows["key"])
+    sums, inside = [], []
+    for words, own in ((rows["left"], factors[:LEFT]), (rows["right"], factors[LEFT:])):
+        total = np.zeros((n, words.shape[1] + 1), np.uint64)
+        np.cumsum(mix(words.astype(np.uint64)) * own, axis=1, dtype=np.uint64, out=total[:, 1:])
+        there = np.ones(total.shape, bool)
+        np.logical_and.accumulate(words != 0, axis=1, out=there[:, 1:])
+        sums.append(total)
+        inside.append(there)
+    keys = mix(rows["key"].astype(np.int64).view(np.uint64))
+    return mix(keys[:, None] + sums[0] + sums[1][:, ::-1]), inside[0] & inside[1][:, ::-1]
 
 
-def _compare(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
-    """The repeats between rows i and j: the span in the later one, and the document of the earlier."""
-    ok = (rows["key"][i] == rows["key"][j]) & (rows["doc_id"][i] != rows["doc_id"][j])
-    i, j = i[ok], j[ok]
-    left = _common(rows["left"][i], rows["left"][j])
-    right = KEY + _common(rows["right"][i], rows["right"][j])
-    long = left + right >= MIN_WORDS
-    i, j, left, right = i[long], j[long], left[long], right[long]
-    first, later = rows["doc_id"][i] < rows["doc_id"][j], np.maximum(rows["doc_id"][i], rows["doc_id"][j])
-    pos = np.where(first, rows["pos"][j], rows["pos"][i])
-    return pd.DataFrame(
-        {"doc_id": later, "start": pos - left, "end": pos + right, "of_doc": np.minimum(rows["doc_id"][i], rows["doc_id"][j])}
-    )
+def _settle(rows: dict[str, np.ndarray], seen: tuple[np.ndarray, np.ndarray]):
+    """Spans of rows sorted by key and document that an earlier document has as well.
+
+    ``seen`` has windows met before, sorted, and their smallest documents. Also given: for each row
+    and window whether its document is the smallest so far, and the windows' hashes and smallest documents.
+    """
+    hashes, inside = _windows(rows)
+    doc = np.broadcast_to(rows["doc_id"][:, None], inside.shape)[inside]
+    unique, at, which = np.unique(hashes[inside], return_index=True, return_inverse=True)
+    lowest = doc[at]
+    if len(seen[0]) and len(unique):
+        place = np.minimum(np.searchsorted(seen[0], unique), len(seen[0]) - 1)
+        lowest = np.where(seen[0][place] == unique, np.minimum(seen[1][place], lowest), lowest)
+    low = np.full(inside.shape, np.iinfo(np.int64).max)
+    low[inside] = lowest[which]
+    repeat = inside & (low < rows["doc_id"][:, None])
+    listed = np.flatnonzero(repeat.any(1))
+    most = LEFT - repeat[listed, ::-1].argmax(1)
+    least = repeat[listed].argmax(1)
+    # every window holds the key, so those of one suffix join into one span
+    spans = pd.DataFrame({
+        "doc_id": rows["doc_id"][listed], "start": rows["pos"][listed] - most, "end": rows["pos"][listed] - least + MIN_WORDS,
+        "of_doc": np.where(repeat[listed], low[listed], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max),
+    })
+    return spans, inside & ~repeat, hashes, low
+
+
+def _columns(batch: pa.RecordBatch, pos: str = "pos") -> dict[str, np.ndarray]:
+    rows = {"key": batch.column("key").to_numpy(), "doc_id": batch.column("doc_id").to_numpy(), "pos": batch.column(pos).to_numpy()}
+    return rows | {"left": _numbers(batch.column("left"), LEFT), "right": _numbers(batch.column("right"), RIGHT)}
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walk sorted suffixes; each is compared with the one before it and with its key's first document so far.
+    """Walk sorted suffixes, with the windows of the key at hand and their smallest documents so far.
 
-    The first rows of a task's first and last key go out as edges: their keys may go on in other tasks.
+    Keys may go on in another batch or task: rows of a batch's last key, of a task's first and of a
+    continued one go out as edges too, with the windows (bits of ``open``) for which they are the smallest.
     """
     schema = pa.schema([
         ("edge", pa.bool_()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-        ("of_doc", pa.int64()), ("left", pa.binary()), ("right", pa.binary()),
+        ("of_doc", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("open", pa.int64()),
     ])
-
-    def edge(rows: dict[str, np.ndarray], at: int) -> pa.RecordBatch:
-        value = {
-            "edge": True, "key": int(rows["key"][at]), "doc_id": int(rows["doc_id"][at]), "start": int(rows["pos"][at]),
-            "end": None, "of_doc": None, "left": rows["left"][at].tobytes(), "right": rows["right"][at].tobytes(),
-        }
-        return pa.RecordBatch.from_pylist([value], schema)
-
-    kept: dict[str, np.ndarray] | None = None
-    first_key, first_sent = None, False
+    nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    seen, seen_key = nothing, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {c: batch.column(c).to_numpy() for c in ("key", "doc_id", "pos")}
-        rows |= {"left": _numbers(batch.column("left"), LEFT), "right": _numbers(batch.column("right"), RIGHT)}
-        old = 0
-        if kept is not None:
-            old = len(kept["key"])
-            rows = {c: np.concatenate([kept[c], rows[c]]) for c in rows}
-        n = len(rows["key"])
-        group = np.cumsum(np.concatenate([[0], rows["key"][1:] != rows["key"][:-1]]))
-        order = np.lexsort((rows["pos"], rows["doc_id"]))
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
-        lowest = order[np.minimum.accumulate(rank - group * n) + group * n]
-        if first_key is None:
-            first_key = rows["key"][0]
-        if not first_sent and rows["key"][-1] != first_key:
-            yield edge(rows, lowest[np.flatnonzero(rows["key"] == first_key)[-1]])
-            first_sent = True
-        i = np.arange(max(old, 1), n)
-        if len(i):
-            near = _compare(rows, i, i - 1)
-            far = i[lowest[i - 1] != i - 1]
-            found = pd.concat([near, _compare(rows, far, lowest[far - 1])])
-            if len(found):
-                nulls = [None] * len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([False] * len(found)), pa.array(nulls, pa.int64()), pa.array(found["doc_id"], pa.int64()),
-                     pa.array(found["start"], pa.int32()), pa.array(found["end"], pa.int32()),
-                     pa.array(found["of_doc"], pa.int64()), pa.array(nulls, pa.binary()), pa.array(nulls, pa.binary())],
-                    schema=schema,
-                )
-        keep = np.unique([lowest[-1], n - 1])
-        kept = {c: rows[c][keep].copy() for c in rows}
-    if kept is not None:
-        lowest = np.lexsort((kept["pos"], kept["doc_id"]))[0]
-        yield edge(kept, lowest)
+        rows = _columns(batch)
+        first, last = rows["key"][0], rows["key"][-1]
+        if seen_key is not None and seen_key != first:
+            seen = nothing
+        spans, smallest, hashes, low = _settle(rows, seen)
+        n = len(spans)
+        if n:
+            nulls = [None] * n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([False] * n), pa.array(nulls, pa.int64()), pa.array(spans["doc_id"], pa.int64()),
+                 pa.array(spans["start"], pa.int32()), pa.array(spans["end"], pa.int32()), pa.array(spans["of_doc"], pa.int64()),
+                 pa.array(nulls, pa.binary()), pa.array(nulls, pa.binary()), pa.array(nulls, pa.int64())],
+                schema=schema,
+            )
+        at_edge = rows["key"] == last
+        if seen_key is None or seen_key == first:
+            at_edge |= rows["key"] == first
+        at = np.flatnonzero(at_edge & smallest.any(1))
+        if len(at):
+            bits = (smallest[at] * (np.int64(1) << np.arange(LEFT + 1))).sum(1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([True] * len(at)), pa.array(rows["key"][at], pa.int64()), pa.array(rows["doc_id"][at], pa.int64()),
+                 pa.array(rows["pos"][at], pa.int32()), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.int64()),
+                 _binary(rows["left"][at]), _binary(rows["right"][at]), pa.array(bits, pa.int64())],
+                schema=schema,
+            )
+        mine = smallest & (rows["key"] == last)[:, None]
+        old = seen if seen_key == last else nothing
+        known, place = np.unique(np.concatenate([old[0], hashes[mine]]), return_index=True)
+        seen, seen_key = (known, np.concatenate([old[1], low[mine]])[place]), last
 
 
 def _across(edges: pd.DataFrame) -> pd.DataFrame:
-    """One key's edge rows, at most two a task: each is compared with the earliest."""
+    """One key's edge rows settled in memory; ``_across_tasks`` does the same on Spark."""
     edges = edges.sort_values(["doc_id", "start"])
     rows = {"key": edges["key"].to_numpy(), "doc_id": edges["doc_id"].to_numpy(), "pos": edges["start"].to_numpy()}
     rows |= {c: np.frombuffer(b"".join(edges[c]), np.uint32).reshape(len(edges), -1) for c in ("left", "right")}
-    i = np.arange(1, len(edges))
-    return pd.concat([_compare(rows, i, i - 1), _compare(rows, i, np.zeros_like(i))])
+    return _settle(rows, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))[0]
+
+
+def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The open windows of edge rows; one that a document repeats without a gap is one row."""
+    for batch in batches:
+        if batch.num_rows:
+            rows = _columns(batch, "start")
+            at, i = np.nonzero((batch.column("open").to_numpy()[:, None] >> np.arange(LEFT + 1)) & 1)
+            hashes, doc, start = _windows(rows)[0][at, i].view(np.int64), rows["doc_id"][at], rows["pos"][at] - i
+            order = np.lexsort((start, doc, hashes))
+            hashes, doc, start = hashes[order], doc[order], start[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + MIN_WORDS)
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(order)) - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[first]), pa.array(doc[first], pa.int64()), pa.array(start[first], pa.int32()),
+                 pa.array(start[last] + MIN_WORDS, pa.int32())],
+                names=["window", "doc_id", "start", "end"],
+            )
+
+
+def _across_tasks(edges: DataFrame) -> DataFrame:
+    """The spans of edge rows whose window has a smaller document in another batch or task."""
+    edges = edges.select("key", "doc_id", "start", "left", "right", "open")
+    windows = edges.mapInArrow(_open_windows, "window long, doc_id long, start int, end int")
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("of_doc"), F.max("doc_id").alias("high"))
+    least = least.filter("of_doc < high").drop("high")
+    return windows.join(least, "window").filter("doc_id > of_doc").select("doc_id", "start", "end", "of_doc")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start, end, n_words and of_doc: word ranges that an earlier document has as well.
 
-    A range joins overlapping repeats of MIN_WORDS words or more; of_doc is the smallest
-    doc_id met among the documents with a part of it. Of the copies of a passage the one with
+    A range joins overlapping repeats of MIN_WORDS words or more, whatever the order or
+    partitioning of the rows; of_doc is the smallest doc_id met among the documents with a part of it. Of the copies of a passage the one with
     the smallest doc_id is not listed. Words are runs other than ASCII white space, compared
     exactly as written, by hashes. Repeats within one document, and texts whose doc_id is null,
     are left alone; rows that repeat a doc_id are one document. Shorter, empty and null
@@ -224,12 +268,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = keys.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     table = bit_table(shared.select(F.col("key").alias("id")))
     suffixes = texts.mapInArrow(_rows_of(table), SUFFIX)
-    ordered = ["key", "right", "left", "doc_id", "pos"]
+    ordered = ["key", "doc_id", "pos"]
     found = cut(
         suffixes.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(_neighbours, FOUND)
     )
-    edges = found.filter("edge").select("key", "doc_id", "start", "left", "right")
-    across = edges.groupBy("key").applyInPandas(_across, "doc_id long, start int, end int, of_doc long")
+    across = _across_tasks(found.filter("edge"))
     spans = found.filter("not edge").select("doc_id", "start", "end", "of_doc").union(across).distinct()
     before = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
