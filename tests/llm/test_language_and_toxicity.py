@@ -148,3 +148,34 @@ def test_without_labels_or_documents(spark, labelled):
     none = toxicity.fit(docs, labels.limit(0))
     assert {r["score"] for r in toxicity.predict(docs, none).collect()} == {0.0}
     assert toxicity.predict(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_statistic_is_the_best_over_any_number_of_segments():
+    model = toxicity.Model(decay=1.0, scale=0.01)
+    rng = corpus.seeded(10)
+    for _ in range(200):
+        n = rng.randrange(100, 100_000)
+        sums = [rng.random() * 8 for _ in range(rng.randrange(0, 30))]
+        top = sorted(sums, reverse=True)
+        over = [
+            sum(x - np.log(0.01 * n) + np.log(k + 1) for k, x in enumerate(top[:r])) for r in range(len(top) + 1)
+        ]
+        assert abs(toxicity._statistic(sums, n, model) - max(over)) < 1e-6
+    level = np.log(0.01 * 50_000)
+    assert toxicity._statistic([level - 0.1], 50_000, model) == 0
+    assert 14 < toxicity._statistic([level - 0.1] * 10, 50_000, model) < 14.2
+
+
+def test_a_long_text_with_many_moderate_segments_scores(spark, labelled):
+    docs, labels, _ = labelled
+    model = toxicity.fit(docs, labels)
+    word = max((w for w in model.tokens if not w.endswith("*")), key=model.tokens.get)
+    strength = model.decay * model.tokens[word]
+    n = int(np.exp(strength + 0.1) / model.scale) + 1  # one such segment alone is what chance gives
+    gap = max(1, n // 60)
+    filler = ["qqq"] * n
+    for at in range(0, n, gap):
+        filler[at] = word
+    clean = toxicity.predict(corpus.frame(spark, [(1, " ".join(["qqq"] * n), "en", "s", 1)]), model).first()
+    many = toxicity.predict(corpus.frame(spark, [(1, " ".join(filler), "en", "s", 1)]), model).first()
+    assert many["score"] > max(0.5, clean["score"])

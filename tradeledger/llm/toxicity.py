@@ -99,9 +99,7 @@ def _statistic(sums: list[float], n: int, model: Model) -> float:
     best, total = 0.0, 0.0
     for r, x in enumerate(sorted(sums, reverse=True), 1):
         total += model.decay * x - math.log(model.scale * n) + math.log(r)
-        if total < best:
-            break
-        best = total
+        best = max(best, total)
     return best
 
 
