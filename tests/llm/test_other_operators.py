@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tradeledger.llm import license_scan, multi_index, sentencepiece_sampling, url_lists
+from tradeledger.llm import license_scan, multi_index, queries, sentencepiece_sampling, url_lists
 
 from . import corpus
 
@@ -101,6 +101,13 @@ def test_round_trip_of_a_table(spark):
     assert sentencepiece_sampling.encode(turns.limit(0), PIECES, ("conv_id", "turn")).count() == 0
 
 
+def test_the_query_takes_every_whole_document(spark, sf_dir):
+    docs = queries.table(spark, sf_dir, "documents")
+    got = queries.op3_sentencepiece_sampling(spark, sf_dir).select("doc_id", "round_trip").collect()
+    assert {r["doc_id"] for r in got} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert all(r["round_trip"] for r in got)
+
+
 # ---- lists with dates ---------------------------------------------------------
 
 ENTRIES = "kind string, entry string, action string, category string, event string, at date"

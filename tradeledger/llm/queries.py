@@ -45,13 +45,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn of every conversation: sampled segmentations, and whether each spells the text."""
+    """Every document's whole text: sampled segmentations, and whether each spells the text."""
     model = tokenizer_path("piece_bpe_32k.model")
-    turns = table(spark, sf_dir, "conversations")
-    encoded = sentencepiece_sampling.encode(turns, model, ("conv_id", "turn"))
+    encoded = sentencepiece_sampling.encode(table(spark, sf_dir, "documents"), model, ("doc_id",))
     decoded = sentencepiece_sampling.decode(encoded, model)
     return decoded.select(
-        "conv_id", "turn", "sample", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "log_prob",
+        "doc_id", "sample", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "log_prob",
         "inclusion", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
