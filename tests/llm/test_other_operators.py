@@ -1,4 +1,5 @@
 import math
+import textwrap
 from collections import Counter
 from datetime import date
 
@@ -55,6 +56,22 @@ def test_licences_are_named_and_others_are_not(spark):
     assert license_scan.scan(corpus.frame(spark, [], corpus.SCHEMA)).count() == 0
 
 
+def test_wrapped_and_dual_headers_are_named_whole(spark):
+    wrapped = {name: textwrap.fill(license_scan.TEMPLATES[name][-1], 72) for name in ("MIT", "BSD-3-Clause", "ISC", "GPL-2.0")}
+    short = "Licensed under the Apache License, Version 2.0."
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 A. Body\n\n" + wrapped["MIT"] + "\n\nother text", "en", "s", 1),
+        (2, textwrap.indent(wrapped["BSD-3-Clause"], " * "), "en", "s", 1),
+        (3, "Copyright A. Body\n" + textwrap.indent(wrapped["ISC"], "# "), "en", "s", 1),
+        (4, short + "\n" + wrapped["MIT"] + "\nplain words", "en", "s", 1),
+        (5, wrapped["GPL-2.0"] + "\n" + wrapped["GPL-2.0"].replace("version 2", "version 3").replace("n; e", "n, e"), "en", "s", 1),
+    ]
+    got = [(r["doc_id"], r["license"]) for r in license_scan.scan(corpus.frame(spark, rows)).orderBy("doc_id", "block").collect() if r["license"]]
+    assert got == [
+        (1, "MIT"), (2, "BSD-3-Clause"), (3, "ISC"), (4, "Apache-2.0"), (4, "MIT"), (5, "GPL-2.0"), (5, "GPL-3.0"),
+    ]
+
+
 # ---- segmentations ----------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -1,15 +1,16 @@
 """Licence scans by conditional compression.
 
-A block is a run of lines that speak of licensing. It is compressed plainly and with each
-licence template as a raw zstandard dictionary; the templates are ranked by how many bytes
-they save. The best ones are confirmed, in that order, by the words in which the block's
-closest stretch differs from the template.
+A block is a paragraph with a line that speaks of licensing, its wrapped lines joined. It is
+compressed plainly and with each licence template as a raw zstandard dictionary, which gives
+the bytes a template saves. Templates are confirmed by the words in which the block's closest
+stretch differs from them; all that don't overlap a better one are named.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,6 +74,7 @@ LEVEL = 3
 # Of a template's words, the share that may be worded differently.
 MOST_DIFFERENT = 0.15
 MEMORY = 50_000
+LONGEST_KEPT = 4_000
 FOUND = (
     "doc_id long, block int, first_line int, n_lines int, license string, saved int, plain int, "
     "n_different int, template_words int, different array<string>"
@@ -81,17 +83,19 @@ _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
 
 def blocks_of(text: str) -> list[tuple[int, list[str]]]:
-    """First line number and lines of each run of candidate lines."""
+    """First line number and lines of each paragraph with a candidate line; a line without a word ends one."""
     found: list[tuple[int, list[str]]] = []
-    last = -2
-    for n, line in enumerate(text.split("\n")):
-        low = line.lower()
-        if any(m in low for m in MARKS):
-            if n == last + 1:
-                found[-1][1].append(line)
-            else:
-                found.append((n, [line]))
-            last = n
+    lines: list[str] = []
+    marked = False
+    for n, line in enumerate([*text.split("\n"), ""]):
+        if _WORD.search(line):
+            low = line.lower()
+            marked = marked or any(m in low for m in MARKS)
+            lines.append(line)
+        else:
+            if marked:
+                found.append((n - len(lines), lines))
+            lines, marked = [], False
     return found
 
 
@@ -135,10 +139,13 @@ class Scanner:
             for name, texts in templates.items()
             for text in texts
         ]
-        self.memory: dict[str, tuple] = {}
+        self.counts = [Counter(wording) for _, wording, _ in self.templates]
+        self.memory: dict[str, list[tuple]] = {}
 
-    def scan(self, block: str) -> tuple:
-        """(licence or None, bytes saved, plain bytes, words different, template words, differences)."""
+    def scan(self, block: str) -> list[tuple]:
+        """(first line, lines, licence or None, bytes saved, plain bytes, words different, template words, differences) of each licence."""
+        if len(block) > LONGEST_KEPT:
+            return self._scan(block)
         found = self.memory.get(block)
         if found is None:
             if len(self.memory) > MEMORY:
@@ -146,20 +153,44 @@ class Scanner:
             found = self.memory[block] = self._scan(block)
         return found
 
-    def _scan(self, block: str) -> tuple:
+    def _best(self, words: list[str], saved: list[int]) -> tuple[int, int, int, int] | None:
+        """The template that fits a stretch best, its edits and that stretch: most words less four an edit, then bytes saved."""
+        have, best = Counter(words), None
+        for i, (_, wording, _) in enumerate(self.templates):
+            most = self.most_different * len(wording)
+            # words the stretch lacks are edits
+            if sum((self.counts[i] - have).values()) > most:
+                continue
+            edits, begin, end = closest(wording, words)
+            key = (len(wording) - 4 * edits, saved[i], -i)
+            if edits <= most and (best is None or key > best[0]):
+                best = key, (i, edits, begin, end)
+        return best and best[1]
+
+    def _scan(self, block: str) -> list[tuple]:
         raw = block.encode()
         plain = len(self.plain.compress(raw))
         saved = [plain - len(coder.compress(raw)) for _, _, coder in self.templates]
-        words = _WORD.findall(block.lower())
-        ranked = sorted(range(len(saved)), key=lambda i: (-saved[i], i))
-        for i in ranked:
-            if saved[i] <= 0:
-                break
-            name, wording, _ = self.templates[i]
-            edits, begin, end = closest(wording, words)
-            if edits <= self.most_different * len(wording):
-                return name, saved[i], plain, edits, len(wording), _differences(wording, words[begin:end])
-        return None, max(saved, default=0), plain, None, None, []
+        words, line = [], []
+        for n, text in enumerate(block.split("\n")):
+            own = _WORD.findall(text.lower())
+            words += own
+            line += [n] * len(own)
+        found, free = [], [(0, len(words))]
+        while free:
+            a, b = free.pop()
+            best = self._best(words[a:b], saved)
+            if best is not None:
+                i, edits, begin, end = best[0], best[1], a + best[2], a + best[3]
+                found.append((begin, end, i, edits))
+                free += [(a, begin), (end, b)]
+        if not found:
+            return [(0, block.count("\n") + 1, None, max(saved, default=0), plain, None, None, [])]
+        return [
+            (line[begin], line[end - 1] - line[begin] + 1, self.templates[i][0], saved[i], plain, edits,
+             len(self.templates[i][1]), _differences(self.templates[i][1], words[begin:end]))
+            for begin, end, i, edits in sorted(found)
+        ]
 
 
 def _differences(template: list[str], words: list[str]) -> list[str]:
@@ -172,10 +203,11 @@ def _differences(template: list[str], words: list[str]) -> list[str]:
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """A row for each candidate block of each document; license is null where none is confirmed.
+    """A row for each licence in each candidate block; one with a null license where none is confirmed.
 
-    Among confirmed templates the one that saves most bytes is named; ties go to the order of
-    the table. Null and empty texts, and texts without a candidate line, give no row. Only
+    Rows are numbered in the order of the text. first_line and n_lines are those of the licence's
+    stretch, or of the whole block. Of templates that overlap, the one with most words, less four
+    for each edit, is named; ties go to bytes saved, then to the order of the table. Null and empty texts, and texts without a candidate line, give no row. Only
     doc_id and text are read; repeated rows give repeated results.
     """
     templates = TEMPLATES if templates is None else templates
@@ -188,11 +220,10 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -
             ("template_words", pa.int32()), ("different", pa.list_(pa.string())),
         ])
         for batch in batches:
-            rows = [
-                (doc_id, k, first, len(lines), *scanner.scan("\n".join(lines)))
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                for k, (first, lines) in enumerate(blocks_of(text))
-            ]
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = [(first + x[0], *x[1:]) for first, lines in blocks_of(text) for x in scanner.scan("\n".join(lines))]
+                rows += [(doc_id, k, *x) for k, x in enumerate(found)]
             columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
 
