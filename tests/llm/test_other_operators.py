@@ -189,3 +189,28 @@ def test_links_against_brute_force(spark):
             assert (by_id[r[0]]["n_links"], by_id[r[0]]["component_id"], by_id[r[0]]["kept"]) == (0, r[0], True)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in by_id.values())
     assert multi_index.near_vectors(df.limit(0)).count() == 0
+
+
+def test_visits_come_from_all_rows_and_are_not_capped():
+    few = np.array([[k, 3, 1] for k in range(20)])
+    assert multi_index.needed_visits(few, 4096) == 4096  # too few to tell
+    far = np.array([[k, 3, 100] for k in range(60)] + [[60 + k, 900, 1] for k in range(60)])
+    assert multi_index.needed_visits(far, 4096) == 900  # small groups count as well, and above 512 visits
+    never = np.array([[k, 4097, 1] for k in range(60)])
+    assert multi_index.needed_visits(never, 4096) == 4096
+
+
+def test_pairs_too_rare_for_a_sample_are_all_found(spark, monkeypatch):
+    """Few probes have a partner among many rows: no cell may be left out then."""
+    rng = np.random.default_rng(15)
+    one = rng.normal(size=(600, 16))
+    two = one + rng.normal(0, 0.2, one.shape)
+    vectors = np.concatenate([one, two])
+    monkeypatch.setattr(multi_index, "SAMPLE", 100)
+    monkeypatch.setattr(multi_index, "PROBES", 30)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    got = multi_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), codes=64)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(near.sum(1).tolist()))

@@ -2,8 +2,8 @@
 
 Each half of a unit vector has a codebook of its own; the product of both is a grid of
 cells. A vector lies in one cell and is compared with the vectors of the cells nearest to
-it, visited in the order of their summed distances (multi-sequence order), as far as a
-sample says is needed for the target recall. Pairs found are verified in double precision.
+it, visited in the order of their summed distances (multi-sequence order), as far as random
+probes, compared with all vectors, say is needed for the target recall. Pairs found are verified in double precision.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from tradeledger.llm.checkpoints import cut
 from tradeledger.llm.components import connected_components
 
 LEAST_COSINE = 0.95
-# Bounds of the fit: vectors sampled for codebooks, and how many of them are used to measure recall.
+# Bounds of the fit: vectors sampled for codebooks, and those compared with all vectors to measure recall.
 SAMPLE = 20_000
 PROBES = 2_000
 CODES = 64
 TARGET_RECALL = 0.995
-# Cells visited where the sample has too few pairs to tell, and at most.
-VISITS, MOST_VISITS = 64, 512
+# With fewer pairs, or fewer probes that have any, recall can't be told, and no cell is left out for its rank.
+LEAST_MEASURED = 50
 BLOCK = 2_000
 BATCH = 1_000
 
@@ -92,27 +92,69 @@ def _units(column: pa.Array, dimension: int) -> np.ndarray:
     return values / np.sqrt((values * values).sum(1))[:, None]
 
 
-def fit(sample: np.ndarray, least: float = LEAST_COSINE, codes: int = CODES, target: float = TARGET_RECALL) -> Index:
-    """Codebooks from unit vectors, and the fewest visits that find ``target`` of the sample's near pairs."""
+def fit(sample: np.ndarray, least: float = LEAST_COSINE, codes: int = CODES) -> Index:
+    """Codebooks from unit vectors; every cell is visited but those where no near vector can lie."""
     rng = np.random.default_rng(7)
     half = max(1, sample.shape[1] // 2)
-    index = Index((_codebook(sample[:, :half], codes, rng), _codebook(sample[:, half:], codes, rng)), VISITS, least)
-    queries = sample[:PROBES]
-    most = min(MOST_VISITS, len(index.halves[0]) * len(index.halves[1]))
-    index.visits = min(VISITS, most)
-    home = index.visited(sample, 1)[:, 0]
-    ranks = []
-    for at in range(0, len(queries), 100):
-        near = queries[at : at + 100] @ sample.T >= least
-        near[np.arange(len(near)), at + np.arange(len(near))] = False
-        for found, cells in zip(near, index.visited(queries[at : at + 100], most), strict=True):
-            place = np.full(len(index.halves[0]) * len(index.halves[1]), most)
-            place[cells[cells >= 0]] = np.flatnonzero(cells >= 0) + 1
-            ranks.append(place[home[found]])
-    ranks = np.sort(np.concatenate(ranks)) if ranks else np.zeros(0, int)
-    if len(ranks) >= 50:
-        index.visits = int(ranks[min(len(ranks) - 1, int(np.ceil(target * len(ranks))))])
-    return index
+    halves = (_codebook(sample[:, :half], codes, rng), _codebook(sample[:, half:], codes, rng))
+    return Index(halves, len(halves[0]) * len(halves[1]), least)
+
+
+def _ranks(index: Index, probes: np.ndarray) -> np.ndarray:
+    """At which visit each probe comes to each cell; one more than there are cells where it never does."""
+    n = len(index.halves[0]) * len(index.halves[1])
+    ranks = np.full((len(probes), n), n + 1, np.int32)
+    for at in range(0, len(probes), 100):
+        for k, cells in enumerate(index.visited(probes[at : at + 100], n), at):
+            ranks[k, cells[cells >= 0]] = np.flatnonzero(cells >= 0) + 1
+    return ranks
+
+
+def needed_visits(found: np.ndarray, cells: int, target: float = TARGET_RECALL) -> int:
+    """The fewest visits that find ``target`` of all pairs, and of a probe's pairs on average.
+
+    ``found`` has rows of probe, visit and pairs. All cells where pairs are too few or the target isn't reached.
+    """
+    if len(found) == 0 or found[:, 2].sum() < LEAST_MEASURED or len(np.unique(found[:, 0])) < LEAST_MEASURED:
+        return cells
+    _, which = np.unique(found[:, 0], return_inverse=True)
+    share = found[:, 2] / np.bincount(which, found[:, 2])[which]
+    reached = np.ones(cells, bool)
+    for weight in (found[:, 2], share):
+        recall = np.cumsum(np.bincount(found[:, 1], weight, cells + 2))[1 : cells + 1] / weight.sum()
+        reached &= recall >= target - 1e-12
+    return int(reached.argmax()) + 1 if reached.any() else cells
+
+
+def _measure(index: Index, single: DataFrame, total: int, target: float = TARGET_RECALL) -> int:
+    """Compare random probes with every vector, a block at a time, and tell the visits needed."""
+    dice = F.pmod(F.xxhash64("vec_id", F.lit("probe")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = single.filter(dice < PROBES / max(total, 1)).select("vec_id", "embedding").toArrow()
+    cells = len(index.halves[0]) * len(index.halves[1])
+    if drawn.num_rows == 0:
+        return cells
+    ids = drawn.column("vec_id").to_numpy()
+    probes = _units(drawn.column("embedding").combine_chunks(), index.dimension)
+    ranks = _ranks(index, probes)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                units = _units(part.column("embedding"), index.dimension)
+                home = index.visited(units, 1)[:, 0]
+                d, q = np.nonzero(units @ probes.T >= index.least)
+                other = part.column("vec_id").to_numpy()[d] != ids[q]
+                d, q = d[other], q[other]
+                codes, n = np.unique(q * (cells + 2) + ranks[q, home[d]], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes // (cells + 2), pa.int64()), pa.array(codes % (cells + 2), pa.int64()), pa.array(n, pa.int64())],
+                    names=["probe", "visit", "n"],
+                )
+
+    pairs = single.select("vec_id", "embedding").mapInArrow(near, "probe long, visit long, n long")
+    found = pairs.groupBy("probe", "visit").agg(F.sum("n").alias("n")).toArrow()
+    return needed_visits(np.stack([found.column(c).to_numpy() for c in ("probe", "visit", "n")], 1), cells, target)
 
 
 def _valid(vectors: DataFrame, embedding: str) -> DataFrame:
@@ -172,12 +214,15 @@ def _pairs_of(index: Index, queries, query_units, data, data_units) -> pa.Record
     q, d = q[other], d[other]
     if not len(q):
         return None
-    visits = index.visited(data_units[np.unique(d)])
-    mutual = (visits[np.searchsorted(np.unique(d), d)] == queries[q, 2][:, None]).any(1)
+    use_d = np.unique(d)
+    visited = np.zeros((len(use_d), len(index.halves[0]) * len(index.halves[1]) + 1), bool)
+    # a cell left out is -1, the last column
+    np.put_along_axis(visited, index.visited(data_units[use_d]), True, 1)
+    mutual = visited[np.searchsorted(use_d, d), queries[q, 2]]
     more_q = np.bincount(q, data[d, 1], len(queries)).astype(np.int64)
     more_d = np.bincount(d[~mutual], queries[q[~mutual], 1], len(data)).astype(np.int64)
     left, right = _components(q, d, len(queries), len(data))
-    use_q, use_d = np.unique(q), np.unique(d)
+    use_q = np.unique(q)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([queries[use_q, 0], data[use_d, 0]])),
@@ -214,6 +259,7 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, codes: int = C
     if sample.num_rows == 0:
         sample = single.orderBy("vec_id").limit(1).select("vec_id", "embedding").toArrow()
     index = fit(_units(sample.column("embedding").combine_chunks(), commonest["n"]), least, codes)
+    index.visits = _measure(index, single, total)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
