@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.llm import (
+    fill_middle,
     jaccard_join,
     language_id,
     license_scan,
@@ -19,7 +20,7 @@ from tradeledger.llm import (
     toxicity,
     url_lists,
 )
-from tradeledger.llm.sql import QUALITY_SQL, URL_SQL
+from tradeledger.llm.sql import FILL_SQL, QUALITY_SQL, URL_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +135,14 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.rearrange(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -146,8 +155,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
         "op10_embedding_neardup": op10_embedding_neardup,
+        "op12_fill_middle": op12_fill_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_lists": URL_SQL, "op8_quality_rules": QUALITY_SQL}
+    return {"op7_url_lists": URL_SQL, "op8_quality_rules": QUALITY_SQL, "op12_fill_middle": FILL_SQL}

@@ -70,3 +70,27 @@ SELECT c.page_id, c.url, c.fetched_at::DATE::VARCHAR AS fetched_at, coalesce(f.a
        f.kind AS rule_kind, f.category
 FROM captures c LEFT JOIN found f ON f.page_id = c.page_id AND f.n = 1
 """
+
+FILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id::VARCHAR) AS h FROM documents),
+u AS (
+  SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+         ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d),
+c AS (
+  SELECT *, len(lines)::BIGINT AS n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT *, array_to_string(lines[1:a], '') AS pre, array_to_string(lines[a + 1:b], '') AS mid,
+         array_to_string(lines[b + 1:], '') AS suf
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(pre || mid || suf) AS restored_sha256
+FROM p
+"""
