@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.llm import (
+    collocations,
     fill_middle,
     jaccard_join,
     language_id,
@@ -20,7 +21,7 @@ from tradeledger.llm import (
     toxicity,
     url_lists,
 )
-from tradeledger.llm.sql import FILL_SQL, QUALITY_SQL, URL_SQL
+from tradeledger.llm.sql import COLLOCATION_SQL, FILL_SQL, QUALITY_SQL, URL_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,6 +136,10 @@ def op10_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.rearrange(table(spark, sf_dir, "documents"))
     return made.select(
@@ -155,9 +160,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_packing": op9_packing,
         "op10_embedding_neardup": op10_embedding_neardup,
+        "op11_collocations": op11_collocations,
         "op12_fill_middle": op12_fill_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_lists": URL_SQL, "op8_quality_rules": QUALITY_SQL, "op12_fill_middle": FILL_SQL}
+    return {
+        "op7_url_lists": URL_SQL,
+        "op8_quality_rules": QUALITY_SQL,
+        "op11_collocations": COLLOCATION_SQL,
+        "op12_fill_middle": FILL_SQL,
+    }

@@ -94,3 +94,42 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END A
        sha256(pre || mid || suf) AS restored_sha256
 FROM p
 """
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
+  FROM (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces)),
+g AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER p AS w2, lead(word, 2) OVER p AS w3, lead(word, 3) OVER p AS w4
+  FROM w WINDOW p AS (PARTITION BY id ORDER BY pos)),
+f AS (
+  SELECT lang, w1 AS phrase, [w1] AS words, 1 AS m, count(*) AS a FROM g GROUP BY lang, w1
+  UNION ALL SELECT lang, concat_ws(' ', w1, w2), [w1, w2], 2, count(*) FROM g WHERE w2 IS NOT NULL
+  GROUP BY lang, w1, w2 HAVING count(*) >= 30
+  UNION ALL SELECT lang, concat_ws(' ', w1, w2, w3), [w1, w2, w3], 3, count(*) FROM g WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3 HAVING count(*) >= 30
+  UNION ALL SELECT lang, concat_ws(' ', w1, w2, w3, w4), [w1, w2, w3, w4], 4, count(*) FROM g WHERE w4 IS NOT NULL
+  GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * p.a // (x.a + y.a))::BIGINT AS score
+  FROM f p, range(1, 4) AS c(k), f x, f y
+  WHERE p.m > 1 AND k < p.m AND p.a >= 30
+    AND x.lang = p.lang AND x.phrase = array_to_string(p.words[1:k], ' ')
+    AND y.lang = p.lang AND y.phrase = array_to_string(p.words[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM f, range(2, 4) AS s(k), unnest(generate_series(1, m - k + 1)) AS u(i)
+  WHERE m > k GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, encode(b.phrase))::BIGINT AS rank,
+       b.phrase, b.a, l, r, n, score
+FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE longer IS NULL OR 100 * longer < 80 * b.a
+QUALIFY rank <= 2000
+"""
