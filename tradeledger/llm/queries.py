@@ -16,6 +16,7 @@ from tradeledger.llm import (
     multi_index,
     packing,
     quality_rules,
+    quality_trees,
     sentencepiece_sampling,
     sparse_suffix,
     toxicity,
@@ -148,6 +149,15 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_trees.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_trees.predict(docs, forest).select(
+        "doc_id", quality_trees.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_trees.GOOD).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -162,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_embedding_neardup": op10_embedding_neardup,
         "op11_collocations": op11_collocations,
         "op12_fill_middle": op12_fill_middle,
+        "op13_quality_trees": op13_quality_trees,
     }
 
 
