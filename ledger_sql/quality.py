@@ -202,3 +202,11 @@ QUALITY["dq_issue_summary"] = f"""
                ORDER BY "check" || ' ' || concat_ws('.', table_name, column_name))
                FILTER (WHERE NOT passed), '') AS issues
     FROM ({_EVERYTHING})"""
+
+QUALITY["dq_while_writing"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({QUALITY[name]})"
+    for name in (
+        "dq_row_counts", "dq_nulls", "dq_date_bounds", "dq_win_rate_band", "dq_net_pct_band", "dq_avg_deal_band",
+        "dq_net_identity", "dq_net_le_gross", "dq_rate_caps", "dq_deal_amount_range",
+    )
+)

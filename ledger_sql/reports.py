@@ -761,10 +761,18 @@ REPORTS["write_summary"] = f"""
     SELECT 'analytics_monthly_trend', COUNT(*), {dbl('SUM(net)')}, CAST(SUM(products) AS BIGINT)
     FROM (SELECT {_MONTH} AS month, SUM(net_sales) AS net, COUNT(DISTINCT product_id) AS products
           FROM shipments GROUP BY 1)"""
-# JSON has one integer type, so the small key comes back wide
-REPORTS["write_json"] = f"""
-    SELECT * REPLACE (CAST(territory_id AS BIGINT) AS territory_id)
-    FROM ({REPORTS['kpi_territory_heatmap']})"""
+REPORTS["write_json"] = REPORTS["kpi_territory_heatmap"]
+REPORTS["append_shipments"] = REPORTS["read_shipments"]
+REPORTS["append_rollups"] = REPORTS["kpi_distributor_scorecards"]
+_SPOILED = {
+    "shipments": "quantity = 50", "sf_opportunities": "stage = 'Closed Lost'", "sales_reps": "rep_tier = 'Director'",
+}
+REPORTS["read_rejected"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, COUNT(*) - COUNT(CASE WHEN {bad} THEN 1 END) AS good,
+        COUNT(CASE WHEN {bad} THEN 1 END) AS rejected, COUNT(CASE WHEN {bad} THEN 1 END) AS with_text,
+        COUNT(CASE WHEN {bad} THEN 1 END) AS with_file FROM {name}"""
+    for name, bad in ((n, _SPOILED.get(n, "FALSE")) for n in _COLUMNS)
+)
 REPORTS["write_kpi_card"] = REPORTS["kpi_executive_summary"]
 REPORTS["read_view"] = """
     SELECT t.region, o.annual_revenue_tier, COUNT(*) AS operators

@@ -2,6 +2,7 @@
 
     run EXPORT WAREHOUSE PRODUCTS   load, summarise, publish and check
     load EXPORT WAREHOUSE           CSV export to Parquet warehouse with roll-ups
+    append CHUNK WAREHOUSE TAG      add a CSV chunk of shipments to the warehouse
     publish WAREHOUSE PRODUCTS      summaries and JSON products
     check WAREHOUSE                 quality report; exit status 1 when a check fails
 """
@@ -13,13 +14,13 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeledger.operators import quality
 from tradeledger.plans import publish
-from tradeledger.sources import sinks
+from tradeledger.sources import sinks, tables
 
 COMMANDS = {
     "run": ("export", "warehouse", "products"),
     "load": ("export", "warehouse"),
+    "append": ("chunk", "warehouse", "tag"),
     "publish": ("warehouse", "products"),
     "check": ("warehouse",),
 }
@@ -52,12 +53,16 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
     if args.command == "load":
         publish.load_warehouse(spark, args.export, args.warehouse)
         return 0
+    if args.command == "append":
+        chunk = tables.read_shipments(spark, args.chunk, keep_rejected=True)
+        sinks.append_shipments(spark, chunk, args.warehouse, args.tag)
+        return 0
     star = sinks.open_star(spark, args.warehouse, rollups=True)
     if args.command == "publish":
         publish.build_summaries(star, args.warehouse)
-        publish.publish_products(star, args.warehouse, args.products)
-        return 0
-    return report(quality.quality_report(star))
+        failed = publish.publish_products(star, args.warehouse, args.products)
+        return 1 if failed else 0
+    return report(publish.check_warehouse(spark, args.warehouse, star))
 
 
 if __name__ == "__main__":

@@ -181,6 +181,10 @@ SOURCES_AND_SINKS = {
     "write_json": roundtrip.write_json,
     "write_kpi_card": roundtrip.write_kpi_card,
     "write_csv_by_year": roundtrip.write_csv_by_year,
+    "append_shipments": roundtrip.append_shipments,
+    "append_rollups": roundtrip.append_rollups,
+    "read_rejected": roundtrip.read_rejected,
+    "dq_while_writing": partial(roundtrip.checks_while_writing, **DAYS),
 }
 
 

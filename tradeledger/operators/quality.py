@@ -69,7 +69,10 @@ DISCOUNT_CAP, RETURN_CAP = "0.15", "0.05"
 
 @dataclass(frozen=True)
 class Check:
-    """An aggregate of one table and the range it has to lie in."""
+    """An aggregate of one table and the range it has to lie in.
+
+    ``counts_rows`` marks one that counts a row without any value as well.
+    """
 
     name: str
     table: str
@@ -78,6 +81,7 @@ class Check:
     lower: float | None = None
     upper: float | None = None
     reads_operator: bool = False
+    counts_rows: bool = False
 
 
 def run_checks(star: Star, checks: Iterable[Check]) -> DataFrame:
@@ -85,7 +89,7 @@ def run_checks(star: Star, checks: Iterable[Check]) -> DataFrame:
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)
-    return _union(_run_on(star, table, group) for table, group in by_table.items())
+    return union(_run_on(star, table, group) for table, group in by_table.items())
 
 
 def _run_on(star: Star, table: str, checks: list[Check]) -> DataFrame:
@@ -106,10 +110,10 @@ def _run_on(star: Star, table: str, checks: list[Check]) -> DataFrame:
         )
         for i, c in enumerate(checks)
     ]
-    return _judged(wide.select(F.inline(F.array(*results))))
+    return judged(wide.select(F.inline(F.array(*results))))
 
 
-def _judged(results: DataFrame) -> DataFrame:
+def judged(results: DataFrame) -> DataFrame:
     """A check passes when it observed something and that lies in its range."""
     at_least = F.coalesce(F.col("observed") >= F.col("lower"), F.col("lower").isNull())
     at_most = F.coalesce(F.col("observed") <= F.col("upper"), F.col("upper").isNull())
@@ -117,19 +121,19 @@ def _judged(results: DataFrame) -> DataFrame:
     return results.withColumn("passed", passed).select(*RESULT)
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
+def union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 # ---- declared checks ------------------------------------------------------
 
 def row_count_checks() -> list[Check]:
-    return [Check("row_count", t, None, lambda: F.count(F.lit(1)), lower=1) for t in TABLES]
+    return [Check("row_count", t, None, lambda: F.count(F.lit(1)), lower=1, counts_rows=True) for t in TABLES]
 
 
 def null_checks() -> list[Check]:
     return [
-        Check("nulls", t, c, lambda c=c: F.count_if(F.col(c).isNull()), upper=0)
+        Check("nulls", t, c, lambda c=c: F.count_if(F.col(c).isNull()), upper=0, counts_rows=True)
         for t, c in REQUIRED
     ]
 
@@ -328,7 +332,7 @@ def _fact_orphans(star: Star, references: list[tuple[str, str, str, str]], name:
 
     rows = star.shipments.select(F.inline(F.array(*[pair(column, column) for _, column, _, _ in references])))
     counted = rows.filter(F.col("k").isNotNull()).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    parents = _union(
+    parents = union(
         star.table(parent).select(F.lit(column).alias("c"), F.col(key).cast("string").alias("k"))
         for _, column, parent, key in references
     )
@@ -357,12 +361,12 @@ def dq_fk_orphans(star: Star) -> DataFrame:
     """Eight references; a NULL key refers to nothing and is not an orphan."""
     of_fact = [r for r in FOREIGN_KEYS if r[0] == "shipments"]
     others = [_orphans(star, r, "fk_orphans", nulls=False) for r in FOREIGN_KEYS if r[0] != "shipments"]
-    return _judged(_union([*others, _fact_orphans(star, of_fact, "fk_orphans")]))
+    return judged(union([*others, _fact_orphans(star, of_fact, "fk_orphans")]))
 
 
 def dq_fk_left_join(star: Star) -> DataFrame:
     """Three references where a NULL key counts as an orphan too."""
-    return _judged(_union(_orphans(star, r, "fk_missing", nulls=True) for r in LOAD_FOREIGN_KEYS))
+    return judged(union(_orphans(star, r, "fk_missing", nulls=True) for r in LOAD_FOREIGN_KEYS))
 
 
 # ---- keys -----------------------------------------------------------------
@@ -386,7 +390,7 @@ def dq_pk_unique(star: Star, keys: Mapping[str, tuple[str, ...]] = PRIMARY_KEYS)
             F.lit(0.0).alias("upper"),
         )
 
-    return _judged(_union(surplus(t, c) for t, c in keys.items()))
+    return judged(union(surplus(t, c) for t, c in keys.items()))
 
 
 def dq_join_fanout(star: Star) -> DataFrame:
@@ -419,7 +423,7 @@ def dq_join_fanout(star: Star) -> DataFrame:
         pair = F.array(row("join_fanout_max", "most", 1.0), row("join_fanout_mean", "mean", None))
         return both.select(F.inline(pair))
 
-    return _judged(_union(fanout(t, c) for t, c in FANOUT_KEYS))
+    return judged(union(fanout(t, c) for t, c in FANOUT_KEYS))
 
 
 # ---- quantity outliers ----------------------------------------------------
@@ -539,16 +543,9 @@ def dq_quantity_flags(star: Star) -> DataFrame:
 
 # ---- everything -----------------------------------------------------------
 
-def quality_report(
-    star: Star,
-    first: date = FIRST_DAY,
-    last: date = LAST_DAY,
-    keys: Mapping[str, tuple[str, ...]] = PRIMARY_KEYS,
-) -> DataFrame:
-    """All checks that can find an issue, with one pass over each table for
-    the declared ones. Join fan-out is a property of the joins, not a fault of
-    the data, and is reported separately."""
-    declared = (
+def declared_checks(first: date = FIRST_DAY, last: date = LAST_DAY) -> list[Check]:
+    """The checks that are aggregates of one table and can find an issue."""
+    return (
         row_count_checks()
         + null_checks()
         + date_bound_checks(first, last)
@@ -560,7 +557,29 @@ def quality_report(
         + rate_cap_checks()
         + deal_amount_checks()
     )
-    return _union([run_checks(star, declared), dq_fk_orphans(star), dq_pk_unique(star, keys)])
+
+
+def quality_report(
+    star: Star,
+    first: date = FIRST_DAY,
+    last: date = LAST_DAY,
+    keys: Mapping[str, tuple[str, ...]] = PRIMARY_KEYS,
+    stored: DataFrame | None = None,
+) -> DataFrame:
+    """All checks that can find an issue, with one pass over each table for
+    the declared ones. Join fan-out is a property of the joins, not a fault of
+    the data, and is reported separately.
+
+    ``stored`` are declared checks found while the tables were written, with the standard
+    days; only tables without any there are scanned for them."""
+    declared = declared_checks(first, last)
+    if stored is None:
+        frames = [run_checks(star, declared)]
+    else:
+        known = {r[0] for r in stored.select("table_name").distinct().collect()}  # at most nine
+        rest = [c for c in declared if c.table not in known]
+        frames = [judged(stored)] + ([run_checks(star, rest)] if rest else [])
+    return union([*frames, dq_fk_orphans(star), dq_pk_unique(star, keys)])
 
 
 def dq_issue_summary(

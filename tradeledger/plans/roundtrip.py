@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.operators.preagg import shipments_by
+from tradeledger.operators import quality
+from tradeledger.operators.preagg import merge_single_rows, shipments_by
 from tradeledger.plans import crm, publish, shipments, territory
 from tradeledger.sources import sinks, tables
 from tradeledger.sources.schemas import CRM, DIMENSIONS, TABLES
@@ -167,7 +169,7 @@ def write_summary(star: Star) -> DataFrame:
     publish.build_summaries(star, folder)
 
     def figures(name: str, sales: str, count: str) -> DataFrame:
-        return star.spark.read.parquet(f"{folder}/{name}").agg(
+        return sinks.read_summary(star.spark, f"{folder}/{name}").agg(
             F.lit(name).alias("summary"),
             F.count(F.lit(1)).alias("row_count"),
             F.sum(sales).cast("double").alias("sales"),
@@ -183,21 +185,97 @@ def write_summary(star: Star) -> DataFrame:
 
 
 def write_json(star: Star) -> DataFrame:
-    folder = _folder(star, "json")
-    sinks.write_json(territory.kpi_territory_heatmap(star), folder)
-    return tables.read_product(star.spark, folder)
+    """The heat map as one JSON array, read back with its own types."""
+    path = f"{_folder(star, 'json')}.json"
+    made = territory.kpi_territory_heatmap(star)
+    sinks.write_json(made, path)
+    return tables.read_product(star.spark, path, made.schema)
 
 
 def read_json_product(star: Star) -> DataFrame:
+    """The monthly trends as JSON lines, written twice; the latest version is read."""
     folder = _folder(star, "product")
-    sinks.write_json(shipments.kpi_monthly_trends(star), folder)
-    return tables.read_product(star.spark, folder)
+    made = shipments.kpi_monthly_trends(star)
+    sinks.write_json_lines(made.limit(1), folder)
+    sinks.write_json_lines(made, folder)
+    return tables.read_product(star.spark, folder, made.schema)
 
 
 def write_kpi_card(star: Star) -> DataFrame:
-    folder = _folder(star, "card")
-    sinks.write_kpi_card(folder, shipments.shipment_totals(star), crm.deal_totals(star))
-    return tables.read_product(star.spark, folder)
+    path = f"{_folder(star, 'card')}.json"
+    both = shipments.shipment_totals(star), crm.deal_totals(star)
+    sinks.write_kpi_card(path, *both)
+    return tables.read_product(star.spark, path, merge_single_rows(*both).schema)
+
+
+def _chunks(star: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Shipments up to 1997, those from then on, and those of 1996 that came with the first."""
+    rows = star.shipments.select(*[c for c in star.shipments.columns if c != "shipment_id"])
+    year = F.year("week_ending")
+    return rows.filter(year < 1998), rows.filter(year >= 1998), rows.filter(year == 1996)
+
+
+def _appended(star: Star) -> Star:
+    """A warehouse that came in pieces: the first years, the rest in two chunks, one of them twice, and one year anew."""
+    folder = _folder(star, "appended")
+    early, late, again = _chunks(star)
+    first = Star(star.spark, {**{n: lambda n=n: star.table(n) for n in TABLES if n != "shipments"}, "shipments": lambda: early})
+    sinks.write_star(first, folder, rollups=True)
+    odd = F.col("quantity") % 2 == 1
+    for chunk, tag in ((late.filter(odd), "odd"), (late.filter(~odd), "even"), (late.filter(odd), "odd")):
+        sinks.append_shipments(star.spark, chunk, folder, tag)
+    sinks.append_shipments(star.spark, again, folder, "1996 anew", replace_years=True)
+    return sinks.open_star(star.spark, folder, rollups=True)
+
+
+def append_shipments(star: Star) -> DataFrame:
+    """Yearly totals over the rows of a warehouse that came in pieces."""
+    return _yearly(_appended(star).without_rollups())
+
+
+def append_rollups(star: Star) -> DataFrame:
+    """Distributor scorecards from roll-ups that were kept up while shipments came in pieces."""
+    return shipments.kpi_distributor_scorecards(_appended(star))
+
+
+# Lines that the export below spoils: a table, the column that gets no valid value, and where.
+SPOILED = {
+    "shipments": ("shipment_date", "quantity = 50", "yesterday"),
+    "sf_opportunities": ("amount", "stage = 'Closed Lost'", "n/a"),
+    "sales_reps": ("quota_annual", "rep_tier = 'Director'", "none"),
+}
+
+
+def read_rejected(star: Star) -> DataFrame:
+    """An export with lines that don't parse, loaded: for each table how many lines were good and how many not."""
+    folder = _folder(star, "rejected")
+    read: dict = {}
+    for name, schema in TABLES.items():
+        rows = star.table(name).select(*[c for c in schema.names if c in star.table(name).columns])
+        rows = rows.select(*rows.columns, *[F.lit(None).cast("string").alias(c) for c in schema.names if c not in rows.columns])
+        rows = rows.select(*[F.col(c).cast("string").alias(c) for c in schema.names])
+        if name in SPOILED:
+            column, where, value = SPOILED[name]
+            rows = rows.withColumn(column, F.when(F.expr(where), F.lit(value)).otherwise(F.col(column)))
+        rows.write.option("header", True).csv(f"{folder}/export/{name}")
+        read[name] = lambda n=name: tables.read_table(star.spark, n, f"{folder}/export/{n}", keep_rejected=True)
+    sinks.write_star(Star(star.spark, read), f"{folder}/warehouse")
+    good = sinks.stored_checks(star.spark, f"{folder}/warehouse").filter(F.col("check") == "row_count")
+    bad = sinks.rejected_lines(star.spark, f"{folder}/warehouse").groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rejected"), F.count_if(F.length("line") > 0).alias("with_text"),
+        F.count_if(F.col("file").contains("/export/")).alias("with_file"),
+    )
+    return good.join(bad, "table_name", "left").select(
+        "table_name", F.col("observed").cast("long").alias("good"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rejected", "with_text", "with_file")],
+    )
+
+
+def checks_while_writing(star: Star, first: date, last: date) -> DataFrame:
+    """The declared checks as they were found while the star was written."""
+    folder = _folder(star, "checks")
+    sinks.write_star(star, folder, days=(first, last))
+    return quality.judged(sinks.stored_checks(star.spark, folder))
 
 
 def read_view(star: Star) -> DataFrame:
