@@ -773,6 +773,27 @@ REPORTS["read_rejected"] = " UNION ALL ".join(
         COUNT(CASE WHEN {bad} THEN 1 END) AS with_file FROM {name}"""
     for name, bad in ((n, _SPOILED.get(n, "FALSE")) for n in _COLUMNS)
 )
+REPORTS["state_cube"] = f"""
+    SELECT CAST(GROUPING(s.distributor_id, distributor_type, region, YEAR(week_ending)) AS INT) AS slice_id,
+           s.distributor_id, distributor_type, region, CAST(YEAR(week_ending) AS INT) AS year,
+           CAST(SUM(quantity) AS BIGINT) AS quantity, {dbl('SUM(gross_sales)')} AS gross_sales,
+           {dbl('SUM(net_sales)')} AS net_sales, {dbl('SUM(returns)')} AS returns, COUNT(*) AS shipment_count
+    FROM shipments s JOIN distributors d ON d.distributor_id = s.distributor_id
+    LEFT JOIN territories t ON t.territory_id = d.territory_id
+    GROUP BY GROUPING SETS (
+        (s.distributor_id, distributor_type, region, YEAR(week_ending)), (s.distributor_id, distributor_type, region),
+        (distributor_type, region, YEAR(week_ending)), (distributor_type, region),
+        (distributor_type, YEAR(week_ending)), (distributor_type), (region, YEAR(week_ending)), (region),
+        (YEAR(week_ending)), ())"""
+REPORTS["state_operators"] = """
+    SELECT CAST(YEAR(week_ending) AS INT) AS year, distributor_type, COUNT(DISTINCT s.operator_id) AS active_operators
+    FROM shipments s JOIN distributors d ON d.distributor_id = s.distributor_id
+    JOIN operators o ON o.operator_id = s.operator_id
+    GROUP BY 1, 2"""
+REPORTS["state_quantities"] = """
+    SELECT category, COUNT(quantity) AS n, TRUE AS within
+    FROM shipments s LEFT JOIN products p ON p.product_id = s.product_id
+    WHERE quantity IS NOT NULL GROUP BY category"""
 REPORTS["write_kpi_card"] = REPORTS["kpi_executive_summary"]
 REPORTS["read_view"] = """
     SELECT t.region, o.annual_revenue_tier, COUNT(*) AS operators

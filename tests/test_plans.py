@@ -4,6 +4,7 @@ import pytest
 
 from tradeledger.catalog import REPORTS
 from tradeledger.operators.preagg import shipments_by
+from tradeledger.plans import shipments
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "BatchEvalPython",
              "MapInPandas", "Expand")
@@ -97,3 +98,11 @@ def test_periods_reach_the_scan_of_the_shipments(fixture_star, name):
 @pytest.mark.parametrize("name", ["slice_rankings_year_region", "slice_heatmap_year_region", "slice_pipeline_year"])
 def test_periods_reach_the_scan_of_the_orders(fixture_star, name):
     assert "GreaterThanOrEqual(o_orderd" in plan_of(REPORTS[name](fixture_star))  # the text is cut off there
+
+
+def test_q04_reads_the_last_week_once_and_ahead(fixture_star):
+    """The plan has no scan more than with a given day; with none loaded nothing is reported."""
+    free = plan_of(shipments.q04_active_operators(fixture_star))
+    fixed = plan_of(shipments.q04_active_operators(fixture_star, as_of=shipments.last_week(fixture_star)))
+    assert free.count("Scan parquet") == fixed.count("Scan parquet")
+    assert "Subquery" not in free

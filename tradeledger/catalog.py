@@ -184,6 +184,9 @@ SOURCES_AND_SINKS = {
     "append_shipments": roundtrip.append_shipments,
     "append_rollups": roundtrip.append_rollups,
     "read_rejected": roundtrip.read_rejected,
+    "state_cube": roundtrip.sales_cube,
+    "state_operators": roundtrip.operator_states,
+    "state_quantities": roundtrip.quantity_states,
     "dq_while_writing": partial(roundtrip.checks_while_writing, **DAYS),
 }
 

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 # Parts of a doubling of the value, and ids that stand together among equal values.
 STEPS = 64
 IDS = 1 << 16
+# Ranges of text ids are set by so many ids, drawn by their hash.
+TEXT_RANGES = 200
 
 
 def with_rank(df: DataFrame, value: str, id_column: str, name: str = "rank") -> DataFrame:
@@ -21,9 +23,8 @@ def with_rank(df: DataFrame, value: str, id_column: str, name: str = "rank") ->
     for each class, or for each part of one class. So many equal values are
     spread by their ids. NULL values come last, NULL ids first. ``id_column`` is unique.
     """
-    parts = df.select(
-        value_class(value).alias("__class"), F.col(value).alias("__value"), _id_part(df, id_column).alias("__ids")
-    )
+    ids = _id_part(df, id_column)
+    parts = df.select(value_class(value).alias("__class"), F.col(value).alias("__value"), ids.alias("__ids"))
     counts = parts.groupBy("__class", "__value", "__ids").agg(F.count(F.lit(1)).alias("__n"))
     earlier = (Window.unboundedPreceding, -1)
     in_class = Window.partitionBy("__class").orderBy(F.desc_nulls_last("__value"), F.asc_nulls_first("__ids"))
@@ -36,7 +37,6 @@ def with_rank(df: DataFrame, value: str, id_column: str, name: str = "rank") ->
         F.col("__ids").alias("__i"),
         (F.coalesce("__within", F.lit(0)) + F.coalesce("__before", F.lit(0))).alias("__start"),
     )
-    ids = _id_part(df, id_column)
     place = F.row_number().over(Window.partitionBy(value, "__part").orderBy(F.asc_nulls_first(id_column)))
     placed = df.withColumn("__part", ids).withColumn("__place", place)
     joined = placed.join(
@@ -53,7 +53,19 @@ def value_class(value: str) -> Column:
 
 
 def _id_part(df: DataFrame, id_column: str) -> Column:
-    """Ranges of ids in their order: of numbers by division, of texts by how they begin."""
+    """Ranges of ids in their order: of numbers by division, of texts between ids drawn from the frame.
+
+    Text ids often begin alike, so fixed prefixes would put all in one range. The bounds are
+    literals; which ids were drawn changes the ranges' sizes, never a rank.
+    """
     if isinstance(df.schema[id_column].dataType, T.IntegralType):
         return F.floor(F.col(id_column) / IDS).cast("string").cast("long")
-    return F.substring(id_column, 1, 3)
+    ids = df.select(id_column).filter(F.col(id_column).isNotNull())
+    drawn = ids.orderBy(F.xxhash64(id_column), id_column).limit(TEXT_RANGES).collect()
+    bounds = sorted({r[0] for r in drawn}, key=lambda x: x.encode())
+    if not bounds:
+        return F.lit(0)
+    return F.when(
+        F.col(id_column).isNotNull(),
+        F.size(F.filter(F.array(*map(F.lit, bounds)), lambda bound: bound <= F.col(id_column))),
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.operators import quality
+from tradeledger.operators import quality, states
 from tradeledger.operators.preagg import merge_single_rows, shipments_by
 from tradeledger.plans import crm, publish, shipments, territory
 from tradeledger.sources import sinks, tables
@@ -271,6 +271,29 @@ def read_rejected(star: Star) -> DataFrame:
     )
 
 
+def sales_cube(star: Star) -> DataFrame:
+    """Every slice of the stored cube."""
+    folder = _folder(star, "cube")
+    sinks.write_states(star, folder)
+    cube = sinks.read_states(star.spark, folder, "cube")
+    return cube.select("slice_id", *states.CUBE_KEYS, "quantity", "gross_sales", "net_sales", "returns", "shipment_count")
+
+
+def operator_states(star: Star) -> DataFrame:
+    """Distinct operators by year and type of distributor from stored monthly bitmaps."""
+    folder = _folder(star, "operator_states")
+    sinks.write_states(star, folder)
+    return states.active_operators(sinks.read_states(star.spark, folder, "operators"), "year", "distributor_type")
+
+
+def quantity_states(star: Star) -> DataFrame:
+    """Quartiles by category from stored monthly sketches, held against the exact ranks."""
+    folder = _folder(star, "quantity_states")
+    sinks.write_states(star, folder)
+    quartiles = states.quantity_quartiles(sinks.read_states(star.spark, folder, "quantities"), star.products)
+    return states.within_rank_error(quartiles, quality.quantity_histogram(star))
+
+
 def checks_while_writing(star: Star, first: date, last: date) -> DataFrame:
     """The declared checks as they were found while the star was written."""
     folder = _folder(star, "checks")

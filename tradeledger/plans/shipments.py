@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.functions import dates, kpis
@@ -145,21 +144,26 @@ def yoy_total_latest(star: Star) -> DataFrame:
 
 # ---- distributors ---------------------------------------------------------
 
+def last_week(star: Star) -> date | None:
+    """The last week ending, read once; with roll-ups only the last month's shipments are looked at."""
+    rows, monthly = star.lean_shipments, star.rollup("by_operator")
+    if monthly is not None:
+        month = monthly.agg(F.max("month_start")).first()[0]
+        if month is None:
+            return None
+        rows = star.shipments_between(month, (month + timedelta(days=31)).replace(day=1) - timedelta(days=1), operators=False)
+    return rows.agg(F.max("week_ending")).first()[0]
+
+
 def q04_active_operators(
     star: Star,
     as_of: date | None = None,
     distributor_type: str | None = None,
 ) -> DataFrame:
     """Distributors over the twelve months up to ``as_of`` (default: the last week)."""
-    def bound(of: Callable[[Column], Column]) -> Column:
-        """A function of the last week, as a literal or as one scalar subquery."""
-        if as_of is not None:
-            return of(F.lit(as_of))
-        return star.lean_shipments.agg(of(F.max("week_ending"))).scalar()
-
-    first = bound(dates.trailing_year_start)
-    last = bound(lambda end: end)
-    first_day = bound(lambda end: F.date_sub(dates.trailing_year_start(end), 6).cast("timestamp_ntz"))
+    end = F.lit(as_of or last_week(star)).cast("date")
+    first, last = dates.trailing_year_start(end), end
+    first_day = F.date_sub(first, 6).cast("timestamp_ntz")
     per_distributor = shipments_by(
         star,
         "distributor_id",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeledger.operators import quality
 from tradeledger.operators.preagg import ROLLUPS, SUMS, merge_single_rows, rollup_shipments
+from tradeledger.operators.states import STATES
 from tradeledger.sources import files, snapshots
 from tradeledger.sources.schemas import FACT, TABLES
 from tradeledger.sources.tables import REJECTED
@@ -117,6 +118,17 @@ def write_rollups(star: Star, path: str) -> None:
             _put_rollup(writer, name, rollup_shipments(star, name))
 
 
+def write_states(star: Star, path: str) -> None:
+    """The cube, quantile and operator states (``operators.states``), so that pages read no shipment."""
+    with snapshots.Writer(star.spark, path) as writer:
+        for name, build in STATES.items():
+            writer.put(f"state_{name}", build(star).hint("rebalance"))
+
+
+def read_states(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return snapshots.current(spark, path).read(spark, f"state_{name}")
+
+
 def append_shipments(
     spark: SparkSession, shipments: DataFrame, path: str, tag: str, replace_years: bool = False
 ) -> snapshots.Snapshot:
@@ -126,12 +138,15 @@ def append_shipments(
     years that they are of. No file of another year is touched. Of the roll-ups only the months that
     the chunk reaches are written anew: the stored sums plus the chunk's, without reading the
     facts; where years are replaced, the chunk's sums alone, and months they no longer reach go.
+    States (``write_states``) are not of the new version: write them again after the last chunk.
     ``tag`` names the chunk; one that is there already changes nothing. Lines that didn't
     parse (see ``read_table``) are stored apart.
     """
     writer = snapshots.Writer(spark, path, tag)
     if writer.base.has_tag(FACT, tag):
         return writer.base
+    for name in STATES:
+        writer.tables.pop(f"state_{name}", None)
     years: list = []
     if replace_years:
         # one row a year
