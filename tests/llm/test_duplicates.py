@@ -219,3 +219,20 @@ def test_repeats_among_edited_copies_in_any_order(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == brute_repeats(rows)
+
+
+def test_rows_that_share_a_doc_id_but_no_text(spark):
+    rng = corpus.seeded(21)
+    passage = " ".join(f"p{i}" for i in range(80))
+    other = " ".join(corpus.words(rng, 100))
+    rows = [
+        (1, f"first {passage} end", "en", "s", 1), (2, f"start {passage} tail", "en", "s", 1), (2, None, "en", "s", None),
+        (2, other, "en", "s", 1), (3, f"x {passage}", "en", "s", 1), (3, None, None, None, None), (None, passage, "en", "s", 1),
+    ]
+    docs = corpus.frame(spark, rows)
+    got = sorted(((r["doc_id"], r["text"]) for r in sparse_suffix.remove_repeats(docs).collect()), key=repr)
+    assert len(got) == len(rows)
+    kept = {t for d, t in got if d == 2}
+    assert None in kept and other in kept
+    assert {t for d, t in got if d == 3} == {None, "x "}
+    assert (1, f"first {passage} end") in got and (None, passage) in got

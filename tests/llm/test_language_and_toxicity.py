@@ -179,3 +179,17 @@ def test_a_long_text_with_many_moderate_segments_scores(spark, labelled):
     clean = toxicity.predict(corpus.frame(spark, [(1, " ".join(["qqq"] * n), "en", "s", 1)]), model).first()
     many = toxicity.predict(corpus.frame(spark, [(1, " ".join(filler), "en", "s", 1)]), model).first()
     assert many["score"] > max(0.5, clean["score"])
+
+
+def test_numerals_are_no_letters():
+    assert not any(language_id._has_letter(x) for x in ("", "² ½ Ⅷ ①", "12_3 -", "%"))
+    assert language_id._has_letter("½ é") and language_id._has_letter("字")
+
+
+def test_places_of_tokens_where_lower_case_is_longer():
+    for text in ("Ab İİ cd İx", "plain text", "İ"):
+        lowered = [m[0] for m in toxicity.TOKEN.finditer(text.lower())]
+        places = toxicity._places(text)
+        assert len(places) == len(lowered)
+        assert all(0 <= b < e <= len(text) for b, e in places)
+        assert all(x[0] in text[b:e].lower() for (b, e), x in zip(places, lowered, strict=True))

@@ -214,3 +214,17 @@ def test_pairs_too_rare_for_a_sample_are_all_found(spark, monkeypatch):
     near = unit @ unit.T >= 0.95
     np.fill_diagonal(near, False)
     assert {r["vec_id"]: r["n_links"] for r in got.collect()} == dict(enumerate(near.sum(1).tolist()))
+
+
+def test_vectors_of_several_lengths_and_sizes(spark):
+    rows = [
+        (1, [1.0, 0.0]), (2, [1e200, 1e198]), (3, [1e-200, 1e-203]), (4, [0.0, 1.0]), (5, [3.0, 4.0, 0.0]), (6, [3.0, 4.01, 0.0]),
+        (7, [-3.0, 4.0, 0.0]), (8, [2.0]), (9, [5.0]), (10, [-5.0]), (11, [1.0, 1.0, 1.0, 1.0]), (12, []), (13, None),
+        (1, None), (5, [3.0, 4.0, 0.0]),
+    ]
+    found = multi_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found.collect())
+    assert got == [
+        (1, 0, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (5, 2, 5), (5, 2, 5), (6, 2, 5), (7, 0, 7), (8, 1, 8), (9, 1, 8),
+        (10, 0, 10), (11, 0, 11), (12, 0, 12), (13, 0, 13),
+    ]

@@ -30,7 +30,12 @@ SEGMENT = 256
 LANES = 2048
 UNDETERMINED = "und"
 PREDICTIONS = "doc_id long, lang_pred string, score double"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def _has_letter(text: str) -> bool:
+    """Whether a character is a letter; numerals such as ½ or Ⅷ are none."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
 
 
 @dataclass
@@ -242,7 +247,7 @@ def _verdicts(reader: Reader, languages: list[str], texts: pa.Array) -> tuple[np
     different = coded.dictionary
     best = np.full(len(different), UNDETERMINED, object)
     score = np.zeros(len(different))
-    has_letter = np.array([bool(_LETTER.search(x)) for x in different.to_pylist()], bool)
+    has_letter = np.array([_has_letter(x) for x in different.to_pylist()], bool)
     for at, data, offsets in runs(different) if languages else ():
         sums = reader.sums(data, offsets)
         share = sums / np.maximum(sums.sum(1, keepdims=True), 1e-9)
@@ -276,7 +281,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
-    """The documents whose language is determined with a score of ``least`` or more; columns unchanged."""
+    """The documents whose language is determined with a score of ``least`` or more; columns unchanged.
+
+    Null and empty texts, and those without a letter, have no language and go; rows are judged by their
+    text alone, so repeated rows stay or go together.
+    """
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.llm.checkpoints import cut
@@ -89,6 +89,8 @@ def _codebook(points: np.ndarray, codes: int, rng: np.random.Generator) -> np.nd
 
 def _units(column: pa.Array, dimension: int) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+    # the largest component becomes 1 first, so that no square is lost or too large
+    values = values / np.abs(values).max(axis=1, keepdims=True, initial=0)
     return values / np.sqrt((values * values).sum(1))[:, None]
 
 
@@ -157,10 +159,11 @@ def _measure(index: Index, single: DataFrame, total: int, target: float = TARGET
     return needed_visits(np.stack([found.column(c).to_numpy() for c in ("probe", "visit", "n")], 1), cells, target)
 
 
-def _valid(vectors: DataFrame, embedding: str) -> DataFrame:
-    numbers = F.col(embedding)
+def _is_valid() -> Column:
+    numbers = F.col("embedding")
     finite = F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.filter(numbers.isNotNull() & finite & F.exists(numbers, lambda x: x != 0) & F.col("vec_id").isNotNull())
+    valid = numbers.isNotNull() & finite & F.exists(numbers, lambda x: x != 0) & F.col("vec_id").isNotNull()
+    return F.coalesce(valid, F.lit(False))
 
 
 def _components(q: np.ndarray, d: np.ndarray, n_q: int, n_d: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,17 +242,25 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, codes: int = C
     n_links counts the other vectors found with a cosine of ``least`` or more; component_id is
     the smallest vec_id that links reach; kept says whether that is the vector itself. Vectors
     that are null, zero, or hold a null or non-finite number link with nothing, and so do
-    those without vec_id and those whose length isn't the commonest one. Equal vectors are
-    compared once and counted as often as they occur. An empty table gives an empty result.
-    Only vec_id and embedding are read.
+    those without vec_id. Vectors of one length are compared with each other and with no others;
+    each length gets an index of its own. Equal vectors are
+    compared once and counted as often as they occur. Rows that repeat a vec_id count as vectors of
+    their own in n_links, and share what either is linked with where their vectors are equal or linked. An
+    empty table gives an empty result. Only vec_id and embedding are read.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    valid = _valid(rows, "embedding")
-    commonest = valid.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if commonest is None:
-        return alone.withColumn("kept", F.lit(True))
-    valid = valid.filter(F.size("embedding") == commonest["n"])
+    marked = rows.withColumn("length", F.when(_is_valid(), F.size("embedding")))
+    # one row a length
+    lengths = [r["length"] for r in marked.filter("length > 0").groupBy("length").count().filter("count > 1").collect()]
+    among = F.coalesce(F.col("length").isin(lengths), F.lit(False))
+    found = marked.filter(~among).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for length in sorted(lengths):
+        found = found.union(_near_of_length(marked.filter(F.col("length") == length), length, least, codes))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _near_of_length(valid: DataFrame, length: int, least: float, codes: int) -> DataFrame:
+    """vec_id, n_links and component_id of valid vectors of one length."""
     grouped = valid.groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     members = cut(valid.join(grouped, "embedding").select("vec_id", "first", "copies"))
     single = cut(grouped.select(F.col("first").alias("vec_id"), "embedding", "copies"))
@@ -258,7 +269,7 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, codes: int = C
     sample = single.filter(dice < SAMPLE / max(total, 1)).select("vec_id", "embedding").toArrow().sort_by("vec_id")
     if sample.num_rows == 0:
         sample = single.orderBy("vec_id").limit(1).select("vec_id", "embedding").toArrow()
-    index = fit(_units(sample.column("embedding").combine_chunks(), commonest["n"]), least, codes)
+    index = fit(_units(sample.column("embedding").combine_chunks(), length), least, codes)
     index.visits = _measure(index, single, total)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,15 +305,8 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, codes: int = C
     found = cut(work.sortWithinPartitions("cell", "block", "query").mapInArrow(_linked(index), "a long, b long, n long"))
     counts = found.groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("n"))
     labels = connected_components(found.select("a", "b")).withColumnRenamed("vertex", "first")
-    linked = (
-        members.join(counts, "first", "left").join(labels, "first", "left")
-        .select(
-            "vec_id",
-            (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "first").alias("component_id"),
-        )
-    )
-    rest = alone.join(members.select("vec_id").distinct(), "vec_id", "left_anti")
-    return linked.union(rest.select("vec_id", "n_links", "component_id")).withColumn(
-        "kept", F.col("vec_id").eqNullSafe(F.col("component_id"))
+    return members.join(counts, "first", "left").join(labels, "first", "left").select(
+        "vec_id",
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "first").alias("component_id"),
     )

@@ -289,19 +289,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated passages cut out of their texts; columns unchanged.
 
     The first copy of a passage stays. A column n_chars, if there is one, is the new length
-    of a changed text. A document left without a word goes; others all stay.
+    of a changed text. A document left without a word goes; others all stay. Null texts stay as
+    they are. Of rows that repeat a doc_id with different texts, those with one of the texts (the one
+    with the smallest hash) are looked at; the others are other documents by the same name and stay whole.
     """
     spare = "spans"
-    while spare in docs.columns:
+    while spare in docs.columns or f"{spare}_of" in docs.columns:
         spare += "_"
-    spans = repeated_passages(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spare))
+    of = f"{spare}_of"
+    hashed = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"))
+    several = hashed.groupBy("doc_id").agg(F.min("h").alias(of), F.max("h").alias("high")).filter(F.col(of) < F.col("high"))
+    several = cut(several.drop("high"))
+    plain = several.isEmpty()
+    looked = docs
+    if not plain:
+        looked = docs.select("doc_id", "text").join(several, "doc_id", "left")
+        looked = looked.filter(F.col(of).isNull() | F.coalesce(F.xxhash64("text") == F.col(of), F.lit(False)))
+    spans = repeated_passages(looked).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spare))
     names = docs.columns
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ranges = batch.column(spare).to_pylist()
             table = batch.select(names)
-            changed = [d for d, x in enumerate(ranges) if x]
+            meant = batch.column(of).to_pylist()
+            changed = [d for d, x in enumerate(ranges) if x and meant[d]]
             if not changed:
                 yield table
                 continue
@@ -325,4 +337,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(lengths, table.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names).filter(pa.array(keep))
 
-    return docs.join(spans, "doc_id", "left").select(*names, spare).mapInArrow(cut_out, docs.schema)
+    joined = docs.join(spans, "doc_id", "left")
+    meant = F.col("text").isNotNull()
+    if not plain:
+        joined = joined.join(several, "doc_id", "left")
+        meant = meant & (F.col(of).isNull() | (F.xxhash64("text") == F.col(of)))
+    return joined.select(*names, spare, meant.alias(of)).mapInArrow(cut_out, docs.schema)

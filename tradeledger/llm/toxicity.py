@@ -111,6 +111,16 @@ def _segments(text: str, known: TokenScores) -> tuple[int, list[tuple[int, int,
     return len(tokens), maximal_segments(scores)
 
 
+def _places(text: str) -> list[tuple[int, int]]:
+    """Where each token of the lower-cased text lies in the text; a few letters get longer in lower case."""
+    lowered = text.lower()
+    spans = [m.span() for m in TOKEN.finditer(lowered)]
+    if len(lowered) == len(text):
+        return spans
+    upto = np.cumsum([len(c.lower()) for c in text])
+    return [(int(np.searchsorted(upto, b, "right")), int(np.searchsorted(upto, e - 1, "right")) + 1) for b, e in spans]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """(doc_id, toxic) of up to ``most`` labelled documents of each class, copies taken once.
 
@@ -310,7 +320,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 scores.append(_score([s for _, _, s in found], n, model))
                 strong = [x for x in found if model.decay * x[2] > math.log(model.scale * n)]
                 if strong:
-                    places = [m.span() for m in TOKEN.finditer(text.lower())]
+                    places = _places(text)
                     strong = [{"start": places[b][0], "end": places[e - 1][1], "score": s} for b, e, s in strong]
                 passages.append(strong)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
@@ -324,7 +334,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
-    """The documents that score below ``most``; columns unchanged."""
+    """The documents that score below ``most``; columns unchanged.
+
+    Null and empty texts are scored like texts without evidence; rows are judged by their text alone,
+    so repeated rows stay or go together.
+    """
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenScores(model.tokens)
