@@ -1,12 +1,16 @@
-"""Near duplicates by the Jaccard similarity of 5-word shingles, through prefix filters under several orders.
-
-Two sets of similarity t or more share a token among the first n - ceil(t n) + 1 tokens of each,
-under any order of all tokens. Here the orders put rare tokens first; rarity is read from
-count sketches of fixed size, so an order needs no table of all tokens. Order one makes
-candidates, orders two and three must agree, and what is left is counted exactly.
-
-Documents with equal sets are one vertex throughout. In a bucket of vertices that share a
-prefix token, a first round compares each with a pivot; then only vertices that are still in
+"""Near duplicates by the Jaccard similarity of 5-word shingles, through two prefix filters.
+
+Tokens are 64-bit hashes of shingles. Of each set the first tokens in the order of the hashes are
+looked at: n - ceil(t n) + n / EXTRA of n, so two sets of similarity t or more have n / EXTRA tokens
+or more in common there. Within these first tokens the rare ones come first, by exact counts
+of the sets that have them, and all but the last n / EXTRA - 1 of those that another set has as
+well are the set's index. Two similar sets share an index token. A set whose own tokens are most of
+its first ones has no index at all, and tokens that very many sets have come last: so few pairs
+are made of common phrases. Pairs are then counted exactly. After the first links the same is done with
+whole sets and the tokens that another component has as well: of those a set needs t n, or it is done.
+
+Documents with equal sets are one vertex throughout. In a bucket of vertices that share an
+index token, a first round compares each with a pivot; then only vertices that are still in
 different components are compared with each other. So a group of k near copies costs k
 comparisons and no link between components is lost.
 """
@@ -26,13 +30,16 @@ from tradeledger.llm.textbytes import find_words, mix, runs, shingle_hashes, wor
 
 # Similarity as a fraction of integers: 100 * shared >= PERCENT * union.
 PERCENT = 80
+# One in so many tokens is looked at beyond those that one common token needs.
+EXTRA = 10
 SKETCH = 1 << 17
-ORDERS = 3
 BITS = 1 << 24
 # First pivots are the smallest ids after one of these masks, so buckets do not all have the same pivot.
 MASKS = (0x0, 0x5DEECE66D1234567)
 # Sets of a block, when the pairs of a large group are compared.
 BLOCK = 64
+# 64-bit words of a set's signature: which bits an odd number of its tokens have.
+SIGNS = 8
 # Further rounds with pivots before all pairs across components are compared.
 ROUNDS = 2
 
@@ -41,19 +48,25 @@ def prefix_length(n: np.ndarray | int, percent: int = PERCENT):
     return n - (-(-percent * n // 100)) + 1
 
 
+def extra(n: np.ndarray | int):
+    """Tokens that similar sets have in common among their first ones, where the smaller one has n."""
+    return np.maximum(1, n // EXTRA)
+
+
+def reach(n: int, percent: int = PERCENT) -> int:
+    """How many first tokens of a set of n are looked at."""
+    return prefix_length(n, percent) + int(extra(n)) - 1
+
+
 def _spot(tokens: np.ndarray, row: int) -> np.ndarray:
     return ((tokens >> np.uint64(20 * row + 3)) & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
-def _ordered(tokens: np.ndarray, order: int, rarity: np.ndarray) -> np.ndarray:
-    """Sorted distinct tokens, rearranged by a global order: rare first, or (order two) by a hash."""
-    if order == 0:
-        rank = _rank(tokens, rarity)
-    elif order < len(rarity):
-        rank = (rarity[order][_spot(tokens, order)].astype(np.uint64) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
-    else:
-        rank = mix(tokens ^ np.uint64(order))
-    return tokens[np.argsort(rank, kind="stable")]
+def _ordered(tokens: np.ndarray, order: int = 0, rarity: np.ndarray | None = None) -> np.ndarray:
+    """Sorted distinct tokens, rearranged by the counts of their buckets, rare first; as they are without counts."""
+    if rarity is None:
+        return tokens
+    return tokens[np.argsort(_rank(tokens, rarity, order), kind="stable")]
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -70,31 +83,8 @@ def _set_id(tokens: np.ndarray) -> int:
     return int(mix(np.array([total % (1 << 64)], np.uint64)).view(np.int64)[0])
 
 
-def sketch(docs: DataFrame) -> np.ndarray:
-    """Counts of shingles by hash bucket under two hashes: 2 x SKETCH numbers for any input."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, SKETCH), np.int64)
-        for batch in batches:
-            for _, data, offsets in runs(batch.column("text")):
-                words = find_words(data, offsets)
-                hashes = word_hashes(words, fold=True)
-                for d in range(len(offsets) - 1):
-                    tokens = shingle_hashes(hashes[words.first[d] : words.first[d + 1]])
-                    for row in range(2):
-                        np.add.at(total[row], _spot(tokens, row), 1)
-        spots = np.flatnonzero(total.ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(spots), pa.array(total.ravel()[spots])], names=["spot", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "spot long, n long").groupBy("spot").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()
-    rarity = np.zeros(2 * SKETCH, np.int64)
-    rarity[found.column("spot").to_numpy()] = found.column("n").to_numpy()
-    return np.minimum(rarity, (1 << 32) - 1).astype(np.uint32).reshape(2, SKETCH)
-
-
-def described(docs: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, set_id and, for the first text of a set in each task, its prefix tokens."""
+def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, set_id and, for the first text of a set in each task, its first tokens."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -109,7 +99,7 @@ def described(docs: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> Da
                     seen.add(ids[-1])
                     if len(seen) > 1_000_000:
                         seen.clear()
-                prefixes.append(_ordered(tokens, 0, rarity)[: prefix_length(n, percent)].view(np.int64) if new else None)
+                prefixes.append(_ordered(tokens)[: reach(n, percent)].view(np.int64) if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
                  pa.array(prefixes, pa.list_(pa.int64()))],
@@ -138,9 +128,11 @@ def in_table(table: np.ndarray, value: int) -> bool:
     return bool((int(table[value % len(table)]) >> (quotient % 64)) & 1)
 
 
-def _rank(tokens: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    """Places in order one: how common the token's bucket is, then its hash."""
-    return (rarity[0][_spot(tokens, 0)].astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
+def _rank(tokens: np.ndarray, rarity: np.ndarray | None, order: int = 0) -> np.ndarray:
+    """Places in the order: how common the token's bucket is, then its hash; the hash alone without counts."""
+    if rarity is None:
+        return tokens
+    return (rarity[order][_spot(tokens, order)].astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
 
 
 def least_shared(n_a: int, n_b: int, percent: int = PERCENT) -> int:
@@ -148,8 +140,10 @@ def least_shared(n_a: int, n_b: int, percent: int = PERCENT) -> int:
     return -(-percent * (n_a + n_b) // (100 + percent))
 
 
-def may_be_similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, rarity: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two prefixes under order one leave room for enough shared tokens.
+def may_be_similar(
+    a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, rarity: np.ndarray | None = None, percent: int = PERCENT
+) -> bool:
+    """Whether two prefixes under one order leave room for enough shared tokens.
 
     Up to the place where the shorter-reaching prefix ends, both prefixes hold all tokens of
     their sets; a token there that the other lacks is missing from the other set.
@@ -164,31 +158,11 @@ def may_be_similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, rarity: np.
     return len(a) - shared <= n_a - needed and len(b) - shared <= n_b - needed
 
 
-def prefixes_of(info: DataFrame, table: np.ndarray) -> DataFrame:
-    """(set_id, n, tokens) once for each set whose bit is set; tokens are the prefix under order one."""
-
-    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            keep = []
-            for mark in batch.column("set_id").to_pylist():
-                keep.append(mark not in seen and in_table(table, mark))
-                if keep[-1]:
-                    seen.add(mark)
-            batch = batch.filter(pa.array(keep, pa.bool_()))
-            tokens = pa.array([x.values.to_numpy().tobytes() for x in batch.column("prefix")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("set_id"), batch.column("n"), tokens], ["set_id", "n", "tokens"])
-
-    rows = info.filter(F.col("prefix").isNotNull()).select("set_id", F.col("n_shingles").alias("n"), "prefix")
-    return rows.mapInArrow(give, "set_id long, n long, tokens binary").dropDuplicates(["set_id"])
-
-
 def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """(set_id, n, tokens) once for each set whose bit is set; tokens are sorted 64-bit numbers."""
+    """(set_id, tokens) once for each set whose bit is set; tokens are sorted 64-bit numbers."""
 
     def packed(ids: list[int], sets: list[bytes]) -> pa.RecordBatch:
-        sizes = pa.array([len(x) // 8 for x in sets], pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), sizes, pa.array(sets, pa.binary())], ["set_id", "n", "tokens"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "tokens"])
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -209,26 +183,20 @@ def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
                     ids, sets, size = [], [], 0
             yield packed(ids, sets)
 
-    return docs.select("text").mapInArrow(give, "set_id long, n long, tokens binary").dropDuplicates(["set_id"])
+    return docs.select("text").mapInArrow(give, "set_id long, tokens binary").dropDuplicates(["set_id"])
 
 
-def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two sorted sets reach the similarity: the prefixes of the other orders, then the exact count."""
-    for order in range(1, ORDERS):
-        first = _ordered(a, order, rarity)[: prefix_length(len(a), percent)]
-        second = _ordered(b, order, rarity)[: prefix_length(len(b), percent)]
-        if not len(np.intersect1d(first, second, assume_unique=True)):
-            return False
+def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray | None = None, percent: int = PERCENT) -> bool:
+    """Whether two sorted sets reach the similarity: by their prefixes, then by the exact count."""
+    first, second = (_ordered(x, 0, rarity)[: prefix_length(len(x), percent)] for x in (a, b))
+    if not may_be_similar(first, len(a), second, len(b), rarity, percent):
+        return False
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
-
-
-def _accepted(pairs: DataFrame, rows: DataFrame, accept) -> DataFrame:
-    """The pairs (a, b) for which ``accept(tokens_a, n_a, tokens_b, n_b)``; rows are (set_id, n, tokens).
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of set ids that are similar; ``sets`` are (set_id, tokens).
 
     Sets are sent to blocks and not to pairs. A set goes with the smallest set it is paired with,
     such a cluster is cut into blocks of about BLOCK sets, and the pairs of two blocks are looked
@@ -248,41 +216,31 @@ def _accepted(pairs: DataFrame, rows: DataFrame, accept) -> DataFrame:
     ends = [F.least("block_a", "block_b"), F.greatest("block_a", "block_b")]
     keyed = cut(keyed.select(F.xxhash64(*ends).alias("key"), "a", "b"))
     needed = keyed.select("key", F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sent = needed.join(rows, "set_id").select(
-        "key", F.lit(False).alias("pair"), F.col("set_id").alias("a"), F.lit(None).cast("long").alias("b"), "n", "tokens"
-    )
-    asked = keyed.select(
-        "key", F.lit(True).alias("pair"), "a", "b", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("tokens")
+    sent = needed.join(sets, "set_id").select(
+        "key", F.lit(False).alias("pair"), F.col("set_id").alias("a"), F.lit(None).cast("long").alias("b"), "tokens"
     )
+    asked = keyed.select("key", F.lit(True).alias("pair"), "a", "b", F.lit(None).cast("binary").alias("tokens"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
         for batch in batches:
             keys, pair = batch.column("key").to_pylist(), batch.column("pair").to_pylist()
-            a, b, n = (batch.column(c).to_pylist() for c in ("a", "b", "n"))
+            a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
             tokens = batch.column("tokens")
             keep = np.zeros(len(keys), bool)
             for i in range(len(keys)):
                 if keys[i] != key:
                     key, held = keys[i], {}
                 if not pair[i]:
-                    held[a[i]] = (np.frombuffer(tokens[i].as_py(), np.uint64), n[i])
+                    held[a[i]] = np.frombuffer(tokens[i].as_py(), np.uint64)
                 else:
-                    keep[i] = a[i] in held and b[i] in held and accept(*held[a[i]], *held[b[i]])
+                    keep[i] = a[i] in held and b[i] in held and similar(held[a[i]], held[b[i]], percent=percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     work = sent.union(asked).repartition("key").sortWithinPartitions("key", "pair")
     return cut(work.mapInArrow(walk, "a long, b long"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar: prefixes first, whole sets for what is left."""
-    prefixes = prefixes_of(info, bit_table(_ids(pairs)))
-    left = _accepted(pairs, prefixes, lambda a, n, b, m: may_be_similar(a, n, b, m, rarity, percent))
-    sets = sets_of(docs, bit_table(_ids(left)))
-    return _accepted(left, sets, lambda a, n, b, m: similar(a, b, rarity, percent))
-
-
 def _pairs(rows: DataFrame, other: str) -> DataFrame:
     return rows.select(F.least("set_id", other).alias("a"), F.greatest("set_id", other).alias("b")).distinct()
 
@@ -291,71 +249,151 @@ def _masked() -> Column:
     return F.when(F.pmod("token", F.lit(2)) == 0, F.lit(MASKS[0])).otherwise(F.lit(MASKS[1]))
 
 
-def shared_tokens(info: DataFrame) -> DataFrame:
-    """(token, set_id, pivot, size) of prefix tokens that two or more sets have; size is how many rows have it.
+def _least_partner(percent: int) -> str:
+    """Tokens of the smallest set that may be similar to one of n; so many are in common at least, too."""
+    return f"(({percent} * n + 99) div 100)"
+
+
+def _ranked(common: DataFrame, needed: str) -> DataFrame:
+    """(token, set_id, n, indexed) of the sets that have ``needed`` tokens or more in common with others.
+
+    ``common`` are (token, set_id, n, size) among which similar sets have ``needed`` in common. So a set with fewer
+    is similar to none, and where the rarest are indexed, all but the last ``needed`` - 1, similar sets have an
+    indexed one in common.
+    """
+    of_set = Window.partitionBy("set_id")
+    ranked = common.withColumn("place", F.row_number().over(of_set.orderBy("size", "token")))
+    ranked = ranked.withColumn("spare", F.count(F.lit(1)).over(of_set) - F.expr(needed))
+    indexed = (F.col("place") <= F.col("spare") + 1).alias("indexed")
+    return ranked.filter("spare >= 0").select(*[c for c in common.columns if c != "size"], indexed)
+
+
+def common_tokens(info: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, set_id, n, indexed) of the first tokens that two or more sets have; similar sets have an indexed one in common.
 
-    All sets of a token meet once, in one shuffle of two numbers a row. A token that very
-    many sets have comes late in the order, so it is in the prefix of few.
+    All sets of a token meet once, in one shuffle of three numbers for each first token; what another set has as
+    well goes on to its set.
     """
-    tokens = info.filter(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("token"), "set_id")
+    tokens = info.filter(F.col("prefix").isNotNull()).select(
+        "set_id", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token")
+    )
+    of_token = Window.partitionBy("token")
+    met = tokens.select(
+        "token", "set_id", "n", F.min("set_id").over(of_token).alias("low"), F.max("set_id").over(of_token).alias("high"),
+        F.count(F.lit(1)).over(of_token).alias("size"),
+    ).filter("low < high")
+    # several tasks may have sent a set
+    met = met.select("token", "set_id", "n", "size").repartition("set_id").dropDuplicates(["set_id", "token"])
+    return _ranked(met, f"greatest(1, {_least_partner(percent)} div {EXTRA})")
+
+
+def shared_tokens(common: DataFrame) -> DataFrame:
+    """(token, set_id, pivot) of indexed tokens that two or more sets have."""
     value = F.col("set_id").bitwiseXOR(_masked())
     of_token = Window.partitionBy("token")
-    met = (
-        tokens.withColumn("low", F.min(value).over(of_token))
-        .withColumn("high", F.max(value).over(of_token))
-        .withColumn("size", F.count(F.lit(1)).over(of_token))
-    )
+    met = common.filter("indexed").select("token", "set_id")
+    met = met.withColumn("low", F.min(value).over(of_token)).withColumn("high", F.max(value).over(of_token))
     pivot = F.col("low").bitwiseXOR(_masked()).alias("pivot")
-    return met.filter("low < high").select("token", "set_id", pivot, "size")
+    return met.filter("low < high").select("token", "set_id", pivot)
+
+
+def whole_tokens(sets: DataFrame) -> DataFrame:
+    """(token, set_id, n) of all tokens of the sets."""
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                ids, packed = (batch.column(c).slice(at, 500) for c in ("set_id", "tokens"))
+                tokens = [np.frombuffer(x.as_py(), np.int64) for x in packed]
+                sizes = np.array([len(x) for x in tokens])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens)), pa.array(np.repeat(ids.to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes))],
+                    names=["token", "set_id", "n"],
+                )
+
+    return sets.select("set_id", "tokens").mapInArrow(give, "token long, set_id long, n long")
+
+
+def _open(rows: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(token, set_id, n, component, indexed): whole sets' tokens that a set of another component has as well.
 
+    What only copies of a set have is done when they are joined. A set that has less than the similarity asks for
+    in common with other components is done as well, and its pairs with it.
+    """
+    joined = rows.select("token", "set_id", "n").join(labels.withColumnRenamed("vertex", "set_id"), "set_id", "left")
+    placed = joined.select("token", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+    of_token = Window.partitionBy("token")
+    placed = placed.withColumn("low", F.min("component").over(of_token)).withColumn("high", F.max("component").over(of_token))
+    placed = placed.withColumn("size", F.count(F.lit(1)).over(of_token)).filter("low < high").drop("low", "high")
+    return _ranked(placed, _least_partner(percent))
 
-def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
-    labels = connected_components(links).withColumnRenamed("vertex", "set_id")
-    joined = members.join(labels, "set_id", "left")
-    return joined.select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
 
+def signatures(sets: DataFrame) -> DataFrame:
+    """(set_id, s0, s1, ...): a signature has a bit for each token, and an even number of tokens cancel out.
+
+    So two signatures differ in no more bits than the sets differ in tokens.
+    """
+    names = [f"s{i}" for i in range(SIGNS)]
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = np.zeros((batch.num_rows, SIGNS), np.int64)
+            for row, packed in enumerate(batch.column("tokens")):
+                spots = mix(np.frombuffer(packed.as_py(), np.uint64)) % np.uint64(64 * SIGNS)
+                odd = np.bincount(spots.astype(np.int64), minlength=64 * SIGNS).astype(np.uint8) & 1
+                signs[row] = np.packbits(odd, bitorder="little").view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(signs[:, i])) for i in range(SIGNS)]
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), *columns], names=["set_id", *names])
 
-def _open_pairs(placed: DataFrame, turn: int) -> DataFrame:
-    """In buckets with two or more components: a member drawn for the token, with those of other components.
+    return sets.mapInArrow(give, f"set_id long, {', '.join(f'{name} long' for name in names)}")
+
+
+def _worth_comparing(percent: int) -> Column:
+    """Whether two sets (the second with ``_2``) are in different components and their signatures allow for the similarity."""
+    differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_2"))) for i in range(1, SIGNS)), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_2"))))
+    least = F.greatest(differ, F.abs(F.col("n") - F.col("n_2")))
+    return (F.col("component") != F.col("component_2")) & (least * (100 + percent) <= (F.col("n") + F.col("n_2")) * (100 - percent))
+
+
+def _open_pairs(placed: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
+    """In each bucket: a member drawn for the token, with those of other components.
 
     The draw differs from token to token. A set that shares many tokens with its group meets as many
     pivots, so one that is linked with a fair part of the group is soon joined to it.
     """
+    others = [c for c in placed.columns if c != "token"]
     draw = F.xxhash64("token", "set_id", F.lit(turn))
-    found = placed.groupBy("token").agg(
-        F.min(F.struct(draw.alias("draw"), "set_id", "component")).alias("drawn"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
-    )
-    pivots = found.filter("low < high").select(
-        "token", F.col("drawn.set_id").alias("pivot"), F.col("drawn.component").alias("component_2")
-    )
-    return _pairs(placed.join(pivots, "token").filter("component <> component_2"), "pivot")
+    found = placed.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), *others)).alias("drawn"))
+    pivots = found.select("token", *[F.col(f"drawn.{c}").alias(f"{c}_2") for c in others])
+    return _pairs(placed.join(pivots, "token").filter(_worth_comparing(percent)), "set_id_2")
 
 
-def _all_open_pairs(placed: DataFrame) -> DataFrame:
-    """In buckets with two or more components: all pairs of sets in different ones."""
-    ends = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = cut(placed.join(ends.filter("low < high").select("token"), "token"))
-    other = open_.select("token", F.col("set_id").alias("other"), F.col("component").alias("component_2"))
-    return _pairs(open_.join(other, "token").filter("set_id < other and component <> component_2"), "other")
+def _all_open_pairs(placed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """In each bucket: all pairs of sets in different components that may be similar."""
+    other = placed.select("token", *[F.col(c).alias(f"{c}_2") for c in placed.columns if c != "token"])
+    met = placed.join(other, "token").filter("set_id < set_id_2")
+    return _pairs(met.filter(_worth_comparing(percent)), "set_id_2")
 
 
-def linked_sets(docs: DataFrame, info: DataFrame, rarity: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def linked_sets(docs: DataFrame, info: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(vertex, component) of all sets that are linked with another one."""
-    members = cut(shared_tokens(info))
+    members = cut(shared_tokens(common_tokens(info, percent)))
+    sets = cut(sets_of(docs, bit_table(members.select(F.col("set_id").alias("id")))))
     pairs = cut(_pairs(members.filter("set_id <> pivot"), "pivot"))
-    links = verified(pairs, docs, info, rarity, percent)
-    # the pairs of two rows are done
-    members = members.filter("size > 2").select("token", "set_id")
+    links = verified(pairs, sets, percent)
+    labels = connected_components(links)
+    rows, signs = whole_tokens(sets), cut(signatures(sets))
     for turn in range(ROUNDS + 1):
-        placed = _placed(members, links)
-        new = _open_pairs(placed, turn) if turn < ROUNDS else _all_open_pairs(cut(placed))
+        rows = cut(_open(rows, labels, percent))
+        placed = rows.filter("indexed").drop("indexed").join(signs, "set_id")
+        new = _open_pairs(placed, turn, percent) if turn < ROUNDS else _all_open_pairs(placed, percent)
         new = cut(new.join(pairs, ["a", "b"], "left_anti"))
         if new.isEmpty():
             continue
-        links = cut(links.union(verified(new, docs, info, rarity, percent)))
+        links = cut(links.union(verified(new, sets, percent)))
         pairs = cut(pairs.union(new))
-    return connected_components(links)
+        labels = connected_components(links)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -368,9 +406,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     doc_id is never a component's id unless all of the component's are null. Only doc_id
     and text are read. Words and sets are compared by 64-bit hashes.
     """
-    rarity = sketch(docs)
-    info = cut(described(docs, rarity, percent))
-    labels = linked_sets(docs, info, rarity, percent)
+    info = cut(described(docs, percent))
+    labels = linked_sets(docs, info, percent)
     rows = info.select("doc_id", "n_shingles", "set_id").join(
         labels.withColumnRenamed("vertex", "set_id"), "set_id", "left"
     )
