@@ -2,18 +2,25 @@
 
 A text's lattice holds every way to spell it with the model's pieces. Segmentations are drawn
 by Gumbel top-k: each has its log-probability perturbed by Gumbel noise, and an A* search over
-the lattice emits the k highest. A partial segmentation's bound is the exact maximum of the
-perturbed values below it, so the first k complete ones that the search reaches are the sample,
+regions of the lattice emits the k highest. A region's bound is the exact maximum of the
+perturbed values in it, so the first k segmentations that the search reaches are the sample,
 and the next bound is the threshold from which inclusion probabilities follow.
+
+A region is all that first leaves a drawn path at one of a range of its decisions. It has one
+Gumbel, that of its summed probability, and is split only when the search reaches it. Paths
+from there on are plain draws, taken for all texts of a batch at once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import random
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -22,8 +29,14 @@ from pyspark.sql import types as T
 SAMPLES = 3
 # Weight of a piece: (rank + 2) ** -SHARPNESS. Ranks are what a BPE model has for scores.
 SHARPNESS = 1.5
-MEMORY = 100_000
+# Nodes of remembered lattices, and characters that are drawn for at once (one text at least).
+MEMORY = 1_000_000
+BATCH = 250_000
 _GAP = "▁"
+_STRETCH = re.compile(f"{_GAP}+[^{_GAP}]*")
+# Columns of the edges: next node or -1, first id, number of ids; then cumulated probability, log-probability, that of all others.
+_NEXT, _FIRST, _COUNT = range(3)
+_UPTO, _LOG, _REST = range(3)
 
 
 class Lattice:
@@ -44,105 +57,288 @@ class Lattice:
         self.longest = max(map(len, self.pieces), default=1)
         # gaps only ever open a piece, or form runs: elsewhere in a piece they would tie words together
         self.split = all(_GAP not in p.lstrip(_GAP) for p in self.pieces)
-        self.memory: dict[str, list] = {}
+        self._build_trie()
+        self._forget()
+
+    def _build_trie(self) -> None:
+        """The pieces' beginnings as states: sorted keys (state, next character), the states they lead to, pieces there."""
+        steps: dict[int, int] = {}
+        ids, weights = [-1], [0.0]
+        for piece, (i, weight) in self.pieces.items():
+            state = 0
+            for c in piece:
+                key = state << 21 | ord(c)
+                if key not in steps:
+                    steps[key] = len(ids)
+                    ids.append(-1)
+                    weights.append(0.0)
+                state = steps[key]
+            ids[state], weights[state] = i, weight
+        self._keys = np.array(sorted(steps) or [-1], np.int64)
+        self._leads = np.array([steps.get(k, 0) for k in self._keys.tolist()], np.int64)
+        self._piece, self._weight = np.array(ids, np.int64), np.array(weights)
+
+    def _forget(self) -> None:
+        """No lattices: nodes of a stretch are numbered by its characters, edges of a node follow each other."""
+        self.known: dict[str, int] = {}
+        self.nodes = 0
+        self._first = np.zeros(1, np.int64)
+        self._edges = np.zeros((3, 0), np.int64)
+        self._weights = np.zeros((3, 0))
+        self._ids = np.arange(self.model.get_piece_size(), dtype=np.int32)
 
     def stretches(self, text: str) -> list[str]:
         """The text with gaps for blanks, cut before each run of gaps."""
         text = _GAP + text.replace(" ", _GAP)
-        if not self.split:
-            return [text]
+        return _STRETCH.findall(text) if self.split else [text]
+
+    def _found(self, codes: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Begin, end, place in the ids, number of ids and weight of all pieces, or of bytes where no piece begins."""
+        found = []
+        begin = at = np.arange(len(codes))
+        state = np.zeros(len(codes), np.int64)
+        while len(begin):
+            key = state << 21 | codes[at]
+            place = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            on = self._keys[place] == key
+            begin, at, state = begin[on], at[on] + 1, self._leads[place[on]]
+            hit = self._piece[state] >= 0
+            there = state[hit]
+            found.append((begin[hit], at[hit], self._piece[there], np.ones(len(there), np.int64), self._weight[there]))
+            on = at < end[begin]
+            begin, at, state = begin[on], at[on], state[on]
+        bare = np.ones(len(codes), bool)
+        for f in found:
+            bare[f[0]] = False
+        begin = np.flatnonzero(bare)
+        if len(begin):
+            characters, which = np.unique(codes[begin], return_inverse=True)
+            spelled = [
+                [self.bytes[x] for x in chr(c).encode()] if self.bytes else [self.model.unk_id()] for c in characters.tolist()
+            ]
+            count = np.array([len(x) for x in spelled], np.int64)
+            first = len(self._ids) + np.cumsum(count) - count
+            self._ids = np.concatenate([self._ids, np.array(sum(spelled, []), np.int32)])
+            found.append((begin, begin + 1, first[which], count[which], self.byte_weight * count[which]))
+        return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+    def _learn(self, stretches: list[str]) -> None:
+        """The lattices of new stretches, all at once.
+
+        The weight of an edge is its log-probability given the position. These come after a backward
+        pass of log-sums, so probabilities are of the whole stretch.
+        """
+        if not stretches:
+            return
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32).astype(np.int64)
+        lengths = np.array([len(x) for x in stretches], np.int64)
+        ends = np.cumsum(lengths)
+        end = np.repeat(ends, lengths)
+        begin, to, first, count, weight = self._found(codes, end)
+        togo = end - np.arange(len(codes))
+        order = np.lexsort((begin, togo[begin]))
+        begin, to, first, count, weight = (x[order] for x in (begin, to, first, count, weight))
+        closes = to == end[begin]
+        total = np.zeros(len(codes) + 1)
+        logs = np.empty(len(begin))
+        # positions as far from the end of their stretch as each other, nearest first
+        bounds = np.flatnonzero(np.diff(togo[begin], prepend=-1, append=-1))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            values = weight[a:b] + np.where(closes[a:b], 0.0, total[to[a:b]])
+            heads = np.flatnonzero(np.diff(begin[a:b], prepend=-1))
+            each = np.diff(heads, append=b - a)
+            top = np.maximum.reduceat(values, heads)
+            sums = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, each)), heads))
+            total[begin[a:b][heads]] = sums
+            logs[a:b] = values - np.repeat(sums, each)
+        order = np.lexsort((-logs, begin))
+        begin, to, first, count, logs, closes = (x[order] for x in (begin, to, first, count, logs, closes))
+        sizes = np.bincount(begin, minlength=len(codes))
+        heads = np.cumsum(sizes) - sizes
+        rank = np.arange(len(begin)) - np.repeat(heads, sizes)
+        shares = np.exp(logs)
+        upto = shares.copy()
+        for r in range(1, int(sizes.max())):
+            at = np.flatnonzero(rank == r)
+            upto[at] += upto[at - 1]
+        upto[heads + sizes - 1] = 2.0
+        with np.errstate(divide="ignore"):
+            rest = np.log1p(-np.where(rank == 0, 0.0, shares))
+            rest[heads] = np.log(np.add.reduceat(np.where(rank == 0, 0.0, shares), heads))
+        base = self.nodes
+        edges = np.empty((3, len(begin)), np.int64)
+        edges[_NEXT], edges[_FIRST], edges[_COUNT] = np.where(closes, -1, base + to), first, count
+        self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
+        self._edges = np.concatenate([self._edges, edges], axis=1)
+        self._weights = np.concatenate([self._weights, [upto, logs, rest]], axis=1)
+        self.known.update(zip(stretches, (base + ends - lengths).tolist(), strict=True))
+        self.nodes += len(codes)
+
+    def _draw(self, nodes: np.ndarray, at: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A path from each node to the end of its stretch: all edges, one path after the other, and where each begins.
+
+        The draw at a character depends on ``seeds`` and the character's place ``at`` in its text alone.
+        """
+        upto, following = self._weights[_UPTO], self._edges[_NEXT]
+        shift = at - nodes
+        who = np.arange(len(nodes))
+        steps = []
+        while len(who):
+            u = _uniform(seeds, shift + nodes)
+            edge = self._first[nodes]
+            late = np.flatnonzero(u >= upto[edge])
+            while len(late):
+                edge[late] += 1
+                late = late[u[late] >= upto[edge[late]]]
+            steps.append((who, edge))
+            nodes = following[edge]
+            more = nodes >= 0
+            who, nodes, shift, seeds = who[more], nodes[more], shift[more], seeds[more]
+        lengths = np.zeros(len(at), np.int64)
+        for who, _ in steps:
+            lengths[who] += 1
+        begins = np.concatenate([[0], np.cumsum(lengths)])
+        path = np.empty(begins[-1], np.int64)
+        for i, (who, edge) in enumerate(steps):
+            path[begins[who] + i] = edge
+        return path, begins
+
+    def _complete(self, edge: int, draw) -> list[int]:
+        """The edge and a drawn path from its end to the end of the stretch."""
+        path = [edge]
+        while (node := self._edges[_NEXT, edge]) >= 0:
+            edge, u = int(self._first[node]), draw()
+            while u >= self._weights[_UPTO, edge]:
+                edge += 1
+            path.append(edge)
+        return path
+
+    def spell(self, path: np.ndarray) -> np.ndarray:
+        """Ids of a path's edges."""
+        first, count = self._edges[_FIRST][path], self._edges[_COUNT][path]
+        if len(path) == count.sum():
+            return self._ids[first]
+        begins = np.cumsum(count) - count
+        return self._ids[np.repeat(first - begins, count) + np.arange(count.sum())]
+
+    def sample_all(self, texts: list[str], k: int, seeds: list[str]) -> list[list[tuple[np.ndarray, float, float]]]:
+        """For each text up to k different segmentations: ids, log-probability, inclusion probability."""
+        if self.nodes > MEMORY:
+            self._forget()
+        split = [self.stretches(text) if text else [] for text in texts]
+        known = self.known
+        self._learn(list({word: None for words in split for word in words if word not in known}))
+        node = np.array([known[word] for words in split for word in words], np.int64)
+        lengths = np.array([len(word) for words in split for word in words], np.int64)
+        owners = [len(words) for words in split]
+        at = np.cumsum(lengths) - lengths
+        begins = np.cumsum([0, *owners])[:-1]
+        at -= np.repeat(np.append(at, 0)[begins], owners)
+        kinds = np.array([_seeds(seed, k) for seed in seeds], np.uint64).reshape(len(texts), k)
+        drawn = [self._draw(node, at, np.repeat(kinds[:, j], owners)) for j in range(k)]
         found, begin = [], 0
-        for i in range(1, len(text)):
-            if text[i] == _GAP and text[i - 1] != _GAP:
-                found.append(text[begin:i])
-                begin = i
-        found.append(text[begin:])
+        for seed, words in zip(seeds, owners, strict=True):
+            found.append(self._search(drawn, begin, begin + words, random.Random(seed)) if words else [(self._ids[:0], 0.0, 1.0)])
+            begin += words
         return found
 
-    def of(self, stretch: str) -> list[list[tuple[float, int, tuple[int, ...]]]]:
-        """For each position: (log-probability given the position, next position, ids) of the pieces from there.
+    def _search(self, drawn: list, begin: int, end: int, noise: random.Random) -> list[tuple[np.ndarray, float, float]]:
+        """The sample of one text out of plain draws of its stretches ``begin`` to ``end``."""
+        draw, log = noise.random, math.log
 
-        Positions come after a backward pass of log-sums, so probabilities are of the whole stretch.
-        """
-        found = self.memory.get(stretch)
-        if found is not None:
-            return found
-        n = len(stretch)
-        total = [-math.inf] * n + [0.0]
-        edges: list[list[tuple[float, int, tuple[int, ...]]]] = [[] for _ in range(n)]
-        get = self.pieces.get
-        for i in range(n - 1, -1, -1):
-            raw = []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                piece = get(stretch[i:j])
-                if piece is not None:
-                    raw.append((piece[1] + total[j], j, (piece[0],)))
-            if not raw:
-                code = stretch[i].encode()
-                if self.bytes:
-                    ids = tuple(self.bytes[b] for b in code)
-                else:
-                    ids = (self.model.unk_id(),)
-                raw.append((self.byte_weight * len(ids) + total[i + 1], i + 1, ids))
-            top = max(x[0] for x in raw)
-            total[i] = top + math.log(sum(math.exp(x[0] - top) for x in raw))
-            edges[i] = [(x[0] - total[i], x[1], x[2]) for x in raw]
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        if n <= 64:
-            self.memory[stretch] = edges
-        return edges
+        def words(j: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+            path, begins = drawn[j]
+            return path[begins[first]:begins[end]], begins[first:end + 1] - begins[first]
 
-    def sample(self, text: str, k: int, seed: str) -> list[tuple[list[int], float, float]]:
-        """Up to k different segmentations: ids, log-probability, inclusion probability; likeliest draw first."""
-        if not text:
-            return [([], 0.0, 1.0)]
-        lattices = [self.of(s) for s in self.stretches(text)]
-        draw = random.Random(seed).random
-        log, exp = math.log, math.exp
-        root = -log(-log(draw() or 0.5))
-        # entries: -bound, serial, log-probability so far, stretch, position, path
-        queue: list[tuple] = [(-root, 0, 0.0, 0, 0, None)]
-        serial, done, last = 0, [], len(lattices)
-        while queue and len(done) < k:
-            bound, _, logp, s, at, path = heapq.heappop(queue)
+        def push(mass: float, bound: float, *region) -> None:
+            """A region with the maximum of its perturbed values, a Gumbel cut off at ``bound``."""
+            if mass > -math.inf:
+                noisy = log(-log(draw() or 0.5)) - mass
+                low, high = sorted((-bound, noisy))
+                heapq.heappush(queue, (high + math.log1p(math.exp(low - high)), next(serial), *region))
+
+        def add(path: np.ndarray, heads: np.ndarray, since: int, bound: float) -> None:
+            logs = np.cumsum(self._weights[_LOG][path])
+            before = np.concatenate([[0.0], logs[:-1]])
+            leave = before + self._weights[_REST][path]
+            paths.append((path, heads, before, leave))
+            done.append((path, float(logs[-1])))
+            push(_log_sum(leave[since:]), bound, len(paths) - 1, since, len(path), None)
+
+        queue: list[tuple] = []
+        paths: list[tuple] = []
+        done: list[tuple] = []
+        serial = iter(range(1 << 62))
+        add(*words(0, begin), 0, -log(-log(draw() or 0.5)))
+        while queue and len(done) < len(drawn):
+            bound, _, of, a, b, gone = heapq.heappop(queue)
             bound = -bound
-            while s < last:
-                edges = lattices[s][at]
-                if len(edges) == 1:
-                    _, at, ids = edges[0]
-                    path = (ids, path)
-                else:
-                    # Gumbels of the children, shifted so that their maximum is the parent's bound
-                    noise = [logp + e[0] - log(-log(draw() or 0.5)) for e in edges]
-                    top = max(noise)
-                    best = noise.index(top)
-                    for c, e in enumerate(edges):
-                        if c != best:
-                            v = bound - noise[c] + (log(-math.expm1(noise[c] - top)) if noise[c] < top else -math.inf)
-                            value = bound - max(0.0, v) - math.log1p(exp(-abs(v)))
-                            serial += 1
-                            p, q = e[1], s
-                            if p == len(lattices[s]):
-                                p, q = 0, s + 1
-                            heapq.heappush(queue, (-value, serial, logp + e[0], q, p, (e[2], path)))
-                    logp += edges[best][0]
-                    path = (edges[best][2], path)
-                    at = edges[best][1]
-                if at == len(lattices[s]):
-                    s, at = s + 1, 0
-            ids: list[int] = []
-            steps = []
-            while path is not None:
-                steps.append(path[0])
-                path = path[1]
-            for step in reversed(steps):
-                ids.extend(step)
-            done.append((ids, logp))
+            path, heads, before, leave = paths[of]
+            if gone is None:
+                part = leave[a:b]
+                shares = np.cumsum(np.exp(part - part.max()))
+                d = a + min(int(np.searchsorted(shares, draw() * shares[-1], "right")), b - a - 1)
+                push(_log_sum(leave[a:d]), bound, of, a, d, None)
+                push(_log_sum(leave[d + 1:b]), bound, of, d + 1, b, None)
+                a, gone = d, (int(path[d]),)
+            # the edges of the node that the path has left at decision a, but for those gone
+            word = int(np.searchsorted(heads, a, "right")) - 1
+            node = int(np.searchsorted(self._first, path[a], "right")) - 1
+            left = [e for e in range(int(self._first[node]), int(self._first[node + 1])) if e not in gone]
+            weights = [float(self._weights[_LOG, e]) for e in left]
+            top = max(weights)
+            shares = [math.exp(w - top) for w in weights]
+            u, c = draw() * sum(shares), 0
+            while c < len(left) - 1 and u >= shares[c]:
+                u -= shares[c]
+                c += 1
+            if len(left) > 1:
+                others = [w for i, w in enumerate(weights) if i != c]
+                push(float(before[a]) + _log_sum(np.array(others)), bound, of, a, a + 1, (*gone, left[c]))
+            stem = [*path[heads[word]:a].tolist(), *self._complete(left[c], draw)]
+            rest, rest_heads = words(len(done), begin + word + 1)
+            grown = np.concatenate([path[:heads[word]], np.array(stem, np.int64), rest])
+            begins = np.concatenate([heads[:word + 1], heads[word] + len(stem) + rest_heads])
+            add(grown, begins, a + 1, bound)
         if not queue:
-            return [(ids, logp, 1.0) for ids, logp in done]
+            return [(self.spell(path), logp, 1.0) for path, logp in done]
         threshold = -queue[0][0]
-        return [(ids, logp, -math.expm1(-exp(min(700.0, logp - threshold)))) for ids, logp in done]
+        return [
+            (self.spell(path), logp, -math.expm1(-math.exp(min(700.0, logp - threshold)))) for path, logp in done
+        ]
+
+    def sample(self, text: str, k: int, seed: str) -> list[tuple[list[int], float, float]]:
+        """Up to k different segmentations of one text, likeliest draw first."""
+        return [(ids.tolist(), logp, share) for ids, logp, share in self.sample_all([text], k, [seed])[0]]
+
+
+def _seeds(seed: str, k: int) -> list[int]:
+    return [int.from_bytes(hashlib.blake2b(f"{j} {seed}".encode(), digest_size=8).digest(), "little") for j in range(k)]
+
+
+def _uniform(seeds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) that depend on seed and place alone: the mixing function of splitmix64."""
+    x = seeds + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+def _log_sum(logs: np.ndarray) -> float:
+    top = logs.max(initial=-math.inf)
+    return float(top + math.log(np.exp(logs - top).sum())) if top > -math.inf else -math.inf
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of up to BATCH characters together, one text at least."""
+    begin = size = 0
+    for i, value in enumerate(texts):
+        if i > begin and size + len(value) > BATCH:
+            yield begin, i
+            begin, size = i, 0
+        size += len(value)
+    if texts:
+        yield begin, len(texts)
 
 
 def encode(
@@ -167,21 +363,19 @@ def encode(
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model, sharpness)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            texts = [value or "" for value in batch.column(text).to_pylist()]
+            for at, end in _slices(texts):
+                part = batch.slice(at, end - at)
                 names = list(zip(*[part.column(c).to_pylist() for c in keys], strict=True))
-                texts = part.column(text).to_pylist()
-                found = [
-                    (i, k, *one)
-                    for i, (name, value) in enumerate(zip(names, texts, strict=True))
-                    for k, one in enumerate(lattice.sample(value or "", samples, repr(name)))
-                ]
+                drawn = lattice.sample_all(texts[at:end], samples, [repr(name) for name in names])
+                found = [(i, k, *one) for i, several in enumerate(drawn) for k, one in enumerate(several)]
                 owner = pa.array([f[0] for f in found], pa.int64())
+                ends = np.cumsum([0, *[len(f[2]) for f in found]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[part.column(c).take(owner) for c in keys],
                         pa.array([f[1] for f in found], pa.int32()),
-                        pa.array([f[2] for f in found], pa.list_(pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([f[2] for f in found]), pa.int32())),
                         pa.array([f[3] for f in found], pa.float64()),
                         pa.array([f[4] for f in found], pa.float64()),
                         part.column(text).cast(pa.string()).take(owner),
@@ -200,7 +394,13 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:
-            texts = [None if x is None else coder.decode(x) if x else "" for x in batch.column("ids").to_pylist()]
+            ids = batch.column("ids")
+            values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            whole = ids.is_valid().to_numpy(zero_copy_only=False)
+            texts = [
+                (coder.decode(values[a:b].tolist()) if b > a else "") if here else None
+                for here, a, b in zip(whole, ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, "decoded"]
             )
