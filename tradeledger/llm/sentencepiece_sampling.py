@@ -30,8 +30,8 @@ SAMPLES = 3
 # Weight of a piece: (rank + 2) ** -SHARPNESS. Ranks are what a BPE model has for scores.
 SHARPNESS = 1.5
 # Nodes of remembered lattices, and characters that are drawn for at once (one text at least).
-MEMORY = 1_000_000
-BATCH = 250_000
+MEMORY = 250_000
+BATCH = 120_000
 _GAP = "▁"
 _STRETCH = re.compile(f"{_GAP}+[^{_GAP}]*")
 # Columns of the edges: next node or -1, first id, number of ids; then cumulated probability, log-probability, that of all others.
@@ -136,7 +136,7 @@ class Lattice:
         end = np.repeat(ends, lengths)
         begin, to, first, count, weight = self._found(codes, end)
         togo = end - np.arange(len(codes))
-        order = np.lexsort((begin, togo[begin]))
+        order = np.argsort(togo[begin] * (len(codes) + 1) + begin, kind="stable")
         begin, to, first, count, weight = (x[order] for x in (begin, to, first, count, weight))
         closes = to == end[begin]
         total = np.zeros(len(codes) + 1)
@@ -151,20 +151,26 @@ class Lattice:
             sums = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, each)), heads))
             total[begin[a:b][heads]] = sums
             logs[a:b] = values - np.repeat(sums, each)
-        order = np.lexsort((-logs, begin))
-        begin, to, first, count, logs, closes = (x[order] for x in (begin, to, first, count, logs, closes))
+        # edges of a position lie together: move them to the order of positions
         sizes = np.bincount(begin, minlength=len(codes))
         heads = np.cumsum(sizes) - sizes
-        rank = np.arange(len(begin)) - np.repeat(heads, sizes)
+        runs = np.flatnonzero(np.diff(begin, prepend=-1))
+        rank = np.arange(len(begin)) - np.repeat(runs, sizes[begin[runs]])
+        place = np.empty(len(begin), np.int64)
+        place[heads[begin] + rank] = np.arange(len(begin))
+        rank, to, first, count, logs, closes = (x[place] for x in (rank, to, first, count, logs, closes))
         shares = np.exp(logs)
         upto = shares.copy()
         for r in range(1, int(sizes.max())):
             at = np.flatnonzero(rank == r)
             upto[at] += upto[at - 1]
         upto[heads + sizes - 1] = 2.0
+        # one edge of a position may have more than a half; what the others have is added up, not subtracted
+        small = shares <= 0.5
         with np.errstate(divide="ignore"):
-            rest = np.log1p(-np.where(rank == 0, 0.0, shares))
-            rest[heads] = np.log(np.add.reduceat(np.where(rank == 0, 0.0, shares), heads))
+            rest = np.log1p(-np.where(small, shares, 0.0))
+            others = np.log(np.add.reduceat(np.where(small, shares, 0.0), heads))
+            rest[~small] = np.repeat(others, sizes)[~small]
         base = self.nodes
         edges = np.empty((3, len(begin)), np.int64)
         edges[_NEXT], edges[_FIRST], edges[_COUNT] = np.where(closes, -1, base + to), first, count
