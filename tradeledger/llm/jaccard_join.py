@@ -40,6 +40,8 @@ MASKS = (0x0, 0x5DEECE66D1234567)
 BLOCK = 64
 # 64-bit words of a set's signature: which bits an odd number of its tokens have.
 SIGNS = 8
+# Bytes of text that are hashed at once: a worker takes some 40 bytes for each, and is faster while they stay in a cache.
+RUN = 1 << 18
 # Further rounds with pivots before all pairs across components are compared.
 ROUNDS = 2
 
@@ -71,7 +73,7 @@ def _ordered(tokens: np.ndarray, order: int = 0, rarity: np.ndarray | None = Non
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """Index and sorted distinct shingles of each text."""
-    for at, data, offsets in runs(texts):
+    for at, data, offsets in runs(texts, RUN):
         words = find_words(data, offsets)
         hashes = word_hashes(words, fold=True)
         for d in range(len(offsets) - 1):

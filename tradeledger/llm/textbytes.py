@@ -44,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept between calls up to the longest asked for."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, RUN_BYTES)
+        size = 1 << max(n - 1, 1).bit_length()
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
