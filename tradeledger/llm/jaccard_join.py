@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from tradeledger.llm.checkpoints import cut
 from tradeledger.llm.components import connected_components
-from tradeledger.llm.textbytes import find_words, mix, runs, shingle_hashes, word_hashes
+from tradeledger.llm.textbytes import SHORT_RUN, find_words, mix, runs, shingle_hashes, word_hashes
+from tradeledger.llm.worker_memory import released
 
 # Similarity as a fraction of integers: 100 * shared >= PERCENT * union.
 PERCENT = 80
@@ -40,8 +41,6 @@ MASKS = (0x0, 0x5DEECE66D1234567)
 BLOCK = 64
 # 64-bit words of a set's signature: which bits an odd number of its tokens have.
 SIGNS = 8
-# Bytes of text that are hashed at once: a worker takes some 40 bytes for each, and is faster while they stay in a cache.
-RUN = 1 << 18
 # Further rounds with pivots before all pairs across components are compared.
 ROUNDS = 2
 
@@ -73,7 +72,7 @@ def _ordered(tokens: np.ndarray, order: int = 0, rarity: np.ndarray | None = Non
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """Index and sorted distinct shingles of each text."""
-    for at, data, offsets in runs(texts, RUN):
+    for at, data, offsets in runs(texts, SHORT_RUN):
         words = find_words(data, offsets)
         hashes = word_hashes(words, fold=True)
         for d in range(len(offsets) - 1):
@@ -109,7 +108,7 @@ def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             )
 
     schema = "doc_id long, n_shingles long, set_id long, prefix array<long>"
-    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(describe), schema)
 
 
 def bit_table(ids: DataFrame) -> np.ndarray:
@@ -185,7 +184,7 @@ def sets_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
                     ids, sets, size = [], [], 0
             yield packed(ids, sets)
 
-    return docs.select("text").mapInArrow(give, "set_id long, tokens binary").dropDuplicates(["set_id"])
+    return docs.select("text").mapInArrow(released(give), "set_id long, tokens binary").dropDuplicates(["set_id"])
 
 
 def similar(a: np.ndarray, b: np.ndarray, rarity: np.ndarray | None = None, percent: int = PERCENT) -> bool:
@@ -240,7 +239,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     work = sent.union(asked).repartition("key").sortWithinPartitions("key", "pair")
-    return cut(work.mapInArrow(walk, "a long, b long"))
+    return cut(work.mapInArrow(released(walk), "a long, b long"))
 
 
 def _pairs(rows: DataFrame, other: str) -> DataFrame:
@@ -313,7 +312,7 @@ def whole_tokens(sets: DataFrame) -> DataFrame:
                     names=["token", "set_id", "n"],
                 )
 
-    return sets.select("set_id", "tokens").mapInArrow(give, "token long, set_id long, n long")
+    return sets.select("set_id", "tokens").mapInArrow(released(give), "token long, set_id long, n long")
 
 
 def _open(rows: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +346,7 @@ def signatures(sets: DataFrame) -> DataFrame:
             columns = [pa.array(np.ascontiguousarray(signs[:, i])) for i in range(SIGNS)]
             yield pa.RecordBatch.from_arrays([batch.column("set_id"), *columns], names=["set_id", *names])
 
-    return sets.mapInArrow(give, f"set_id long, {', '.join(f'{name} long' for name in names)}")
+    return sets.mapInArrow(released(give), f"set_id long, {', '.join(f'{name} long' for name in names)}")
 
 
 def _worth_comparing(percent: int) -> Column:

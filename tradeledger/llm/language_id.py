@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.llm.textbytes import runs
+from tradeledger.llm.worker_memory import ROWS, released
 
 # Bounds of the training sample: windows a language (about), and characters a window.
 WINDOWS = 600
@@ -277,7 +278,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "lang_pred", "score"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(label, PREDICTIONS)
+    return docs.select("doc_id", "text").mapInArrow(released(label), PREDICTIONS)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
@@ -291,9 +292,11 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.35) -> DataF
         reader = Reader(model)
         for batch in batches:
             best, score = _verdicts(reader, model.languages, batch.column("text"))
-            yield batch.filter(pa.array((best != UNDETERMINED) & (score >= least)))
+            keep = (best != UNDETERMINED) & (score >= least)
+            for at in range(0, batch.num_rows, ROWS):
+                yield batch.slice(at, ROWS).filter(pa.array(keep[at : at + ROWS]))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return docs.mapInArrow(released(sift), docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):

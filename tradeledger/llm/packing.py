@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tradeledger.llm.byte_bpe import ByteBpe
 from tradeledger.llm.checkpoints import cut
-from tradeledger.llm.textbytes import runs
+from tradeledger.llm.textbytes import SHORT_RUN, runs
+from tradeledger.llm.worker_memory import released
 
 SIZE = 1024
 END_ID = 0
@@ -42,7 +43,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         coder = ByteBpe(tokenizer)
         for batch in batches:
-            for at, data, offsets in runs(batch.column("text")):
+            for at, data, offsets in runs(batch.column("text"), SHORT_RUN):
                 ids, bounds = coder.encode_run(data, offsets)
                 n = np.diff(bounds) + 1
                 closed = np.full(n.sum(), END_ID, "<u4")
@@ -62,7 +63,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(released(pieces), PIECES)
 
 
 @dataclass

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tradeledger.llm.checkpoints import cut
 from tradeledger.llm.jaccard_join import bit_table
-from tradeledger.llm.textbytes import find_words, mix, powers, runs, word_hashes
+from tradeledger.llm.textbytes import SHORT_RUN, find_words, mix, powers, runs, word_hashes
+from tradeledger.llm.worker_memory import parts, released
 
 MIN_WORDS = 50
 GRAM = 6
@@ -54,7 +55,7 @@ def selected(hashes: np.ndarray) -> np.ndarray:
 def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """doc_id, word hashes, positions and keys of each text of MIN_WORDS words or more."""
     ids = batch.column("doc_id").to_pylist()
-    for at, data, offsets in runs(batch.column("text")):
+    for at, data, offsets in runs(batch.column("text"), SHORT_RUN):
         words = find_words(data, offsets)
         hashes = word_hashes(words, fold=False)
         for d in range(len(offsets) - 1):
@@ -247,7 +248,7 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _across_tasks(edges: DataFrame) -> DataFrame:
     """The spans of edge rows whose window has a smaller document in another batch or task."""
     edges = edges.select("key", "doc_id", "start", "left", "right", "open")
-    windows = edges.mapInArrow(_open_windows, "window long, doc_id long, start int, end int")
+    windows = edges.mapInArrow(released(_open_windows), "window long, doc_id long, start int, end int")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("of_doc"), F.max("doc_id").alias("high"))
     least = least.filter("of_doc < high").drop("high")
     return windows.join(least, "window").filter("doc_id > of_doc").select("doc_id", "start", "end", "of_doc")
@@ -264,13 +265,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts have no repeat. Only doc_id and text are read.
     """
     texts = docs.select("doc_id", "text")
-    keys = texts.mapInArrow(_keys, "key long, doc_id long").groupBy("key")
+    keys = texts.mapInArrow(released(_keys), "key long, doc_id long").groupBy("key")
     shared = keys.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     table = bit_table(shared.select(F.col("key").alias("id")))
-    suffixes = texts.mapInArrow(_rows_of(table), SUFFIX)
+    suffixes = texts.mapInArrow(released(_rows_of(table)), SUFFIX)
     ordered = ["key", "doc_id", "pos"]
     found = cut(
-        suffixes.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(_neighbours, FOUND)
+        suffixes.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(released(_neighbours), FOUND)
     )
     across = _across_tasks(found.filter("edge"))
     spans = found.filter("not edge").select("doc_id", "start", "end", "of_doc").union(across).distinct()
@@ -309,7 +310,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ranges = batch.column(spare).to_pylist()
             table = batch.select(names)
             meant = batch.column(of).to_pylist()
@@ -342,4 +343,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     if not plain:
         joined = joined.join(several, "doc_id", "left")
         meant = meant & (F.col(of).isNull() | (F.xxhash64("text") == F.col(of)))
-    return joined.select(*names, spare, meant.alias(of)).mapInArrow(cut_out, docs.schema)
+    return joined.select(*names, spare, meant.alias(of)).mapInArrow(released(cut_out), docs.schema)

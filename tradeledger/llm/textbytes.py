@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 # Texts are worked on in runs of about this many bytes; one longer text is a run of its own.
 RUN_BYTES = 2 << 20
+# Runs for steps that take some 40 bytes for each byte of text: they take little, and stay in a cache.
+SHORT_RUN = 1 << 18
 
 SHINGLE = 5
 _RATIO = 0x9E3779B97F4A7C15

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tradeledger.llm.checkpoints import cut
 from tradeledger.llm.language_id import held_out
-from tradeledger.llm.textbytes import find_words, runs, shingle_hashes, word_hashes
+from tradeledger.llm.textbytes import SHORT_RUN, find_words, runs, shingle_hashes, word_hashes
+from tradeledger.llm.worker_memory import parts, released
 
 # Bounds of the model: labelled documents of each class it learns from, and tokens it knows.
 MOST_LABELLED = 20_000
@@ -139,7 +140,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, data, offsets in runs(batch.column("text")):
+            for _, data, offsets in runs(batch.column("text"), SHORT_RUN):
                 words = find_words(data, offsets)
                 hashes = word_hashes(words, fold=True)
                 for d in range(len(offsets) - 1):
@@ -154,7 +155,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most 2 * most rows
     marked = texts.select("doc_id", "toxic", "text").mapInArrow(
-        marks, "doc_id long, toxic int, first long, second long"
+        released(marks), "doc_id long, toxic int, first long, second long"
     )
     once = marked.groupBy("first", "toxic").agg(F.min(F.struct("doc_id", "second")).alias("one"))
     once = once.select("toxic", "one.*").groupBy("second", "toxic").agg(F.min("doc_id").alias("doc_id"))
@@ -201,7 +202,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """In how many documents each token and stem occurs: all, sampled toxic and sampled clean ones."""
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "toxic")
-    counts = rows.mapInArrow(_count, COUNTS)
+    counts = rows.mapInArrow(released(_count), COUNTS)
     return counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("background", "toxic", "clean")])
 
 
@@ -273,7 +274,7 @@ def _calibrate(docs: DataFrame, sample: DataFrame, model: Model) -> Model:
             )
 
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    rows = texts.mapInArrow(found, "toxic int, n long, sums array<double>").collect()  # at most 2 * most rows
+    rows = texts.mapInArrow(released(found), "toxic int, n long, sums array<double>").collect()  # at most 2 * most rows
     clean = [x for r in rows if not r["toxic"] for x in r["sums"]]
     tokens = sum(r["n"] for r in rows if not r["toxic"])
     level = float(np.median(clean)) if clean else HIGHEST
@@ -330,7 +331,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "score", "n_passages", "passages"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(label, SCORES)
+    return docs.select("doc_id", "text").mapInArrow(released(label), SCORES)
 
 
 def keep_civil(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
@@ -342,9 +343,9 @@ def keep_civil(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenScores(model.tokens)
-        for batch in batches:
+        for batch in parts(batches):
             found = [_segments(t or "", known) for t in batch.column("text").to_pylist()]
             keep = [_score([s for _, _, s in x], n, model) < most for n, x in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return docs.mapInArrow(released(sift), docs.schema)
