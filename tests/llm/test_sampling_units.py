@@ -54,3 +54,15 @@ def test_rows_are_decoded_as_by_the_decoder():
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     got = list(spelling.texts(np.array(sum(rows, []), np.int32), ends))
     assert got == [coder.decode(x) if x else "" for x in rows]
+
+
+def test_one_worker_a_task_encodes_and_decodes(spark, sf_dir):
+    rows = spark.createDataFrame(
+        [(1, "hello  there"), (1, "hello  there"), (2, None), (3, ""), (None, "x y 漢字🙂\n"), (4, "plain " * 3000)], "doc_id long, text string"
+    )
+    apart = sentencepiece_sampling.decode(sentencepiece_sampling.encode(rows, MODEL, ("doc_id",)), MODEL)
+    together = sentencepiece_sampling.encode_and_decode(rows, MODEL, ("doc_id",))
+    assert together.schema == apart.schema
+    assert sorted(map(repr, together.collect())) == sorted(map(repr, apart.collect()))
+    plan = queries.op3_sentencepiece_sampling(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -50,8 +50,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's whole text: sampled segmentations, and whether each spells the text."""
     model = tokenizer_path("piece_bpe_32k.model")
-    encoded = sentencepiece_sampling.encode(table(spark, sf_dir, "documents"), model, ("doc_id",))
-    decoded = sentencepiece_sampling.decode(encoded, model)
+    decoded = sentencepiece_sampling.encode_and_decode(table(spark, sf_dir, "documents"), model, ("doc_id",))
     return decoded.select(
         "doc_id", "sample", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "log_prob",
         "inclusion", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tradeledger.llm.textbytes import mix
+from tradeledger.llm.worker_memory import Step, parts, released
 
 SAMPLES = 3
 # Weight of a piece: (rank + 2) ** -SHARPNESS. Ranks are what a BPE model has for scores.
@@ -554,7 +555,25 @@ def encode(
     computed. A text with fewer segmentations has them all, with inclusion 1. Null and empty
     texts have one segmentation, without ids. Other columns are not read.
     """
-    kinds = T.StructType(
+    segment = _segment(model, keys, text, samples, sharpness)
+    return rows.select(*keys, text).mapInArrow(released(segment), _encoded(rows, keys))
+
+
+def encode_and_decode(
+    rows: DataFrame, model: str, keys: tuple[str, ...], text: str = "text", samples: int = SAMPLES,
+    sharpness: float = SHARPNESS,
+) -> DataFrame:
+    """What ``decode`` makes of ``encode``, by one worker for each task and without the ids on their way in between."""
+    segment, spell = _segment(model, keys, text, samples, sharpness), _spell(model)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return spell(segment(batches))
+
+    return rows.select(*keys, text).mapInArrow(released(both), _decoded(_encoded(rows, keys)))
+
+
+def _encoded(rows: DataFrame, keys: tuple[str, ...]) -> T.StructType:
+    return T.StructType(
         [f for f in rows.select(*keys).schema.fields]
         + [
             T.StructField("sample", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -563,9 +582,13 @@ def encode(
         ]
     )
 
+
+def _segment(model: str, keys: tuple[str, ...], text: str, samples: int, sharpness: float) -> Step:
+    """A task's function: rows of ``keys`` and ``text`` to their segmentations."""
+
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(model, sharpness)
-        for batch in batches:
+        for batch in parts(batches, 2_000):
             texts = [value or "" for value in batch.column(text).to_pylist()]
             for at, end in _slices(texts):
                 part = batch.slice(at, end - at)
@@ -586,7 +609,7 @@ def encode(
                     names=[*keys, "sample", "ids", "log_prob", "inclusion", "text"],
                 )
 
-    return rows.select(*keys, text).mapInArrow(segment, kinds)
+    return segment
 
 
 class Spelling:
@@ -652,12 +675,20 @@ class Spelling:
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``encoded`` with a column decoded: the text its ids spell; null ids give a null."""
-    kinds = T.StructType([*[f for f in encoded.schema.fields if f.name != "decoded"], T.StructField("decoded", T.StringType())])
-    names = [f.name for f in kinds.fields[:-1]]
+    return encoded.mapInArrow(released(_spell(model)), _decoded(encoded.schema))
+
+
+def _decoded(encoded: T.StructType) -> T.StructType:
+    return T.StructType([*[f for f in encoded.fields if f.name != "decoded"], T.StructField("decoded", T.StringType())])
+
+
+def _spell(model: str) -> Step:
+    """A task's function: encoded rows with the column ``decoded``."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling = _spelling(model)
         for batch in batches:
+            names = [name for name in batch.schema.names if name != "decoded"]
             ids = batch.column("ids")
             values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
             whole = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -666,4 +697,4 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 [*[batch.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, "decoded"]
             )
 
-    return encoded.mapInArrow(spell, kinds)
+    return spell
