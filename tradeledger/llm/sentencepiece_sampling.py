@@ -36,8 +36,8 @@ SAMPLES = 3
 # Weight of a piece: (rank + 2) ** -SHARPNESS. Ranks are what a BPE model has for scores.
 SHARPNESS = 1.5
 # Nodes of remembered lattices, and characters that are drawn for at once (one text at least).
-MEMORY = 250_000
-BATCH = 120_000
+MEMORY = 1_500_000
+BATCH = 500_000
 _GAP = "▁"
 # Pairs of characters are looked up in a table of so many places; two in one place only leave a cut out.
 _PAIRS = 1 << 20
